@@ -90,7 +90,11 @@ def replace_rows(
         merged = rows
         if path_exists(spark, path):
             # The table's schema is the rows' schema; partition values keep their own type.
+            lead = F.col(partition_by[0])
+            lowest, highest = rows.agg(F.min(lead), F.max(lead)).first()
             existing = spark.read.schema(rows.schema).parquet(path)
+            # Constant bounds prune the listing; the semi-join then picks the exact partitions.
+            existing = existing.where(lead.between(lowest, highest) | lead.isNull())
             touched = rows.select(*partition_by).distinct()
             fresh = rows.select(*match).distinct()
             kept = _null_safe(existing, touched, partition_by, "left_semi")
