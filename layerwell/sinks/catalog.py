@@ -78,7 +78,8 @@ def compact_partition(spark: SparkSession, spec: TableSpec, dt: str, files: int
 
 
 def _rows_and_files(df: DataFrame) -> tuple[int, int]:
-    row = df.agg(F.count("*").alias("n"), F.count_distinct(F.input_file_name()).alias("f")).first()
+    per_file = df.select(F.input_file_name().alias("file")).groupBy("file").agg(F.count("*").alias("n"))
+    row = per_file.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("f")).first()
     return row.n, row.f
 
 

@@ -1,2 +1,243 @@
-QUERIES={}
-ORACLES={}
+"""Event sources, streaming steps and the sinks they feed, over the whole event table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from layerwell.fixtures import base_table, fixture
+from layerwell.operators.sequence import session_sequence
+from layerwell.session import scratch_path
+from layerwell.sinks.external import hot_users, sample_rows
+from layerwell.sources.events import decode_events, table_stream
+from layerwell.streaming.layers import (
+    clean_events,
+    enrich_events,
+    flat_metrics,
+    gold_table_sink,
+    ingest_bronze,
+    recent,
+    user_metrics,
+    write_gold,
+    write_sequenced_silver,
+    write_silver,
+)
+from layerwell.streaming.writers import AVAILABLE_NOW, append_evolving, fan_out, read_evolving, start_append
+from registry.common import AS_OF_TIME, CTES, D, oracle, plain
+
+PROPS = "map<string,string>"
+DAY_WINDOW = "1 day"
+
+
+def _source(spark, sf):
+    """The event table as a stream of files."""
+    schema = base_table(spark, sf, "events").schema
+    # A glob path serves a single file as well as a directory of files.
+    return table_stream(spark, f"{sf}/event[s].parquet", schema)
+
+
+def _events(df):
+    """Event rows in the fixture's shape, from a batch or streaming read of the event table."""
+    text = lambda c: F.col(c).cast("string")
+    return df.select(
+        text("event_id").alias("event_id"),
+        text("user_id").alias("user_id"),
+        F.concat(F.lit("s"), text("user_id"), F.lit("-"), F.col("ts").cast("date").cast("string")).alias("session_id"),
+        "event_type",
+        F.col("ts").cast("timestamp").alias("event_time"),
+        (F.col("event_id") % 200).cast("string").alias("product_id"),
+        F.col("value").alias("amount"),
+        ((F.col("event_id") * 7919) % 4294967296).alias("ip_num"),
+        F.lit("agent").alias("user_agent"),
+        F.col("props").alias("properties"),
+    )
+
+
+def _broker_records(events):
+    """The rows as a broker delivers them: JSON bytes and an arrival time."""
+    octets = [F.shiftright("ip_num", shift).bitwiseAND(255).cast("string") for shift in (24, 16, 8, 0)]
+    event = F.struct(
+        "event_id", "user_id", "session_id", "event_type", "event_time", "product_id", "amount",
+        F.concat_ws(".", *octets).alias("ip_address"), "user_agent",
+        F.from_json("properties", PROPS).alias("properties"),
+    )
+    as_json = F.to_json(event, {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    return events.select(as_json.cast("binary").alias("value"), F.col("event_time").alias("timestamp"))
+
+
+def _decoded(df):
+    return plain(df.withColumn("properties", F.element_at("properties", "k")))
+
+
+def _run(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+def _statics(spark, sf):
+    return [fixture(spark, sf, n) for n in ("user_profiles", "product_catalog", "ip_ranges")]
+
+
+def _enriched(spark, sf, events=None):
+    events = _events(base_table(spark, sf, "events")) if events is None else events
+    return enrich_events(events, *_statics(spark, sf), D)
+
+
+def _metrics_input(spark, sf):
+    return _enriched(spark, sf).select("user_id", "user_region", "event_type", "event_time", "amount")
+
+
+def _metric_rows(df):
+    return plain(df).withColumn("total_revenue", F.round("total_revenue", 4))
+
+
+def _table_stream(spark, sf):
+    path = scratch_path(spark, "append")
+    stream = _events(_source(spark, sf))
+    _run(start_append(stream, path, scratch_path(spark, "ckpt"), AVAILABLE_NOW, ["event_type"]))
+    return plain(spark.read.parquet(path))
+
+
+def _bronze(spark, sf):
+    """Every record arrives twice; bronze keeps one."""
+    path = scratch_path(spark, "bronze")
+    events = _events(_source(spark, sf))
+    raw = _broker_records(events.union(events))
+    _run(ingest_bronze(raw, path, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    return _decoded(spark.read.parquet(path))
+
+
+def _silver(spark, sf):
+    path = scratch_path(spark, "silver")
+    stream = _enriched(spark, sf, _events(_source(spark, sf)))
+    _run(write_silver(stream, path, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    return plain(spark.read.parquet(path).withColumn("date", F.col("date").cast("string")))
+
+
+def _sequenced(spark, sf):
+    path = scratch_path(spark, "sequenced")
+    stream = _events(_source(spark, sf))
+    _run(
+        write_sequenced_silver(
+            stream, lambda: _enriched(spark, sf), path, scratch_path(spark, "ckpt"), AVAILABLE_NOW
+        )
+    )
+    return plain(spark.read.parquet(path).select("event_id", "user_id", "session_id", "event_time", "seq", "prev_time"))
+
+
+def _gold(spark, sf):
+    path = scratch_path(spark, "gold")
+    stream = _enriched(spark, sf, _events(_source(spark, sf)))
+    _run(write_gold(user_metrics(stream), [gold_table_sink(path)], scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    return _metric_rows(spark.read.parquet(path).withColumn("window_date", F.col("window_date").cast("string")))
+
+
+def _fan_out(spark, sf):
+    """Each micro-batch to two sinks: all events, and purchases only."""
+    everything, purchases = scratch_path(spark, "all"), scratch_path(spark, "purchases")
+    sinks = [
+        lambda batch, batch_id: append_evolving(batch, everything, batch_id),
+        lambda batch, batch_id: append_evolving(batch.where("event_type = 'purchase'"), purchases, batch_id),
+    ]
+    _run(fan_out(_events(_source(spark, sf)), sinks, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    counted = [
+        spark.read.parquet(path).agg(F.lit(sink).alias("sink"), F.count("*").alias("n_rows"))
+        for sink, path in (("all", everything), ("purchases", purchases))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+def _evolving(spark, sf):
+    """Events without a region first, then the enriched ones with new columns."""
+    path = scratch_path(spark, "evolving")
+    rows = _enriched(spark, sf).select("event_id", "event_type", "user_region", "user_segment")
+    append_evolving(rows.select("event_id", "event_type"), path)
+    append_evolving(rows, path)
+    return (
+        read_evolving(spark, path)
+        .groupBy("event_type", "user_region", "user_segment")
+        .agg(F.count("*").alias("n_rows"))
+    )
+
+
+QUERIES = {
+    "decode_events": lambda s, d: _decoded(decode_events(_broker_records(fixture(s, d, "ods_events")))),
+    "table_stream": _table_stream,
+    "ingest_bronze": _bronze,
+    "clean_events": lambda s, d: plain(clean_events(fixture(s, d, "ods_events").union(fixture(s, d, "ods_events")))),
+    "enrich_events": lambda s, d: plain(_enriched(s, d)),
+    "session_sequence": lambda s, d: plain(
+        session_sequence(fixture(s, d, "ods_events").select("event_id", "user_id", "session_id", "event_time"))
+    ),
+    "write_sequenced_silver": _sequenced,
+    "user_metrics": lambda s, d: _metric_rows(flat_metrics(user_metrics(_metrics_input(s, d)))),
+    "recent": lambda s, d: plain(recent(fixture(s, d, "ods_events"), AS_OF_TIME)),
+    "write_silver": _silver,
+    "write_gold": _gold,
+    "fan_out": _fan_out,
+    "append_evolving": _evolving,
+    "sample_rows": lambda s, d: plain(sample_rows(fixture(s, d, "ods_events"), ["event_id"])),
+    "hot_users": lambda s, d: hot_users(user_metrics(_metrics_input(s, d), DAY_WINDOW)).withColumn(
+        "total_revenue", F.round("total_revenue", 4)
+    ),
+}
+
+CTES["enriched_events"] = f"""
+SELECT e.*, u.user_segment, regexp_replace(u.phone, '[^0-9]', '', 'g') AS clean_phone,
+  CAST(year(DATE '{D}') - year(TRY_CAST(u.birth_date AS DATE)) - CASE WHEN strftime(DATE '{D}', '%m%d')
+    < strftime(TRY_CAST(u.birth_date AS DATE), '%m%d') THEN 1 ELSE 0 END AS INT) AS user_age,
+  p.category AS product_category, r.region AS user_region, CAST(CAST(e.event_time AS DATE) AS VARCHAR) AS date
+FROM ods_events e LEFT JOIN user_profiles u ON e.user_id = u.user_id LEFT JOIN product_catalog p ON e.product_id = p.product_id
+LEFT JOIN ip_ranges r ON e.ip_num BETWEEN r.ip_from AND r.ip_to
+"""
+
+
+def _metrics_sql(interval: str) -> str:
+    return (
+        "SELECT user_id, user_region, CAST(w AS VARCHAR) AS window_start, "
+        f"CAST(w + INTERVAL {interval} AS VARCHAR) AS window_end, COUNT(*) AS event_count, "
+        "ROUND(SUM(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END), 4) AS total_revenue, "
+        "CAST(CAST(w AS DATE) AS VARCHAR) AS window_date FROM (SELECT *, "
+        f"time_bucket(INTERVAL {interval}, event_time, TIMESTAMP '1970-01-01') AS w FROM enriched_events) t "
+        "GROUP BY user_id, user_region, w"
+    )
+
+
+_TIME = "CAST(event_time AS VARCHAR) AS event_time"
+_DECODED = oracle(f"""
+SELECT event_id, user_id, session_id, event_type, {_TIME}, product_id, amount,
+  concat_ws('.', CAST(ip_num // 16777216 AS VARCHAR), CAST(ip_num // 65536 % 256 AS VARCHAR),
+    CAST(ip_num // 256 % 256 AS VARCHAR), CAST(ip_num % 256 AS VARCHAR)) AS ip_address,
+  user_agent, json_extract_string(properties, '$.k') AS properties, CAST(event_time AS VARCHAR) AS kafka_timestamp
+FROM ods_events""")
+_SEQUENCE = oracle("""
+SELECT event_id, user_id, session_id, CAST(event_time AS VARCHAR) AS event_time,
+  CAST(ROW_NUMBER() OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS BIGINT) AS seq,
+  CAST(LAG(event_time) OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS VARCHAR) AS prev_time
+FROM ods_events""")
+_ENRICHED = oracle(f"SELECT * REPLACE ({_TIME}) FROM enriched_events")
+
+ORACLES = {
+    "decode_events": _DECODED,
+    "table_stream": oracle(f"SELECT * REPLACE ({_TIME}) FROM ods_events"),
+    "ingest_bronze": _DECODED,
+    "clean_events": oracle(f"SELECT * REPLACE ({_TIME}) FROM ods_events WHERE amount IS NULL OR amount >= 0"),
+    "enrich_events": _ENRICHED,
+    "session_sequence": _SEQUENCE,
+    "write_sequenced_silver": _SEQUENCE,
+    "user_metrics": oracle(_metrics_sql("5 MINUTE")),
+    "recent": oracle(
+        f"SELECT * REPLACE ({_TIME}) FROM ods_events WHERE event_time >= TIMESTAMP '{AS_OF_TIME}' - INTERVAL 1 HOUR"
+    ),
+    "write_silver": _ENRICHED,
+    "write_gold": oracle(_metrics_sql("5 MINUTE")),
+    "fan_out": "SELECT 'all' AS sink, COUNT(*) AS n_rows FROM events UNION ALL "
+    "SELECT 'purchases', COUNT(*) FROM events WHERE event_type = 'purchase'",
+    "append_evolving": oracle(
+        "SELECT event_type, user_region, user_segment, COUNT(*) AS n_rows FROM (SELECT event_type, user_region, user_segment "
+        "FROM enriched_events UNION ALL SELECT event_type, NULL, NULL FROM enriched_events) t GROUP BY ALL"
+    ),
+    "hot_users": oracle(
+        f"SELECT user_id, total_revenue FROM ({_metrics_sql('1 DAY')}) m WHERE total_revenue > 1000"
+    ),
+}
