@@ -1,9 +1,9 @@
 """DWD to DWS: subject wide tables over 1-, 7- and 30-day windows.
 
 All three windows and all distinct counts come from one scan. Rows are first
-grouped by (subject, counted id), one grouping set per counted id, with a flag
-per window saying whether the id occurs in it; the second grouping then only
-counts flags and adds sums. Both groupings combine before their shuffle, so a
+grouped by (subject, counted id), one grouping set per counted id, keeping the
+shortest window the id occurs in; the second grouping then only counts ids and
+adds sums. Both groupings combine before their shuffle, so a
 subject holding a large share of all rows is spread by its ids first and
 reaches the second shuffle as one row per task. No set of ids is ever held.
 """
@@ -53,31 +53,35 @@ def _window_stats(orders: DataFrame, dt: str, keys: list[str], counted: dict[str
     ``with_users`` adds the region user counts, read off the per-user groups.
     """
     ids = list(counted.values())
-    in_window = {
-        name: F.col("dt") >= day_shift(dt, 1 - days) for name, days in WINDOWS.items()
-    }
+    # Number of the shortest window a row is in; all longer ones hold it too.
+    nearest = F
+    for number, days in enumerate(list(WINDOWS.values())[:-1]):
+        nearest = nearest.when(F.col("dt") >= day_shift(dt, 1 - days), number)
+    numbers = {name: number for number, name in enumerate(WINDOWS)}
+    longest = len(WINDOWS) - 1
     rows = completed_orders(orders, dt).select(
         *keys,
         *ids,
         "quantity",
-        "final_amount",
+        _cents(F.col("final_amount")).alias("cents"),
         "order_time",
-        *(inside.alias(f"in_{name}") for name, inside in in_window.items()),
+        nearest.otherwise(longest).alias("nearest"),
     )
     measures = []
-    for name in WINDOWS:
-        inside = F.col(f"in_{name}")
+    for name, number in numbers.items():
+        # The scan already keeps the longest window, so its sums need no test.
+        inside = (F.col("nearest") <= number) if number < longest else F.lit(True)
         measures += [
-            F.max(inside).alias(f"seen_{name}"),
-            F.sum(F.when(inside, F.col("final_amount"))).alias(f"amount_{name}"),
-            F.count(F.when(inside, F.col("final_amount"))).alias(f"rows_{name}"),
+            F.sum(F.when(inside, F.col("cents"))).alias(f"cents_{name}"),
+            F.count(F.when(inside, F.col("cents"))).alias(f"rows_{name}"),
             F.sum(F.when(inside, F.col("quantity"))).alias(f"quantity_{name}"),
         ]
     per_id = rows.groupingSets([[*keys, i] for i in ids], *keys, *ids).agg(
         F.grouping_id().alias("set_id"),
-        F.count("order_id").alias("order_rows"),
+        F.min("nearest").alias("nearest"),
         F.min("order_time").alias("first_time"),
         F.max("order_time").alias("last_time"),
+        *([F.count("order_id").alias("order_rows")] if with_users else []),
         *measures,
     )
     # grouping_id has a 0 bit for the id column that is grouped by, 1 for the other ones.
@@ -86,24 +90,39 @@ def _window_stats(orders: DataFrame, dt: str, keys: list[str], counted: dict[str
     totals_set = F.col("set_id") == set_of[ids[0]]
 
     out = []
-    for name in WINDOWS:
+    for name, number in numbers.items():
         for label, col in counted.items():
-            hit = (F.col("set_id") == set_of[col]) & F.col(col).isNotNull() & F.col(f"seen_{name}")
-            out.append(F.count(F.when(hit, 1)).alias(f"{label}_count_{name}"))
-        for total in ("amount", "rows", "quantity"):
-            out.append(F.sum(F.when(totals_set, F.col(f"{total}_{name}"))).alias(f"{total}_{name}"))
+            hit = (F.col("set_id") == set_of[col]) & F.col(col).isNotNull() & (F.col("nearest") <= number)
+            out.append(F.count_if(hit).alias(f"{label}_count_{name}"))
+        cents, n, quantity = (
+            F.sum(F.when(totals_set, F.col(f"{total}_{name}"))) for total in ("cents", "rows", "quantity")
+        )
+        out += [
+            (cents.cast("decimal(19,0)") / 100).cast(AMOUNT).alias(f"amount_{name}"),
+            n.alias(f"rows_{name}"),
+            quantity.alias(f"quantity_{name}"),
+        ]
     out += [F.min("first_time").alias("first_time_30d"), F.max("last_time").alias("last_time_30d")]
     if with_users:
         user_group = (F.col("set_id") == set_of["user_id"]) & F.col("user_id").isNotNull()
         active, new = _user_tests(dt, F.col("order_rows"), F.col("first_time"))
         out += [
-            F.count(F.when(user_group, 1)).alias("total_user_count"),
-            F.count(F.when(user_group & active, 1)).alias("active_user_count"),
-            F.count(F.when(user_group & new, 1)).alias("new_user_count"),
+            F.count_if(user_group).alias("total_user_count"),
+            F.count_if(user_group & active).alias("active_user_count"),
+            F.count_if(user_group & new).alias("new_user_count"),
         ]
     return per_id.groupBy(*keys).agg(*out)
 
 
+def _cents(amount: Column) -> Column:
+    """A two-place amount of up to 15 digits as an exact bigint, which sums without big decimals.
+
+    The nearest double is off by far less than half a cent. A sum of cents that
+    overflows would not fit the decimal(15,2) result either and raises an error.
+    """
+    return F.rint(amount.cast("double") * 100).cast("bigint")
+
+
 def _user_tests(dt: str, order_rows: Column, first_time: Column) -> tuple[Column, Column]:
     """Active: enough order rows. New: first order not before the 30-day window."""
     window_start = F.lit(day_shift(dt, 1 - WINDOWS["30d"])).cast("date")
