@@ -17,6 +17,8 @@ FIRST_DATE = "2024-01-01"
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+SPREAD_TABLES = ("lineitem", "orders", "events")
+
 VIEWS = {
     "ods_user_info": """
 SELECT c.c_custkey AS user_id,
@@ -159,7 +161,13 @@ def inputs_of(sql: str) -> list[str]:
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table. A large one that comes in fewer files than there are cores is spread over them;
+    with many files, as on a cluster, the scan is parallel already and nothing is shuffled."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_TABLES and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
