@@ -22,15 +22,26 @@ def create_databases(spark: SparkSession, names: Iterable[str], location: str |
 
 
 def create_tables(spark: SparkSession, specs: Iterable[TableSpec]) -> None:
-    """Create partitioned Parquet tables from their specs."""
+    """Create partitioned Parquet tables from their specs.
+
+    The overwrite mode is an option of the table: an insert then replaces only the
+    partitions it brings, whatever the session says, and concurrent inserts cannot
+    disturb each other through a session setting.
+    """
     for spec in specs:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {spec.qualified} ({columns}) USING parquet "
-            f"PARTITIONED BY ({', '.join(spec.partition_by)})"
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({', '.join(spec.partition_by)})"
         )
 
 
+def replaces_partitions_only(spark: SparkSession, table: str) -> bool:
+    """Does the table carry the overwrite option its specs are created with?"""
+    stored = describe_table(spark, table).where("col_name = 'Storage Properties'").first()
+    return stored is not None and "partitionoverwritemode=dynamic" in stored.data_type.lower()
+
+
 def analyze_table(spark: SparkSession, table: str) -> None:
     """Compute table and column statistics for the optimizer."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import contextlib
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from layerwell.sinks.catalog import create_tables
+from layerwell.sinks.catalog import create_tables, replaces_partitions_only
 from layerwell.specs import TableSpec
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
 
 def conform(df: DataFrame, spec: TableSpec, fill_missing: bool = False) -> DataFrame:
     """Project a frame to the table's schema; a missing column or other type is an error.
@@ -34,50 +30,42 @@ def conform(df: DataFrame, spec: TableSpec, fill_missing: bool = False) -> DataF
     return df.select(*columns)
 
 
-def overwrite_partition(df: DataFrame, spec: TableSpec, dt: str, fill_missing: bool = False) -> None:
-    """Replace the rows of one date, also by nothing; rows of another date are an error."""
-    spark = df.sparkSession
-    create_tables(spark, [spec])
+def overwrite_partition(df: DataFrame, spec: TableSpec, dt: str, fill_missing: bool = False) -> int:
+    """Replace the rows of one date, also by nothing, and return their number.
+
+    Rows of another date are an error. New files are staged and swapped in when
+    the job is complete, so a failed job leaves the old rows in place.
+    """
+    if spec.partition_by != ("dt",):
+        raise ValueError("use overwrite_partitions for other partition columns")
+    day = F.lit(dt)
     if "dt" in df.columns:
-        same = F.when(F.col("dt") == dt, F.col("dt")).otherwise(
-            F.raise_error(F.concat(F.lit(f"{spec.qualified}: row outside partition {dt}: "), F.col("dt")))
-        )
-        df = df.withColumn("dt", same)
-    else:
-        df = df.withColumn("dt", F.lit(dt))
-    rows = conform(df, spec, fill_missing)
-    others = [p for p in spec.partition_by if p != "dt"]
-    if others:
-        raise ValueError("use overwrite_partitions for several partition columns")
-    # The check column stays in the select list as a filter, so Spark cannot prune it away.
-    rows = rows.where(F.col("dt") == dt).select(*spec.data_columns)
-    spark.sql(f"INSERT OVERWRITE TABLE {spec.qualified} PARTITION (dt = '{dt}') SELECT * FROM {{rows}}", rows=rows)
-
-
-@contextlib.contextmanager
-def _dynamic_partitions(spark: SparkSession):
-    before = spark.conf.get(OVERWRITE_MODE, None)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(OVERWRITE_MODE)
-        else:
-            spark.conf.set(OVERWRITE_MODE, before)
-
-
-def overwrite_partitions(df: DataFrame, spec: TableSpec, fill_missing: bool = False) -> None:
-    """Replace every partition that occurs in the frame, keep all others.
+        outside = F.concat(F.lit(f"{spec.qualified}: row outside partition {dt}: "), F.coalesce("dt", F.lit("null")))
+        day = F.when(F.col("dt") == dt, F.col("dt")).otherwise(F.raise_error(outside))
+    rows = _insert(conform(df.withColumn("dt", day), spec, fill_missing), spec)
+    if rows == 0:
+        # Without rows the insert does not see the partition.
+        df.sparkSession.sql(f"ALTER TABLE {spec.qualified} DROP IF EXISTS PARTITION (dt = '{dt}')")
+    return rows
+
+
+def overwrite_partitions(df: DataFrame, spec: TableSpec, fill_missing: bool = False) -> int:
+    """Replace every partition that occurs in the frame, keep all others; returns the rows written.
 
     Rows are gathered by partition first, so a task writes few files; Spark
     splits partitions that are large.
     """
-    spark = df.sparkSession
+    return _insert(conform(df, spec, fill_missing).hint("rebalance", *spec.partition_by), spec)
+
+
+def _insert(rows: DataFrame, spec: TableSpec) -> int:
+    spark = rows.sparkSession
     create_tables(spark, [spec])
-    rows = conform(df, spec, fill_missing)
-    with _dynamic_partitions(spark):
-        rows.hint("rebalance", *spec.partition_by).write.insertInto(spec.qualified, overwrite=True)
+    if not replaces_partitions_only(spark, spec.qualified):
+        raise ValueError(f"{spec.qualified} was created elsewhere; an overwrite would drop its other partitions")
+    written = Observation()
+    rows.observe(written, F.count(F.lit(1)).alias("rows")).write.insertInto(spec.qualified, overwrite=True)
+    return written.get["rows"]
 
 
 def write_path(
