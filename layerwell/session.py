@@ -1,7 +1,8 @@
 """Session helpers: shared scratch space and lineage cuts.
 
 Nothing here starts a session or changes its settings; operators run in
-whatever session the caller owns.
+whatever session the caller owns. ``settings_for`` only computes values to start
+one with.
 """
 
 from __future__ import annotations
@@ -13,6 +14,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: str | None = None
 
+TASK_BYTES = 128 * 1024**2
+
+
+def settings_for(largest_shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for a job whose largest shuffle has the given size.
+
+    Shuffle partitions start at about 128 MB each, so a task's share fits in
+    memory; the adaptive planner merges those that turn out small and splits hot
+    ones, also where the split costs another shuffle.
+    """
+    partitions = max(cores, -(-largest_shuffle_bytes // TASK_BYTES))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+    }
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.

@@ -80,14 +80,13 @@ def write_path(
     writer.save(path)
 
 
-def land_ods(df: DataFrame, spec: TableSpec, dt: str, max_files: int | None = None) -> None:
+def land_ods(df: DataFrame, spec: TableSpec, dt: str, max_files: int | None = None) -> int:
     """Land raw rows of a day, filling columns the source lacks with nulls.
 
-    By default Spark sizes the files to the data. ``max_files`` bounds their
-    number and with it the tasks of the write; set it for small inputs only.
+    Each read task writes one file, without a shuffle. ``max_files`` bounds the
+    number of files and with it the tasks of the read; set it for small inputs only.
     """
-    df = df.hint("rebalance") if max_files is None else df.coalesce(max_files)
-    overwrite_partition(df, spec, dt, fill_missing=True)
+    return overwrite_partition(df if max_files is None else df.coalesce(max_files), spec, dt, fill_missing=True)
 
 
 def append_quality_result(gate_row: DataFrame, spec: TableSpec, check_date: str) -> None:
