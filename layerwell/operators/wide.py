@@ -1,11 +1,13 @@
 """DWD to DWS: subject wide tables over 1-, 7- and 30-day windows.
 
-All three windows and all distinct counts come from one scan. Rows are first
-grouped by (subject, counted id), one grouping set per counted id, keeping the
-shortest window the id occurs in; the second grouping then only counts ids and
-adds sums. Both groupings combine before their shuffle, so a
-subject holding a large share of all rows is spread by its ids first and
-reaches the second shuffle as one row per task. No set of ids is ever held.
+All three windows are computed together. Sums are combined in the map tasks to
+one row per subject. For the distinct counts, rows are first grouped by
+(subject, counted id), one grouping set per counted id, keeping the shortest
+window the id occurs in; the second grouping then only counts ids. Both
+groupings combine before their shuffle, so a subject holding a large share of
+all rows is spread by its ids first and reaches the second shuffle as one row
+per task. No set of ids is ever held, and the wide sums never travel with the
+ids.
 """
 
 from __future__ import annotations
@@ -51,58 +53,55 @@ def _window_stats(orders: DataFrame, dt: str, keys: list[str], counted: dict[str
 
     ``counted`` maps a name to the id column whose distinct values are counted.
     ``with_users`` adds the region user counts, read off the per-user groups.
+    Keys must not be null.
     """
-    ids = list(counted.values())
     # Number of the shortest window a row is in; all longer ones hold it too.
     nearest = F
     for number, days in enumerate(list(WINDOWS.values())[:-1]):
         nearest = nearest.when(F.col("dt") >= day_shift(dt, 1 - days), number)
-    numbers = {name: number for number, name in enumerate(WINDOWS)}
-    longest = len(WINDOWS) - 1
-    rows = completed_orders(orders, dt).select(
-        *keys,
-        *ids,
-        "quantity",
-        _cents(F.col("final_amount")).alias("cents"),
-        "order_time",
-        nearest.otherwise(longest).alias("nearest"),
-    )
-    measures = []
-    for name, number in numbers.items():
+    rows = completed_orders(orders, dt).withColumn("nearest", nearest.otherwise(len(WINDOWS) - 1))
+    return _totals(rows, keys).join(_distinct_counts(rows, dt, keys, counted, with_users), keys)
+
+
+def _totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums, row counts and order times per window; combined in the map tasks to one row per key."""
+    out = []
+    for number, name in enumerate(WINDOWS):
         # The scan already keeps the longest window, so its sums need no test.
-        inside = (F.col("nearest") <= number) if number < longest else F.lit(True)
-        measures += [
+        inside = (F.col("nearest") <= number) if number < len(WINDOWS) - 1 else F.lit(True)
+        out += [
             F.sum(F.when(inside, F.col("cents"))).alias(f"cents_{name}"),
             F.count(F.when(inside, F.col("cents"))).alias(f"rows_{name}"),
             F.sum(F.when(inside, F.col("quantity"))).alias(f"quantity_{name}"),
         ]
-    per_id = rows.groupingSets([[*keys, i] for i in ids], *keys, *ids).agg(
-        F.grouping_id().alias("set_id"),
-        F.min("nearest").alias("nearest"),
-        F.min("order_time").alias("first_time"),
-        F.max("order_time").alias("last_time"),
-        *([F.count("order_id").alias("order_rows")] if with_users else []),
-        *measures,
+    totals = (
+        rows.select(*keys, "nearest", "quantity", "order_time", _cents(F.col("final_amount")).alias("cents"))
+        .groupBy(*keys)
+        .agg(*out, F.min("order_time").alias("first_time_30d"), F.max("order_time").alias("last_time_30d"))
+    )
+    amounts = {f"amount_{w}": (F.col(f"cents_{w}").cast("decimal(19,0)") / 100).cast(AMOUNT) for w in WINDOWS}
+    return totals.withColumns(amounts)
+
+
+def _distinct_counts(
+    rows: DataFrame, dt: str, keys: list[str], counted: dict[str, str], with_users: bool
+) -> DataFrame:
+    """Distinct ids per key and window; only keys, ids and the window number are shuffled."""
+    ids = list(counted.values())
+    per_user = [F.count("order_id").alias("order_rows"), F.min("order_time").alias("first_time")] if with_users else []
+    per_id = (
+        rows.select(*keys, *ids, "nearest", *(["order_time"] if with_users else []))
+        .groupingSets([[*keys, i] for i in ids], *keys, *ids)
+        .agg(F.grouping_id().alias("set_id"), F.min("nearest").alias("nearest"), *per_user)
     )
     # grouping_id has a 0 bit for the id column that is grouped by, 1 for the other ones.
     width = len(ids)
     set_of = {col: (1 << width) - 1 - (1 << (width - 1 - pos)) for pos, col in enumerate(ids)}
-    totals_set = F.col("set_id") == set_of[ids[0]]
-
     out = []
-    for name, number in numbers.items():
+    for number, name in enumerate(WINDOWS):
         for label, col in counted.items():
             hit = (F.col("set_id") == set_of[col]) & F.col(col).isNotNull() & (F.col("nearest") <= number)
             out.append(F.count_if(hit).alias(f"{label}_count_{name}"))
-        cents, n, quantity = (
-            F.sum(F.when(totals_set, F.col(f"{total}_{name}"))) for total in ("cents", "rows", "quantity")
-        )
-        out += [
-            (cents.cast("decimal(19,0)") / 100).cast(AMOUNT).alias(f"amount_{name}"),
-            n.alias(f"rows_{name}"),
-            quantity.alias(f"quantity_{name}"),
-        ]
-    out += [F.min("first_time").alias("first_time_30d"), F.max("last_time").alias("last_time_30d")]
     if with_users:
         user_group = (F.col("set_id") == set_of["user_id"]) & F.col("user_id").isNotNull()
         active, new = _user_tests(dt, F.col("order_rows"), F.col("first_time"))

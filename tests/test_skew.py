@@ -52,12 +52,14 @@ def test_wide_statistics_of_a_hot_key(spark, orders):
 
 
 def test_hot_key_is_spread_before_it_is_combined(orders):
-    """The rows are shuffled by (user, counted id); only combined rows are shuffled by user."""
+    """Ids are shuffled by (user, counted id); what is shuffled by user alone is combined before."""
     stats = wide._window_stats(orders, D, ["user_id"], {"order": "order_id", "product": "product_id"})
     plan = stats._jdf.queryExecution().executedPlan().toString()
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(exchanges) == 2
-    assert "order_id" in exchanges[1] and "product_id" in exchanges[1]
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    by_id = [i for i in exchanges if "order_id" in lines[i] and "product_id" in lines[i]]
+    assert len(exchanges) == 3 and len(by_id) == 1
+    assert all("HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1] for i in exchanges)
     assert "SortAggregate" not in plan and "collect_" not in plan
 
 
