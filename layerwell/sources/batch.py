@@ -65,4 +65,9 @@ def run_sql_script(
         return None
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(params))
+    try:
+        # The result is analyzed here and no longer needs the names.
+        return spark.sql(text, args=dict(params))
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)

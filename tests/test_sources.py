@@ -44,6 +44,7 @@ def test_script_edges(spark):
         run_sql_script(spark, {"v": rows}, " ; ", {})
     assert run_sql_script(spark, {"v": rows.where("id < 0")}, "SELECT * FROM v", {}) is None
     assert run_sql_script(spark, {"v": rows}, "SELECT * FROM v WHERE id >= :low;", {"low": 2}).count() == 1
+    assert not spark.catalog.tableExists("v")
 
 
 def test_malformed_json_gives_null_fields(spark):
