@@ -151,9 +151,14 @@ def run_day(
             except Exception as error:  # the caller sees the failure in the result
                 return StepResult(layer, table, dt, False, 0, str(error))
 
+        def pooled(table: str) -> StepResult:
+            # A scheduler pool per table; shares the cores evenly where the session schedules fairly.
+            house.spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
+            return step(table)
+
         if concurrent:
             with ThreadPoolExecutor(max_workers=MAX_THREADS) as pool:
-                done = list(pool.map(step, names))
+                done = list(pool.map(pooled, names))
         else:
             done = [step(t) for t in names]
         results += done

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 _TYPE_NAMES = {"bigint": "long", "int": "integer"}
 
 
-def _schema(columns: str) -> T.StructType:
+def schema_of(columns: str) -> T.StructType:
     """Schema from ``name type`` pairs separated by commas; every column is nullable."""
     schema = T.StructType()
     for column in columns.replace("\n", " ").split(", "):
@@ -66,7 +66,7 @@ def _window_columns(counts: str, quantity: str, amount: str) -> str:
 _SPECS = [
     TableSpec(
         "ods_customer", "ods_db", "ods",
-        _schema(
+        schema_of(
             "customer_id bigint, customer_code string, customer_name string, customer_type string, "
             "registration_date date, status string, phone string, email string, address string, "
             "create_time timestamp, update_time timestamp, dt string"
@@ -75,7 +75,7 @@ _SPECS = [
     ),
     TableSpec(
         "ods_order", "ods_db", "ods",
-        _schema(
+        schema_of(
             "order_id bigint, order_no string, customer_id bigint, order_date date, order_amount decimal(15,2), "
             "currency string, order_status string, payment_method string, create_time timestamp, "
             "update_time timestamp, dt string"
@@ -84,7 +84,7 @@ _SPECS = [
     ),
     TableSpec(
         "ods_user_info", "ods_db", "ods",
-        _schema(
+        schema_of(
             "user_id bigint, username string, email string, phone string, gender string, age int, city string, "
             "province string, registration_time string, last_login_time string, user_status string, dt string"
         ),
@@ -92,7 +92,7 @@ _SPECS = [
     ),
     TableSpec(
         "ods_order_info", "ods_db", "ods",
-        _schema(
+        schema_of(
             f"order_id string, user_id bigint, product_id string, {_GOODS}, order_time string, pay_time string, "
             "finish_time string, order_status string, payment_method string, quantity int, "
             "unit_price decimal(10,2), total_amount decimal(12,2), discount_amount decimal(12,2), "
@@ -102,7 +102,7 @@ _SPECS = [
     ),
     TableSpec(
         "ods_product_info", "ods_db", "ods",
-        _schema(
+        schema_of(
             f"product_id string, {_GOODS}, price decimal(10,2), cost decimal(10,2), weight decimal(8,2), "
             "dimensions string, description string, product_status string, dt string"
         ),
@@ -110,7 +110,7 @@ _SPECS = [
     ),
     TableSpec(
         "dwd_dim_customer", "dwd_db", "dwd",
-        _schema(
+        schema_of(
             "customer_sk bigint, customer_id bigint, customer_code string, customer_name string, "
             "customer_type string, registration_date date, status string, phone string, email string, "
             "address string, effective_date date, expiry_date date, is_current int, data_source string, "
@@ -120,7 +120,7 @@ _SPECS = [
     ),
     TableSpec(
         "dwd_fact_order", "dwd_db", "dwd",
-        _schema(
+        schema_of(
             "order_sk bigint, order_id bigint, order_no string, customer_sk bigint, customer_id bigint, "
             "order_date date, order_amount decimal(15,2), order_amount_usd decimal(15,2), currency string, "
             f"order_status string, payment_method string, {_ETL}, dt string"
@@ -129,7 +129,7 @@ _SPECS = [
     ),
     TableSpec(
         "dwd_user_info", "dwd_db", "dwd",
-        _schema(
+        schema_of(
             "user_id bigint, username string, email string, phone string, gender string, age int, city string, "
             "province string, registration_time timestamp, last_login_time timestamp, user_status string, "
             f"version int, is_active boolean, {_DWD}, dt string"
@@ -138,7 +138,7 @@ _SPECS = [
     ),
     TableSpec(
         "dwd_order_info", "dwd_db", "dwd",
-        _schema(
+        schema_of(
             f"order_id string, user_id bigint, product_id string, {_GOODS}, order_time timestamp, "
             "pay_time timestamp, finish_time timestamp, order_status string, payment_method string, quantity int, "
             "unit_price decimal(10,2), total_amount decimal(10,2), discount_amount decimal(10,2), "
@@ -148,7 +148,7 @@ _SPECS = [
     ),
     TableSpec(
         "dwd_product_info", "dwd_db", "dwd",
-        _schema(
+        schema_of(
             f"product_id string, {_GOODS}, price decimal(10,2), cost decimal(10,2), weight decimal(8,2), "
             f"dimensions string, description string, product_status string, {_DWD}, dt string"
         ),
@@ -156,7 +156,7 @@ _SPECS = [
     ),
     TableSpec(
         "dws_customer_summary", "dws_db", "dws",
-        _schema(
+        schema_of(
             "customer_id bigint, customer_name string, customer_type string, total_orders bigint, "
             "total_amount_usd decimal(15,2), avg_order_amount decimal(15,2), last_order_date date, "
             f"first_order_date date, stat_date string, customer_level string, {_ETL}, dt string"
@@ -165,7 +165,7 @@ _SPECS = [
     ),
     TableSpec(
         "dws_user_subject", "dws_db", "dws",
-        _schema(
+        schema_of(
             "user_id bigint, username string, email string, phone string, gender string, age int, city string, "
             "province string, registration_time timestamp, last_login_time timestamp, user_status string, "
             f"{_window_columns('order product', 'quantity', 'order_amount')}, first_order_time_30d timestamp, "
@@ -179,7 +179,7 @@ _SPECS = [
     ),
     TableSpec(
         "dws_product_subject", "dws_db", "dws",
-        _schema(
+        schema_of(
             f"product_id string, {_GOODS}, price decimal(10,2), cost decimal(10,2), weight decimal(8,2), "
             f"product_status string, {_window_columns('order user', 'sales_quantity', 'sales_amount')}, "
             "first_sale_time_30d timestamp, last_sale_time_30d timestamp, sales_level string, "
@@ -191,7 +191,7 @@ _SPECS = [
     ),
     TableSpec(
         "dws_region_subject", "dws_db", "dws",
-        _schema(
+        schema_of(
             f"province string, city string, "
             f"{_window_columns('order user product', 'sales_quantity', 'sales_amount')}, "
             "first_order_time_30d timestamp, last_order_time_30d timestamp, total_user_count bigint, "
@@ -204,7 +204,7 @@ _SPECS = [
     ),
     TableSpec(
         "data_quality_check_result", "dws_db", "audit",
-        _schema(
+        schema_of(
             "table_name string, total_rows bigint, null_cells bigint, null_ratio double, duplicate_rows bigint, "
             "duplicate_ratio double, passed boolean, issues string, check_date string"
         ),

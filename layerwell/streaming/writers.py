@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from layerwell.session import scratch_path
+from layerwell.session import materialize, scratch_path
 from layerwell.sinks.tables import write_path
 
 Trigger = dict[str, object]
@@ -89,6 +89,8 @@ def replace_rows(
     if not path_exists(spark, f"{staging}/_SUCCESS"):
         merged = rows
         if path_exists(spark, path):
+            # Used four times below; computed once.
+            rows = materialize(rows, "replace")
             # The table's schema is the rows' schema; partition values keep their own type.
             lead = F.col(partition_by[0])
             lowest, highest = rows.agg(F.min(lead), F.max(lead)).first()

@@ -25,7 +25,6 @@ from layerwell.streaming.writers import AVAILABLE_NOW, append_evolving, fan_out,
 from registry.common import AS_OF_TIME, CTES, D, oracle, plain
 
 PROPS = "map<string,string>"
-DAY_WINDOW = "1 day"
 
 
 def _source(spark, sf):
@@ -160,6 +159,12 @@ def _evolving(spark, sf):
     )
 
 
+def _hot_users(spark, sf):
+    """Users whose purchases over all windows and regions exceed the threshold."""
+    per_user = user_metrics(_metrics_input(spark, sf)).groupBy("user_id").agg(F.sum("total_revenue").alias("total_revenue"))
+    return hot_users(per_user).withColumn("total_revenue", F.round("total_revenue", 4))
+
+
 QUERIES = {
     "decode_events": lambda s, d: _decoded(decode_events(_broker_records(fixture(s, d, "ods_events")))),
     "table_stream": _table_stream,
@@ -177,9 +182,7 @@ QUERIES = {
     "fan_out": _fan_out,
     "append_evolving": _evolving,
     "sample_rows": lambda s, d: plain(sample_rows(fixture(s, d, "ods_events"), ["event_id"])),
-    "hot_users": lambda s, d: hot_users(user_metrics(_metrics_input(s, d), DAY_WINDOW)).withColumn(
-        "total_revenue", F.round("total_revenue", 4)
-    ),
+    "hot_users": _hot_users,
 }
 
 CTES["enriched_events"] = f"""
@@ -238,6 +241,7 @@ ORACLES = {
         "FROM enriched_events UNION ALL SELECT event_type, NULL, NULL FROM enriched_events) t GROUP BY ALL"
     ),
     "hot_users": oracle(
-        f"SELECT user_id, total_revenue FROM ({_metrics_sql('1 DAY')}) m WHERE total_revenue > 1000"
+        "SELECT user_id, ROUND(SUM(amount), 4) AS total_revenue FROM ods_events WHERE event_type = 'purchase' "
+        "GROUP BY user_id HAVING SUM(amount) > 1000"
     ),
 }

@@ -25,7 +25,7 @@ from layerwell.sinks.tables import (
     write_path,
 )
 from layerwell.sources.batch import import_files, read_partition, read_path_partition
-from layerwell.specs import TableSpec, _schema, layer_databases, warehouse_specs
+from layerwell.specs import TableSpec, layer_databases, schema_of, warehouse_specs
 from registry.aggregates import (
     PRODUCT_LABELS,
     REGION_LABELS,
@@ -109,7 +109,7 @@ def _overwrite_partitions(spark, sf):
     house = new_house(spark, "months")
     spec = TableSpec(
         "fact_order", house.specs["dwd_fact_order"].database, "dwd",
-        _schema(
+        schema_of(
             "order_id bigint, customer_id bigint, order_amount decimal(15,2), payment_method string, dt string, "
             "order_year int, order_month int"
         ),

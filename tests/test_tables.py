@@ -13,7 +13,7 @@ from layerwell.plans import daily
 from layerwell.sinks import catalog
 from layerwell.sinks.tables import conform, land_ods, overwrite_partition, overwrite_partitions, write_path
 from layerwell.sources.batch import read_partition, read_path_partition
-from layerwell.specs import TableSpec, _schema, layer_databases, warehouse_specs
+from layerwell.specs import TableSpec, layer_databases, schema_of, warehouse_specs
 from tests_support import dwd_ready_orders, product_rows, user_rows
 
 D = "2024-02-14"
@@ -29,7 +29,7 @@ def house(spark):
 
 @pytest.fixture()
 def spec(house):
-    return TableSpec("t", house.specs["ods_order"].database, "ods", _schema("k bigint, v string, dt string"), keys=("k",))
+    return TableSpec("t", house.specs["ods_order"].database, "ods", schema_of("k bigint, v string, dt string"), keys=("k",))
 
 
 def rows(spark, *values):
