@@ -7,13 +7,10 @@ one with.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: str | None = None
-
 TASK_BYTES = 128 * 1024**2
 
 
@@ -38,18 +35,13 @@ def settings_for(largest_shuffle_bytes: int, cores: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where that setting is absent (local tests) a temporary folder is used.
+    Where that setting is absent, a folder below the warehouse, which is shared by
+    construction.
     """
-    global _local_scratch
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="layerwell-")
-    return _local_scratch
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
