@@ -48,3 +48,46 @@ def running_totals(
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return rows.join(offsets, keys).withColumn("before", F.col("_inside") + F.col("_offset")).drop("_inside", "_offset")
+
+
+BITS_PER_KEY = 16
+MAX_FILTER_BITS = 1 << 26
+
+
+def filter_bits(keys: int) -> int:
+    """Size of a Bloom filter: a power of two with 16 bits per key, at most ``MAX_FILTER_BITS``.
+
+    More keys share the largest filter: more false positives, which later steps sort
+    out, but never a missed key. As a table of 64-bit words it has at most
+    MAX_FILTER_BITS / 64 rows of 12 bytes (12.6 MB), so it may always be broadcast.
+    """
+    return min(MAX_FILTER_BITS, 1 << max(10, (keys * BITS_PER_KEY - 1).bit_length()))
+
+
+def filter_words(keys: DataFrame, key: Column, bits: int, least: int = 1) -> DataFrame:
+    """Words (word, mask) of a Bloom filter with the cells that at least ``least`` rows hit."""
+    cells = keys.select(F.explode(F.array(*_cells(key, bits))).alias("cell"))
+    often = cells.groupBy("cell").count().where(F.col("count") >= least)
+    word, mask = F.shiftright("cell", 6), F.expr("shiftleft(1L, cell & 63)")
+    return often.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
+
+
+def with_filter_hit(rows: DataFrame, key: Column, words: DataFrame, bits: int, hit: str) -> DataFrame:
+    """Add boolean ``hit``: whether all cells of the row's key are in the filter."""
+    names = ["_cell1", "_cell2"]
+    rows = rows.withColumns(dict(zip(names, _cells(key, bits))))
+    for cell in names:
+        side = words.select(F.col("word").alias(f"{cell}_word"), F.col("mask").alias(f"{cell}_mask"))
+        rows = rows.join(F.broadcast(side), F.shiftright(cell, 6) == F.col(f"{cell}_word"), "left")
+    marked = [F.expr(f"coalesce({c}_mask & shiftleft(1L, {c} & 63), 0L) <> 0") for c in names]
+    extra = [f"{c}{end}" for c in names for end in ("", "_word", "_mask")]
+    return rows.withColumn(hit, marked[0] & marked[1]).drop(*extra)
+
+
+def _cells(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(seed), key), F.lit(bits)).cast("int") for seed in (1, 2)]
+
+
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """All columns as one struct, so that added columns cannot clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(name)

@@ -5,10 +5,8 @@ were hit more than once. Pass two looks each text up in that filter: a text whos
 two cells are both marked may be repeated and is shuffled to its equals; all others
 are certainly single and go straight through, without a shuffle.
 
-The filter has 16 bits per row, up to ``MAX_FILTER_BITS``. Larger inputs share that
-field, which costs false positives (more rows take the shuffle), never a result.
-As a table it has at most MAX_FILTER_BITS / 64 rows of 12 bytes (12.6 MB), so it
-may be broadcast at every size of the input.
+The filter has 16 bits per row up to a fixed size (``common.filter_bits``), so it may
+always be broadcast; beyond that size more rows take the shuffle, and no result changes.
 
 Defined results: null text counts as empty; empty texts are equal to each other;
 rows that repeat both text and doc_id are one document (``deduplicate`` keeps one row
@@ -21,11 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerwell.llm.common import ascii_lower
+from layerwell.llm.common import ascii_lower, filter_bits, filter_words, packed, with_filter_hit
 from layerwell.session import materialize
 
-BITS_PER_ROW = 16
-MAX_FILTER_BITS = 1 << 26
 SALTS = 64
 
 
@@ -34,41 +30,12 @@ def text_digest(text: Column) -> Column:
     return F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256)
 
 
-def filter_bits(rows: int) -> int:
-    """Power of two with room for ``BITS_PER_ROW`` bits per row, at most ``MAX_FILTER_BITS``."""
-    return min(MAX_FILTER_BITS, 1 << max(10, (rows * BITS_PER_ROW - 1).bit_length()))
-
-
-def _cells(digest: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(seed), digest), F.lit(bits)).cast("int") for seed in (1, 2)]
-
-
-def repeated_filter(digests: DataFrame, bits: int) -> DataFrame:
-    """Words of the filter (word, mask): cells hit by more than one row of ``digests``."""
-    cells = digests.select(F.explode(F.array(*_cells(F.col("digest"), bits))).alias("cell"))
-    often = cells.groupBy("cell").count().where("count > 1")
-    word, mask = F.shiftright("cell", 6), F.expr("shiftleft(1L, cell & 63)")
-    return often.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("mask"))
-
-
-def _maybe_repeated(rows: DataFrame, words: DataFrame, bits: int) -> DataFrame:
-    """Add ``maybe``: whether both cells of the row's digest are marked."""
-    rows = rows.withColumns(dict(zip(("_c1", "_c2"), _cells(F.col("digest"), bits))))
-    for cell in ("_c1", "_c2"):
-        hit = words.select(F.col("word").alias(f"{cell}_word"), F.col("mask").alias(f"{cell}_mask"))
-        rows = rows.join(F.broadcast(hit), F.shiftright(cell, 6) == F.col(f"{cell}_word"), "left")
-    marked = [F.expr(f"coalesce({c}_mask & shiftleft(1L, {c} & 63), 0L) <> 0") for c in ("_c1", "_c2")]
-    return rows.withColumn("maybe", marked[0] & marked[1]).drop(
-        *(f"{c}{end}" for c in ("_c1", "_c2") for end in ("", "_word", "_mask"))
-    )
-
-
 def _digests(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, int]:
     """Digest table (doc_id, digest), the filter's words and its size; texts are read once."""
     digest = F.unhex(text_digest(F.col(text_col)))
     digests = materialize(docs.select(F.col(id_col).alias("doc_id"), digest.alias("digest")), "digests")
     bits = filter_bits(digests.count())
-    return digests, materialize(repeated_filter(digests, bits), "repeated"), bits
+    return digests, materialize(filter_words(digests, F.col("digest"), bits, least=2), "repeated"), bits
 
 
 def duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -79,7 +46,7 @@ def duplicate_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``SALTS`` tasks and its rows are never brought together.
     """
     digests, words, bits = _digests(docs, id_col, text_col)
-    looked_up = _maybe_repeated(digests, words, bits)
+    looked_up = with_filter_hit(digests, F.col("digest"), words, bits, "maybe")
     sha = F.lower(F.hex("digest")).alias("text_sha256")
     single = looked_up.where("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha
@@ -105,9 +72,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     per task is shuffled. Equal ids are decided by the remaining columns.
     """
     digests, words, bits = _digests(docs, id_col, text_col)
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    digest = F.unhex(text_digest(F.col(text_col)))
-    looked_up = _maybe_repeated(docs.select(row.alias("row"), digest.alias("digest")), words, bits)
+    rows = docs.select(packed(docs), F.unhex(text_digest(F.col(text_col))).alias("digest"))
+    looked_up = with_filter_hit(rows, F.col("digest"), words, bits, "maybe")
     single = looked_up.where("not maybe").select("row.*")
     rank = F.struct(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"), F.to_json("row").alias("rest"))
     repeated = looked_up.where("maybe").groupBy("digest").agg(F.max_by("row", rank).alias("row")).select("row.*")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerwell.llm.common import running_totals, word_count
+from layerwell.llm.common import packed, running_totals, word_count
 from layerwell.session import materialize
 
 WEIGHTS = (1, 2, 3)
@@ -123,8 +123,7 @@ def mix(
     half a document at most.
     """
     narrow = materialize(_keyed(docs, id_col, text_col, source_col, seed), "sizes")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    full = _keyed(docs, id_col, text_col, source_col, seed, row=row, tie=F.xxhash64(F.col(text_col)))
+    full = _keyed(docs, id_col, text_col, source_col, seed, row=packed(docs), tie=F.xxhash64(F.col(text_col)))
     plan = _plan(narrow, full, weights, max_epochs)
     if not cut_documents:
         last = ((F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))).cast("long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from layerwell.llm import exact_dedup, mixing, packing
+from layerwell.llm import exact_dedup, mixing, near_dedup, packing
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -24,4 +24,5 @@ QUERIES = {
     "op2_best_fit_packing": _pack,
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
     "op6_exact_dedup": lambda s, d: exact_dedup.duplicate_report(_table(s, d, "documents")),
+    "op9_near_dedup": lambda s, d: near_dedup.near_duplicates(_table(s, d, "documents")),
 }
