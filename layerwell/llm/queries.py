@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from layerwell.llm import exact_dedup, mixing, near_dedup, packing
+from layerwell.llm import exact_dedup, language, mixing, near_dedup, packing
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -21,8 +22,10 @@ def _pack(spark, sf_dir):
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_best_fit_packing": _pack,
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
     "op6_exact_dedup": lambda s, d: exact_dedup.duplicate_report(_table(s, d, "documents")),
+    "op8_language_id": lambda s, d: language.language_report(_table(s, d, "documents")),
     "op9_near_dedup": lambda s, d: near_dedup.near_duplicates(_table(s, d, "documents")),
 }
