@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from layerwell.llm import exact_dedup, language, mixing, near_dedup, packing, toxicity
+from layerwell.llm import exact_dedup, language, mixing, near_dedup, packing, quality, toxicity
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -24,6 +24,7 @@ def _pack(spark, sf_dir):
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_toxicity": lambda s, d: toxicity.toxicity_report(_table(s, d, "documents"), _table(s, d, "labels")),
+    "op10_quality": lambda s, d: quality.quality_report(_table(s, d, "documents"), _table(s, d, "labels")),
     "op2_best_fit_packing": _pack,
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
     "op6_exact_dedup": lambda s, d: exact_dedup.duplicate_report(_table(s, d, "documents")),
