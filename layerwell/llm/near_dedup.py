@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerwell.llm.batches import groups
 from layerwell.llm.common import filter_bits, filter_words, packed, with_filter_hit
 from layerwell.llm.components import connected
 from layerwell.llm.sketch import REGISTERS, SHINGLE, Shingler, chunks, likely_similarity, sketch
@@ -166,29 +167,6 @@ def _star_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, m
     return materialize(ready.mapInArrow(verify, LINKS), "stars")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows that agree in the first ``keys`` columns."""
-    held: list[pa.RecordBatch] = []
-    name = None
-    for batch in batches:
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for first, last in zip(cuts[:-1], cuts[1:]):
-            if first == last:
-                continue
-            now = tuple(c[first] for c in columns)
-            if held and now != name:
-                yield pa.Table.from_batches(held)
-                held = []
-            name = now
-            held.append(batch.slice(first, last - first))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _block_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, members: DataFrame, known: DataFrame) -> DataFrame:
     """Links between classes of a bucket that ``known`` (node, component) does not connect yet."""
     labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -210,7 +188,7 @@ def _block_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame,
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(SHINGLE)
-        for group in _groups(batches, 4):
+        for group in groups(batches, 4):
             links = _compare_block(group, shingler)
             if links:
                 yield pa.RecordBatch.from_arrays(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from layerwell.llm import exact_dedup, language, mixing, near_dedup, packing, quality, toxicity
+from layerwell.llm import exact_dedup, language, mixing, near_dedup, neighbours, packing, quality, toxicity
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op1_toxicity": lambda s, d: toxicity.toxicity_report(_table(s, d, "documents"), _table(s, d, "labels")),
     "op10_quality": lambda s, d: quality.quality_report(_table(s, d, "documents"), _table(s, d, "labels")),
     "op2_best_fit_packing": _pack,
+    "op3_nearest_neighbours": lambda s, d: neighbours.search(_table(s, d, "embeddings"), F.col("vec_id") % 20 == 0),
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
     "op6_exact_dedup": lambda s, d: exact_dedup.duplicate_report(_table(s, d, "documents")),
     "op8_language_id": lambda s, d: language.language_report(_table(s, d, "documents")),
