@@ -49,4 +49,93 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op4_source_mixing": MIXING, "op6_exact_dedup": EXACT_DEDUP}
+
+def _spans(kind: str, rank: int, pattern: str, valid: str) -> str:
+    """Spans of one kind: text before a match and earlier matches give its position."""
+    return f"""
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, value, start, start + length(value) AS stop, before, after
+FROM (
+  SELECT doc_id, value,
+         sum(length(gap)) OVER (PARTITION BY doc_id ORDER BY i)
+           + coalesce(sum(length(value)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         right(gap, 60) AS before, left(lead(gap) OVER (PARTITION BY doc_id ORDER BY i), 60) AS after
+  FROM (
+    SELECT doc_id, unnest(range(len(gaps))) AS i, unnest(gaps) AS gap, unnest(list_append(found, NULL)) AS value
+    FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found
+          FROM texts WHERE regexp_matches(text, '{pattern}'))
+  )
+) WHERE value IS NOT NULL AND {valid}"""
+
+
+_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(length({_DIGITS})),
+  lambda i: CASE WHEN i % 2 = 0 THEN CAST({_DIGITS}[length({_DIGITS}) - i] AS INT)
+                 WHEN CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) > 4 THEN 2 * CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) - 9
+                 ELSE 2 * CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) END)) % 10 = 0"""
+_PARTS = "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || right(p, 3) AS INT) > 255)) = 0"
+_BASE = " UNION ALL ".join(
+    [
+        _spans("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        _spans("ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", _PARTS),
+        _spans("card", 2, r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 THEN {_LUHN} ELSE false END"),
+        _spans("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    ]
+)
+_TERMS = r"list_distinct(list_transform(list_filter(regexp_extract_all({0}, '\p{{L}}+'), lambda w: length(w) >= 4), lambda w: lower(w)))"
+
+PERSONAL_DATA = rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({_BASE}),
+entities AS (
+  SELECT *, rank || ':' || CASE rank WHEN 0 THEN lower(value) WHEN 1 THEN value ELSE {_DIGITS} END AS entity FROM base
+),
+near AS (
+  SELECT DISTINCT doc_id, entity, unnest({_TERMS.format(r"regexp_replace(before, '^\p{L}+', '') || ' ' || regexp_replace(after, '\p{L}+$', '')")}) AS term
+  FROM entities
+),
+held AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM entities GROUP BY entity),
+pairs AS (SELECT entity, term, count(*) AS n_ct FROM near GROUP BY entity, term HAVING count(*) >= 3),
+spoken AS (SELECT term, count(*) AS n_t FROM (SELECT unnest({_TERMS.format("text")}) AS term FROM texts) GROUP BY term),
+told AS (
+  SELECT entity, term, log2(total * n_ct / (CAST(n_c AS DOUBLE) * n_t)) AS shared, log2(total / n_c) AS whole
+  FROM pairs JOIN held USING (entity) JOIN spoken USING (term), (SELECT CAST(count(*) AS DOUBLE) AS total FROM documents)
+),
+marked AS (
+  SELECT doc_id, term, max(shared / whole) AS share
+  FROM near JOIN told USING (entity, term) WHERE whole > 0 AND shared >= 0.7 * whole GROUP BY doc_id, term
+),
+words AS (
+  SELECT doc_id, value,
+         sum(length(gap)) OVER (PARTITION BY doc_id ORDER BY i)
+           + coalesce(sum(length(value)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (
+    SELECT doc_id, unnest(range(len(gaps))) AS i, unnest(gaps) AS gap, unnest(list_append(found, NULL)) AS value
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\p{{L}}+') AS gaps, regexp_extract_all(text, '\p{{L}}+') AS found
+          FROM texts WHERE doc_id IN (SELECT doc_id FROM marked))
+  )
+),
+spans AS (
+  SELECT doc_id, rank, kind, start, stop FROM base
+  UNION ALL
+  SELECT w.doc_id, CASE WHEN share >= 0.95 THEN 5 ELSE 4 END, CASE WHEN share >= 0.95 THEN 'gone' ELSE 'term' END,
+         start, start + length(value)
+  FROM words w JOIN marked m ON w.doc_id = m.doc_id AND lower(w.value) = m.term
+),
+joined AS (
+  SELECT doc_id,
+         count(*) FILTER (WHERE rank = 0) AS n_email, count(*) FILTER (WHERE rank = 1) AS n_ip,
+         count(*) FILTER (WHERE rank = 2) AS n_card, count(*) FILTER (WHERE rank = 3) AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 4) AS own,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN joined j USING (doc_id)
+"""
+
+ORACLES = {
+    "op5_personal_data": PERSONAL_DATA,
+    "op4_source_mixing": MIXING,
+    "op6_exact_dedup": EXACT_DEDUP,
+}
