@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from layerwell.llm import exact_dedup, language, mixing, near_dedup, neighbours, packing, pii, quality, toxicity
+from layerwell.llm import chat, exact_dedup, language, mixing, near_dedup, neighbours, packing, pii, quality, toxicity
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -31,6 +31,7 @@ QUERIES = {
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
     "op5_personal_data": lambda s, d: pii.pii_report(_table(s, d, "documents")),
     "op6_exact_dedup": lambda s, d: exact_dedup.duplicate_report(_table(s, d, "documents")),
+    "op7_chat_perspectives": lambda s, d: chat.perspectives(_table(s, d, "conversations")),
     "op8_language_id": lambda s, d: language.language_report(_table(s, d, "documents")),
     "op9_near_dedup": lambda s, d: near_dedup.near_duplicates(_table(s, d, "documents")),
 }

@@ -134,7 +134,31 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM documents d LEFT JOIN joined j USING (doc_id)
 """
 
+CHAT = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS name, coalesce(text, '') AS text FROM conversations
+), seen AS (
+  SELECT t.*, perspective,
+         CASE WHEN name = 'system' THEN 'system' WHEN name = perspective THEN 'assistant' ELSE 'user' END AS role
+  FROM turns t
+  JOIN (SELECT DISTINCT conv_id, name AS perspective FROM turns WHERE name <> 'system') s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), headed AS (
+  SELECT *, '<|im_start|>' || role || CASE role WHEN 'user' THEN ' name=' || name ELSE '' END || chr(10) AS head FROM seen
+), rendered AS (
+  SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM headed
+), placed AS (
+  SELECT *, CAST(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, name, segment
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS stop
+  FROM rendered
+)
+SELECT conv_id, perspective, turn, role, name, segment, stop - length(segment) AS start, stop AS "end",
+       CASE role WHEN 'assistant' THEN stop - length(segment) + length(head) END AS mask_start,
+       CASE role WHEN 'assistant' THEN stop - 1 END AS mask_end
+FROM placed
+"""
+
 ORACLES = {
+    "op7_chat_perspectives": CHAT,
     "op5_personal_data": PERSONAL_DATA,
     "op4_source_mixing": MIXING,
     "op6_exact_dedup": EXACT_DEDUP,
