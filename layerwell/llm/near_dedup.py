@@ -42,7 +42,7 @@ SIMILARITY = (75, 100)
 BAND = 5
 BANDS = REGISTERS // BAND
 MARGIN = 0.12
-BLOCK = 256
+BLOCK = 1024
 SALTS = 64
 LINKS = "a long, b long"
 
