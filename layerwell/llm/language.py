@@ -22,10 +22,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from layerwell.llm.common import fold, packed
 from layerwell.session import materialize
@@ -36,7 +35,8 @@ DOCS_PER_LANGUAGE = 4000
 VOCABULARY = 40_000
 NGRAMS_KEPT = 20_000
 LEAST_COUNT = 2
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
+PART = 5000  # words scored at a time
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -98,38 +98,35 @@ def scorer(model: dict):
                 return scores[found].mean(axis=0)
         return np.zeros(len(languages))
 
-    class Words(dict):
-        """Index of a word's scores in ``rows``; words outside the vocabulary are scored once per task."""
-
-        def __missing__(self, word: str) -> int:
-            if len(word) > 64:
-                word = word[:32] + word[-32:]
-            if len(rows) >= len(table) + CACHED_WORDS:
-                self.clear()
-                self.update(known)
-                del rows[len(table) :]
-            rows.append(unseen(word))
-            self[word] = at = len(rows) - 1
-            return at
-
-    rows: list[np.ndarray] = list(table) if languages else []
-    index = Words(known)
+    if not languages:
+        return lambda text: (UNDETERMINED, 0.0)
+    rows = np.zeros((len(table) + CACHED_WORDS, len(languages)))
+    rows[: len(table)] = table
+    index = dict(known)
+
+    def place(word: str) -> int:
+        """Row of a word outside the vocabulary, which is scored once per task while there is room."""
+        if len(word) > 64:
+            word = word[:32] + word[-32:]
+        at = index.get(word)
+        if at is None:
+            at = index[word] = len(index)
+            rows[at] = unseen(word)
+        return at
 
     def score(text: str | None) -> tuple[str, float]:
         words = letters.findall(text.lower()) if text else []
-        if not words or not languages:
+        if not words:
             return UNDETERMINED, 0.0
         total = np.zeros(len(languages))
-        for first in range(0, len(words), 5000):
-            part = words[first : first + 5000]
-            if len(rows) + len(part) >= len(table) + CACHED_WORDS:  # room for the part, so that no index moves
+        for first in range(0, len(words), PART):
+            part = words[first : first + PART]
+            if len(index) + len(part) > len(rows):
                 index.clear()
                 index.update(known)
-                del rows[len(table) :]
-            counts: dict[int, int] = {}
-            for at in [index[w] for w in part]:
-                counts[at] = counts.get(at, 0) + 1
-            total += np.array(list(counts.values()), float) @ np.array([rows[at] for at in counts])
+            at = [index.get(w, -1) for w in part]
+            at = [i if i >= 0 else place(w) for i, w in zip(at, part)]
+            total += rows[at].sum(axis=0)
         total -= total.max()
         likely = np.exp(total)
         best = int(likely.argmax())
@@ -139,24 +136,21 @@ def scorer(model: dict):
 
 
 def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The documents with ``lang_pred`` and ``score`` added (columns of these names are replaced)."""
+    """The documents with ``lang_pred`` and ``score`` added (columns of these names are replaced).
+
+    Only the text goes to Python; the other columns wait in the executor.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    row = docs.select(*(F.col(f"`{c}`") for c in kept))
-    fields = [T.StructField("row", row.select(packed(row)).schema["row"].dataType)]
-    fields += [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("lang_pred string, score double")
+    def label(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         score = scorer(shared.value)
-        for batch in batches:
-            found = [score(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                names=["row", "lang_pred", "score"],
-            )
-
-    texts = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(text_col).alias("text"))
-    return texts.mapInArrow(label, T.StructType(fields)).select("row.*", "lang_pred", "score")
+        for batch in texts:
+            yield pd.DataFrame([score(t) for t in batch], columns=["lang_pred", "score"])
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    rows = docs.select(F.struct(*kept).alias("row"), label(F.col(text_col)).alias("found"))
+    return rows.select("row.*", "found.lang_pred", "found.score")
 
 
 def language_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +54,8 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(SHINGLE)
         for batch in batches:
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
-            for first, last in chunks(texts):
-                sets = shingler.sets(texts[first:last])
+            for first, last in chunks(_sizes(batch.column(1))):
+                sets = shingler.sets([t or b"" for t in batch.column(1).slice(first, last - first).to_pylist()])
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 registers = [r.tobytes() if len(s) else None for r, s in zip(sketch(sets), sets)]
                 yield pa.RecordBatch.from_arrays(
@@ -120,6 +120,10 @@ def _similar(left: np.ndarray, right: np.ndarray) -> bool:
     return SIMILARITY[1] * both >= SIMILARITY[0] * (len(left) + len(right) - both)
 
 
+def _sizes(texts: pa.Array) -> list[int]:
+    return pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+
+
 def _registers(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
@@ -155,14 +159,12 @@ def _star_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, m
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(SHINGLE)
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            text_a, text_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            for first, last in chunks([x + y for x, y in zip(text_a, text_b)]):
-                left = shingler.sets(text_a[first:last])
-                right = shingler.sets(text_b[first:last])
-                good = [i for i in range(first, last) if _similar(left[i - first], right[i - first])]
-                rows = [pa.array([a[i] for i in good], pa.int64()), pa.array([b[i] for i in good], pa.int64())]
-                yield pa.RecordBatch.from_arrays(rows, names=["a", "b"])
+            sizes = [x + y for x, y in zip(_sizes(batch.column(2)), _sizes(batch.column(3)))]
+            for first, last in chunks(sizes):
+                part = batch.slice(first, last - first)
+                left, right = shingler.sets(part.column(2).to_pylist()), shingler.sets(part.column(3).to_pylist())
+                good = pa.array([_similar(x, y) for x, y in zip(left, right)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(good)
 
     return materialize(ready.mapInArrow(verify, LINKS), "stars")
 
@@ -207,8 +209,9 @@ def _compare_block(group: pa.Table, shingler: Shingler) -> list[tuple[int, int]]
     node = group["node"].to_numpy()
     component = group["component"].to_numpy()
     registers = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(len(node), -1)
-    texts = group["text"].to_pylist()
-    sets = [s for first, last in chunks(texts) for s in shingler.sets(texts[first:last])]
+    texts = group["text"].combine_chunks()
+    parts = chunks(_sizes(texts))
+    sets = [s for first, last in parts for s in shingler.sets(texts.slice(first, last - first).to_pylist())]
     sizes = np.array([len(s) for s in sets], float)
     left, right = [], []
     for x in range(len(node) - 1):

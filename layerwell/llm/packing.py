@@ -33,7 +33,7 @@ from layerwell.session import materialize
 CAPACITY = 1024
 END_ID = 2
 ROWS_PER_SLICE = 200_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 PLAN_SCHEMA = "length int, rank_from long, rank_to long, first_sequence long, per_sequence long, first_offset long"
 
 

@@ -85,21 +85,23 @@ def _matches(text: Column, pattern: Column | str) -> Column:
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
+    # Zipped outside the lambda: what a lambda names is evaluated again for each of its elements.
+    zipped = F.arrays_zip(
+        found.alias("value"), F.slice(between, F.lit(1), F.size(found)).alias("gap"), F.slice(between, F.lit(2), F.size(found)).alias("next")
+    )
     nothing = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
 
-    def place(state: Column, i: Column) -> Column:
-        value, gap = F.element_at(found, i), F.element_at(between, i)
-        start = state["at"] + F.length(gap)
-        end = start + F.length(value)
+    def place(state: Column, x: Column) -> Column:
+        start = state["at"] + F.length(x["gap"])
+        end = start + F.length(x["value"])
         one = F.struct(
-            start.alias("start"), end.alias("end"), value.alias("value"),
-            F.right(gap, F.lit(WINDOW)).alias("before"), F.left(F.element_at(between, i + 1), F.lit(WINDOW)).alias("after"),
+            start.alias("start"), end.alias("end"), x["value"].alias("value"),
+            F.right(x["gap"], F.lit(WINDOW)).alias("before"), F.left(x["next"], F.lit(WINDOW)).alias("after"),
         )
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
     state = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
-    placed = F.aggregate(F.sequence(F.lit(1), F.size(found)), state, place, lambda s: s["out"])
-    return F.when(F.size(found) > 0, placed).otherwise(nothing)
+    return F.aggregate(zipped, state, place, lambda s: s["out"])
 
 
 def _kind_spans(text: Column, rank: int, kind: str) -> Column:

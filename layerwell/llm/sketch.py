@@ -136,13 +136,13 @@ def likely_similarity(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n
     return np.take_along_axis(grid, value.argmax(axis=1)[:, None], axis=1)[:, 0]
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES):
-    """Index ranges of consecutive texts of about ``size`` bytes together."""
+def chunks(sizes: list[int], limit: int = CHUNK_BYTES):
+    """Index ranges of consecutive texts of about ``limit`` bytes together."""
     first, total = 0, 0
-    for i, text in enumerate(texts):
-        total += len(text)
-        if total >= size:
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= limit:
             yield first, i + 1
             first, total = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(sizes):
+        yield first, len(sizes)
