@@ -17,7 +17,6 @@ FIRST_DATE = "2024-01-01"
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-SPREAD_TABLES = ("lineitem", "orders", "events")
 
 VIEWS = {
     "ods_user_info": """
@@ -67,9 +66,13 @@ SELECT CAST(event_id AS STRING) AS event_id, CAST(user_id AS STRING) AS user_id,
   (event_id * 7919) % 4294967296 AS ip_num, 'agent' AS user_agent, props AS properties
 FROM {events}
 """,
-    "ods_order_head": """
-SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id
-  ORDER BY product_id, quantity, total_amount, discount_amount, final_amount) AS rn FROM {ods_order_info}) t WHERE rn = 1
+    "ods_order_lines": """
+SELECT concat(order_id, '-', CAST(ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY product_id NULLS FIRST, quantity NULLS FIRST,
+    total_amount NULLS FIRST, discount_amount NULLS FIRST, final_amount NULLS FIRST, unit_price NULLS FIRST, order_status NULLS FIRST,
+    order_time NULLS FIRST, pay_time NULLS FIRST, finish_time NULLS FIRST) AS STRING)) AS order_id,
+  user_id, product_id, product_name, category_id, category_name, brand_id, brand_name, order_time, pay_time, finish_time, order_status,
+  payment_method, quantity, unit_price, total_amount, discount_amount, final_amount, province, city, dt
+FROM {ods_order_info}
 """,
     "ods_customer": """
 SELECT c_custkey AS customer_id, concat('C', CAST(c_custkey AS STRING)) AS customer_code, c_name AS customer_name, c_mktsegment AS customer_type,
@@ -152,7 +155,6 @@ SELECT r_regionkey * CAST(800000000 AS BIGINT) AS ip_from, r_regionkey * CAST(80
 """,
 }
 
-HEAD_ORDER = ("product_id", "quantity", "total_amount", "discount_amount", "final_amount")
 
 
 def inputs_of(sql: str) -> list[str]:
@@ -161,32 +163,18 @@ def inputs_of(sql: str) -> list[str]:
 
 
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table. A large one that comes in fewer files than there are cores is spread over them;
-    with many files, as on a cluster, the scan is parallel already and nothing is shuffled."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_TABLES and len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
+    """A base table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark frame of a derived view or a base table."""
     if name in BASE_TABLES:
         return base_table(spark, sf_dir, name)
-    if name == "ods_order_head":
-        return _order_head(fixture(spark, sf_dir, "ods_order_info"))
     sql = VIEWS[name]
     return spark.sql(sql, **{table: fixture(spark, sf_dir, table) for table in inputs_of(sql)})
 
 
-def _order_head(order_info: DataFrame) -> DataFrame:
-    """First row of each order as an aggregate, which combines before the shuffle."""
-    rest = [c for c in order_info.columns if c not in HEAD_ORDER and c != "order_id"]
-    first = order_info.groupBy("order_id").agg(F.min(F.struct(*HEAD_ORDER, *rest)).alias("head"))
-    return first.select(*("order_id" if c == "order_id" else f"head.{c}" for c in order_info.columns))
-
-
 def oracle_views(*names: str) -> list[tuple[str, str]]:
     """(name, SQL) of the views and of those they read, inputs first."""
     done: dict[str, str] = {}

@@ -161,15 +161,17 @@ def transform_orders(orders_raw: DataFrame, dt: str | None = None) -> DataFrame:
     """
     c = F.col
     present = [c(k).isNotNull() for k in ("order_id", "user_id", "product_id", "order_timestamp")]
-    keep = (c("order_quantity") > 0) & (c("order_amount") >= 0)
+    quantity, amount = c("order_quantity").try_cast("int"), c("order_amount").try_cast("decimal(18,2)")
+    # Text is typed before it is compared: what is no number becomes null and is left out, whatever the cast mode.
+    keep = (c("order_quantity").try_cast("double") > 0) & (amount >= 0)
     for term in present:
         keep = keep & term
     return orders_raw.where(keep).select(
         c("order_id").cast("string").alias("order_id"),
         c("user_id").try_cast("bigint").alias("user_id"),
         c("product_id").cast("string").alias("product_id"),
-        c("order_quantity").cast("int").alias("order_quantity"),
-        c("order_amount").cast("decimal(18,2)").alias("order_amount"),
+        F.coalesce(quantity, c("order_quantity").try_cast("double").try_cast("int")).alias("order_quantity"),
+        amount.alias("order_amount"),
         c("order_timestamp").try_cast("timestamp").alias("order_ts"),
         F.coalesce(F.lower(F.trim("order_status")), F.lit("unknown")).alias("order_status"),
         (c("dt") if dt is None else F.lit(dt)).alias("dt"),

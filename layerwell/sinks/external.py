@@ -36,7 +36,8 @@ def append_jdbc(df: DataFrame, url: str, table: str, options: dict[str, str] | N
 
 def sample_rows(df: DataFrame, key: list[str], fraction: float = SAMPLE_SHARE) -> DataFrame:
     """Rows whose key hash falls in the fraction; a key is always in or always out."""
-    bucket = F.pmod(F.xxhash64(*key), F.lit(SAMPLE_BUCKETS))
+    digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key)))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % SAMPLE_BUCKETS
     return df.where(bucket < int(fraction * SAMPLE_BUCKETS))
 
 

@@ -69,10 +69,14 @@ def _insert(rows: DataFrame, spec: TableSpec) -> int:
 
 
 def write_path(
-    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: tuple[str, ...] = ()
+    df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: tuple[str, ...] = (),
+    rebalance: bool = True,
 ) -> None:
-    """Write to a directory in a chosen format; overwriting keeps partitions not in the frame."""
-    if partition_by:
+    """Write to a directory in a chosen format; overwriting keeps partitions not in the frame.
+
+    Without ``rebalance`` rows are written by the tasks they are in.
+    """
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode.lower())
     if partition_by:
@@ -84,9 +88,9 @@ def land_ods(df: DataFrame, spec: TableSpec, dt: str, max_files: int | None = No
     """Land raw rows of a day, filling columns the source lacks with nulls.
 
     Each read task writes one file, without a shuffle. ``max_files`` bounds the
-    number of files and with it the tasks of the read; set it for small inputs only.
+    number of files; the read keeps its own tasks.
     """
-    return overwrite_partition(df if max_files is None else df.coalesce(max_files), spec, dt, fill_missing=True)
+    return overwrite_partition(df if max_files is None else df.repartition(max_files), spec, dt, fill_missing=True)
 
 
 def append_quality_result(gate_row: DataFrame, spec: TableSpec, check_date: str) -> None:

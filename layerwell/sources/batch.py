@@ -28,7 +28,8 @@ def import_files(
     if schema is not None:
         reader = reader.schema(schema)
     if kind == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
+        # Quotes inside a quoted value are doubled, as the format's standard has it.
+        reader = reader.option("header", True).option("inferSchema", schema is None).option("escape", '"')
     return reader.format(kind).load(path).withColumn("dt", F.lit(dt))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from layerwell.functions import age_years, clean_phone, ip_region
+from layerwell.functions import age_years, clean_phone, ip_number, ip_region
 from layerwell.operators.sequence import SESSION_KEYS, session_sequence
 from layerwell.sources.events import decode_events
 from layerwell.streaming.writers import Sink, Trigger, fan_out, replace_rows, start_append
@@ -19,6 +19,7 @@ WINDOW = "5 minutes"
 RECENCY = "1 hour"
 BRONZE_TRIGGER: Trigger = {"processingTime": "30 seconds"}
 MINUTE_TRIGGER: Trigger = {"processingTime": "1 minute"}
+BRONZE_PARTITIONS = ("event_date",)
 SILVER_PARTITIONS = ("date", "user_segment")
 GOLD_PARTITIONS = ("window_date",)
 GOLD_MATCH = ("window_start", "user_id", "user_region")
@@ -37,13 +38,17 @@ def clean_events(df: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     )
     rows = df.where(valid)
     if not df.isStreaming:
-        return rows.dropDuplicates(["event_id"])
+        # Of rows with one id the earliest stays, then the smallest, so a rerun keeps the same one.
+        order = ["event_time", *(c for c, kind in df.dtypes if c != "event_time" and not kind.startswith("map"))]
+        row = F.struct(*df.columns)
+        return rows.groupBy("event_id").agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
     return rows.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def ingest_bronze(raw: DataFrame, path: str, checkpoint: str, trigger: Trigger = BRONZE_TRIGGER) -> StreamingQuery:
-    """Decode, clean and append broker records."""
-    return start_append(clean_events(decode_events(raw)), path, checkpoint, trigger)
+    """Decode, clean and append broker records by day of the event."""
+    events = clean_events(decode_events(raw)).withColumn("event_date", F.date_format("event_time", "yyyy-MM-dd"))
+    return start_append(events, path, checkpoint, trigger, BRONZE_PARTITIONS)
 
 
 def recent(df: DataFrame, as_of: str, span: str = RECENCY) -> DataFrame:
@@ -55,7 +60,7 @@ def recent(df: DataFrame, as_of: str, span: str = RECENCY) -> DataFrame:
 def enrich_events(
     events: DataFrame, profiles: DataFrame, catalog: DataFrame, ip_ranges: DataFrame, as_of: str
 ) -> DataFrame:
-    """Left join user profile, product category and IP region; all three are static.
+    """Left join user profile, product category and the region of the IP address; all three are static.
 
     Spark broadcasts a static side that is below the session's size threshold
     and shuffles it otherwise.
@@ -68,7 +73,8 @@ def enrich_events(
     )
     goods = catalog.select("product_id", F.col("category").alias("product_category"))
     joined = events.join(people, "user_id", "left").join(goods, "product_id", "left")
-    return ip_region(joined, ip_ranges).withColumn("date", F.date_format("event_time", "yyyy-MM-dd"))
+    joined = joined.withColumn("_ip", ip_number(F.col("ip_address")))
+    return ip_region(joined, ip_ranges, "_ip").drop("_ip").withColumn("date", F.date_format("event_time", "yyyy-MM-dd"))
 
 
 def write_silver(df: DataFrame, path: str, checkpoint: str, trigger: Trigger = MINUTE_TRIGGER) -> StreamingQuery:
@@ -92,10 +98,10 @@ def write_sequenced_silver(
     batch frame.
     """
 
-    def rebuild(batch: DataFrame, batch_id: int) -> None:
+    def rebuild(batch: DataFrame, name: str) -> None:
         touched = batch.select(*keys).distinct()
         sessions = bronze().join(touched, list(keys), "left_semi")
-        replace_rows(session_sequence(sessions, tuple(keys)), path, keys, SILVER_PARTITIONS, str(batch_id))
+        replace_rows(session_sequence(sessions, tuple(keys)), path, keys, SILVER_PARTITIONS, name)
 
     return fan_out(stream, [rebuild], checkpoint, trigger)
 
@@ -126,8 +132,8 @@ def flat_metrics(metrics: DataFrame) -> DataFrame:
 def gold_table_sink(path: str) -> Sink:
     """Sink that keeps one row per window, user and region."""
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        replace_rows(flat_metrics(batch), path, GOLD_MATCH, GOLD_PARTITIONS, str(batch_id))
+    def put(batch: DataFrame, name: str) -> None:
+        replace_rows(flat_metrics(batch), path, GOLD_MATCH, GOLD_PARTITIONS, name)
 
     return put
 

@@ -40,7 +40,7 @@ PRODUCT_NUMBERS = "category_id brand_id price cost weight".split()
 
 
 def _heads(spark, sf):
-    return clean.clean_orders(fixture(spark, sf, "ods_order_head"))
+    return clean.clean_orders(fixture(spark, sf, "ods_order_lines"))
 
 
 def _report(spark, sf):
@@ -179,7 +179,7 @@ ORACLES = {
         "CASE WHEN dq_score >= 0.8 THEN 'GOOD' WHEN dq_score >= 0.6 THEN 'FAIR' ELSE 'POOR' END AS dq_status "
         f"FROM ({_CUSTOMER_SCORES}) s) g GROUP BY dq_status"
     ),
-    "quality_gate": _gate("dwd_order_heads", ["order_time"]),
+    "quality_gate": _gate("dwd_order_lines", ["order_time"]),
     "quality_gate_failing": _gate("dwd_orders", ["order_time", "finish_time"]),
     "range_profile": oracle(
         _union(

@@ -77,9 +77,13 @@ def _statics(spark, sf):
     return [fixture(spark, sf, n) for n in ("user_profiles", "product_catalog", "ip_ranges")]
 
 
-def _enriched(spark, sf, events=None):
-    events = _events(base_table(spark, sf, "events")) if events is None else events
-    return enrich_events(events, *_statics(spark, sf), D)
+def _records(spark, sf, source=None):
+    """Decoded broker records of the event table, from a batch or streaming read."""
+    return decode_events(_broker_records(_events(base_table(spark, sf, "events") if source is None else source)))
+
+
+def _enriched(spark, sf, source=None):
+    return enrich_events(_records(spark, sf, source), *_statics(spark, sf), D)
 
 
 def _metrics_input(spark, sf):
@@ -103,19 +107,19 @@ def _bronze(spark, sf):
     events = _events(_source(spark, sf))
     raw = _broker_records(events.union(events))
     _run(ingest_bronze(raw, path, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
-    return _decoded(spark.read.parquet(path))
+    return _decoded(spark.read.parquet(path).drop("event_date"))
 
 
 def _silver(spark, sf):
     path = scratch_path(spark, "silver")
-    stream = _enriched(spark, sf, _events(_source(spark, sf)))
+    stream = _enriched(spark, sf, _source(spark, sf))
     _run(write_silver(stream, path, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
-    return plain(spark.read.parquet(path).withColumn("date", F.col("date").cast("string")))
+    return _decoded(spark.read.parquet(path).withColumn("date", F.col("date").cast("string")))
 
 
 def _sequenced(spark, sf):
     path = scratch_path(spark, "sequenced")
-    stream = _events(_source(spark, sf))
+    stream = _records(spark, sf, _source(spark, sf))
     _run(
         write_sequenced_silver(
             stream, lambda: _enriched(spark, sf), path, scratch_path(spark, "ckpt"), AVAILABLE_NOW
@@ -124,19 +128,43 @@ def _sequenced(spark, sf):
     return plain(spark.read.parquet(path).select("event_id", "user_id", "session_id", "event_time", "seq", "prev_time"))
 
 
+def _read_gold(spark, path):
+    return _metric_rows(spark.read.parquet(path).withColumn("window_date", F.col("window_date").cast("string")))
+
+
 def _gold(spark, sf):
     path = scratch_path(spark, "gold")
-    stream = _enriched(spark, sf, _events(_source(spark, sf)))
+    stream = _enriched(spark, sf, _source(spark, sf))
     _run(write_gold(user_metrics(stream), [gold_table_sink(path)], scratch_path(spark, "ckpt"), AVAILABLE_NOW))
-    return _metric_rows(spark.read.parquet(path).withColumn("window_date", F.col("window_date").cast("string")))
+    return _read_gold(spark, path)
+
+
+def _gold_restarted(spark, sf):
+    """Purchases first, then all events from a fresh checkpoint, whose batch numbers start again."""
+    path = scratch_path(spark, "gold")
+    for events in ("event_type = 'purchase'", "true"):
+        stream = _enriched(spark, sf, _source(spark, sf)).where(events)
+        _run(write_gold(user_metrics(stream), [gold_table_sink(path)], scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    return _read_gold(spark, path)
+
+
+def _bronze_to_gold(spark, sf):
+    """JSON bytes to bronze, bronze to silver, silver to gold, each a stream over the files of the one before."""
+    bronze, silver, gold = (scratch_path(spark, layer) for layer in ("bronze", "silver", "gold"))
+    again = lambda path: table_stream(spark, path, spark.read.parquet(path).schema)
+    ckpt = lambda: scratch_path(spark, "ckpt")
+    _run(ingest_bronze(_broker_records(_events(_source(spark, sf))), bronze, ckpt(), AVAILABLE_NOW))
+    _run(write_silver(enrich_events(again(bronze), *_statics(spark, sf), D), silver, ckpt(), AVAILABLE_NOW))
+    _run(write_gold(user_metrics(again(silver)), [gold_table_sink(gold)], ckpt(), AVAILABLE_NOW))
+    return _read_gold(spark, gold)
 
 
 def _fan_out(spark, sf):
     """Each micro-batch to two sinks: all events, and purchases only."""
     everything, purchases = scratch_path(spark, "all"), scratch_path(spark, "purchases")
     sinks = [
-        lambda batch, batch_id: append_evolving(batch, everything, batch_id),
-        lambda batch, batch_id: append_evolving(batch.where("event_type = 'purchase'"), purchases, batch_id),
+        lambda batch, name: append_evolving(batch, everything, name),
+        lambda batch, name: append_evolving(batch.where("event_type = 'purchase'"), purchases, name),
     ]
     _run(fan_out(_events(_source(spark, sf)), sinks, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
     counted = [
@@ -170,7 +198,7 @@ QUERIES = {
     "table_stream": _table_stream,
     "ingest_bronze": _bronze,
     "clean_events": lambda s, d: plain(clean_events(fixture(s, d, "ods_events").union(fixture(s, d, "ods_events")))),
-    "enrich_events": lambda s, d: plain(_enriched(s, d)),
+    "enrich_events": lambda s, d: _decoded(_enriched(s, d)),
     "session_sequence": lambda s, d: plain(
         session_sequence(fixture(s, d, "ods_events").select("event_id", "user_id", "session_id", "event_time"))
     ),
@@ -179,46 +207,53 @@ QUERIES = {
     "recent": lambda s, d: plain(recent(fixture(s, d, "ods_events"), AS_OF_TIME)),
     "write_silver": _silver,
     "write_gold": _gold,
+    "write_gold_restarted": _gold_restarted,
+    "bronze_to_gold": _bronze_to_gold,
     "fan_out": _fan_out,
     "append_evolving": _evolving,
     "sample_rows": lambda s, d: plain(sample_rows(fixture(s, d, "ods_events"), ["event_id"])),
     "hot_users": _hot_users,
 }
 
+CTES["addressed_events"] = """
+SELECT * EXCLUDE (properties),
+  concat_ws('.', CAST(ip_num // 16777216 AS VARCHAR), CAST(ip_num // 65536 % 256 AS VARCHAR),
+    CAST(ip_num // 256 % 256 AS VARCHAR), CAST(ip_num % 256 AS VARCHAR)) AS ip_address,
+  json_extract_string(properties, '$.k') AS properties, event_time AS kafka_timestamp
+FROM ods_events
+"""
+
 CTES["enriched_events"] = f"""
-SELECT e.*, u.user_segment, regexp_replace(u.phone, '[^0-9]', '', 'g') AS clean_phone,
+SELECT e.* EXCLUDE (ip_num), u.user_segment, regexp_replace(u.phone, '[^0-9]', '', 'g') AS clean_phone,
   CAST(year(DATE '{D}') - year(TRY_CAST(u.birth_date AS DATE)) - CASE WHEN strftime(DATE '{D}', '%m%d')
     < strftime(TRY_CAST(u.birth_date AS DATE), '%m%d') THEN 1 ELSE 0 END AS INT) AS user_age,
   p.category AS product_category, r.region AS user_region, CAST(CAST(e.event_time AS DATE) AS VARCHAR) AS date
-FROM ods_events e LEFT JOIN user_profiles u ON e.user_id = u.user_id LEFT JOIN product_catalog p ON e.product_id = p.product_id
+FROM addressed_events e LEFT JOIN user_profiles u ON e.user_id = u.user_id LEFT JOIN product_catalog p ON e.product_id = p.product_id
 LEFT JOIN ip_ranges r ON e.ip_num BETWEEN r.ip_from AND r.ip_to
 """
 
 
-def _metrics_sql(interval: str) -> str:
+def _metrics_sql(interval: str, keep: str = "TRUE") -> str:
     return (
         "SELECT user_id, user_region, CAST(w AS VARCHAR) AS window_start, "
         f"CAST(w + INTERVAL {interval} AS VARCHAR) AS window_end, COUNT(*) AS event_count, "
         "ROUND(SUM(CASE WHEN event_type = 'purchase' THEN amount ELSE 0 END), 4) AS total_revenue, "
         "CAST(CAST(w AS DATE) AS VARCHAR) AS window_date FROM (SELECT *, "
-        f"time_bucket(INTERVAL {interval}, event_time, TIMESTAMP '1970-01-01') AS w FROM enriched_events) t "
+        f"time_bucket(INTERVAL {interval}, event_time, TIMESTAMP '1970-01-01') AS w FROM enriched_events WHERE {keep}) t "
         "GROUP BY user_id, user_region, w"
     )
 
 
 _TIME = "CAST(event_time AS VARCHAR) AS event_time"
-_DECODED = oracle(f"""
-SELECT event_id, user_id, session_id, event_type, {_TIME}, product_id, amount,
-  concat_ws('.', CAST(ip_num // 16777216 AS VARCHAR), CAST(ip_num // 65536 % 256 AS VARCHAR),
-    CAST(ip_num // 256 % 256 AS VARCHAR), CAST(ip_num % 256 AS VARCHAR)) AS ip_address,
-  user_agent, json_extract_string(properties, '$.k') AS properties, CAST(event_time AS VARCHAR) AS kafka_timestamp
-FROM ods_events""")
+_ARRIVED = "CAST(kafka_timestamp AS VARCHAR) AS kafka_timestamp"
+_DECODED = oracle(f"SELECT * EXCLUDE (ip_num) REPLACE ({_TIME}, {_ARRIVED}) FROM addressed_events")
 _SEQUENCE = oracle("""
 SELECT event_id, user_id, session_id, CAST(event_time AS VARCHAR) AS event_time,
   CAST(ROW_NUMBER() OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS BIGINT) AS seq,
   CAST(LAG(event_time) OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS VARCHAR) AS prev_time
 FROM ods_events""")
-_ENRICHED = oracle(f"SELECT * REPLACE ({_TIME}) FROM enriched_events")
+_ENRICHED = oracle(f"SELECT * REPLACE ({_TIME}, {_ARRIVED}) FROM enriched_events")
+_SAMPLED = "CAST('0x' || substr(md5(event_id), 1, 8) AS BIGINT) % 10000 < 1000"
 
 ORACLES = {
     "decode_events": _DECODED,
@@ -234,6 +269,9 @@ ORACLES = {
     ),
     "write_silver": _ENRICHED,
     "write_gold": oracle(_metrics_sql("5 MINUTE")),
+    "write_gold_restarted": oracle(_metrics_sql("5 MINUTE")),
+    "bronze_to_gold": oracle(_metrics_sql("5 MINUTE", "amount IS NULL OR amount >= 0")),
+    "sample_rows": oracle(f"SELECT * REPLACE ({_TIME}) FROM ods_events WHERE {_SAMPLED}"),
     "fan_out": "SELECT 'all' AS sink, COUNT(*) AS n_rows FROM events UNION ALL "
     "SELECT 'purchases', COUNT(*) FROM events WHERE event_type = 'purchase'",
     "append_evolving": oracle(

@@ -52,7 +52,7 @@ def new_house(spark, label: str) -> Warehouse:
 
 def _land_orders(house, sf):
     """All days of the order heads in the ODS table."""
-    overwrite_partitions(fixture(house.spark, sf, "ods_order_head"), house.specs[ORDERS])
+    overwrite_partitions(fixture(house.spark, sf, "ods_order_lines"), house.specs[ORDERS])
 
 
 def _landed(spark, sf, label: str) -> Warehouse:
@@ -72,10 +72,13 @@ def _per_day(df):
 
 def _import(kind):
     def query(spark, sf):
-        rows = fixture(spark, sf, "ods_customer").select("customer_id", "customer_code", "customer_type", "status")
+        rows = fixture(spark, sf, "ods_customer")
+        # Quotes, separators and a missing value in the address.
+        odd = F.when(F.col("customer_id") % 3 == 0, F.concat(F.lit('"no, 1" '), "address")).when(F.col("customer_id") % 3 == 1, F.col("address"))
+        rows = rows.withColumn("address", odd).drop("dt")
         path = scratch_path(spark, f"import-{kind}")
-        rows.write.format(kind).option("header", True).save(path)
-        return import_files(spark, kind, path, D, None if kind == "csv" else rows.schema)
+        rows.write.format(kind).option("header", True).option("escape", '"').save(path)
+        return plain(import_files(spark, kind, path, D, rows.schema))
 
     return query
 
@@ -93,7 +96,7 @@ def _overwrite_partition(spark, sf):
     house = new_house(spark, "overwrite")
     _land_orders(house, sf)
     spec = house.specs[ORDERS]
-    completed = fixture(spark, sf, "ods_order_head").where((F.col("dt") == D) & (F.col("order_status") == "4"))
+    completed = fixture(spark, sf, "ods_order_lines").where((F.col("dt") == D) & (F.col("order_status") == "4"))
     overwrite_partition(completed, spec, D)
     return _per_day(spark.table(spec.qualified))
 
@@ -156,7 +159,7 @@ def _land_ods(spark, sf):
 def _audit(spark, sf):
     house = new_house(spark, "audit")
     spec = house.specs["data_quality_check_result"]
-    heads = clean.clean_orders(fixture(spark, sf, "ods_order_head"))
+    heads = clean.clean_orders(fixture(spark, sf, "ods_order_lines"))
     gates = [
         quality.quality_gate(heads, "dwd_order_info", ["order_id"], nullable_dates=GATE_DATES),
         quality.quality_gate(dwd_products(spark, sf), "dwd_product_info", ["product_id"]),
@@ -198,7 +201,7 @@ def _repair(spark, sf):
     location = (
         catalog.describe_table(spark, spec.qualified).where("col_name = 'Location'").first().data_type
     )
-    write_path(conform(fixture(spark, sf, "ods_order_head"), spec), location, partition_by=("dt",))
+    write_path(conform(fixture(spark, sf, "ods_order_lines"), spec), location, partition_by=("dt",))
     catalog.repair_table(spark, spec.qualified)
     return _per_day(spark.table(spec.qualified))
 
@@ -313,13 +316,16 @@ QUERIES = {
     "rebuild": _rebuild,
 }
 
-_IMPORT = oracle(f"SELECT customer_id, customer_code, customer_type, status, '{D}' AS dt FROM ods_customer")
+_IMPORT = oracle(
+    "SELECT * REPLACE (CAST(registration_date AS VARCHAR) AS registration_date, CASE customer_id % 3 WHEN 0 THEN '\"no, 1\" ' || address "
+    f"WHEN 1 THEN address END AS address, '{D}' AS dt) FROM ods_customer"
+)
 _DAYS = "SELECT dt, COUNT(*) AS n_rows, CAST(SUM(final_amount) AS DOUBLE) AS amount FROM {} GROUP BY dt"
 _CUSTOMER_COUNT = "(SELECT COUNT(*) FROM ods_customer)"
 _USERS, _PRODUCTS, _DAY_ORDERS = (
     "(SELECT COUNT(*) FROM ods_user_info)",
     "(SELECT COUNT(*) FROM ods_product_info)",
-    f"(SELECT COUNT(*) FROM ods_order_head WHERE dt = '{D}')",
+    f"(SELECT COUNT(*) FROM ods_order_lines WHERE dt = '{D}')",
 )
 _TABLES = [s.name for s in warehouse_specs().values() if s.layer in ("ods", "dwd", "dws")]
 _SUBJECT_STATS = (
@@ -333,14 +339,14 @@ ORACLES = {
     "import_parquet": _IMPORT,
     "read_partition": oracle(
         "SELECT order_id, user_id, product_id, quantity, CAST(final_amount AS DOUBLE) AS final_amount, dt "
-        f"FROM ods_order_head WHERE dt = '{D}'"
+        f"FROM ods_order_lines WHERE dt = '{D}'"
     ),
     "read_path_partition": oracle(
         f"SELECT order_id, product_id, CAST(order_amount AS DOUBLE) AS order_amount, order_status, '{D}' AS dt FROM script_orders "
         f"WHERE CAST(order_ts AS DATE) = DATE '{D}' AND order_status <> 'cancelled'"
     ),
     "overwrite_partition": oracle(
-        _DAYS.format(f"(SELECT * FROM ods_order_head WHERE dt <> '{D}' OR order_status = '4') t")
+        _DAYS.format(f"(SELECT * FROM ods_order_lines WHERE dt <> '{D}' OR order_status = '4') t")
     ),
     "overwrite_partitions": oracle(
         "SELECT dt, order_year, order_month, COUNT(*) AS n_rows, CAST(SUM(order_amount) AS DOUBLE) AS amount FROM crm_fact "
@@ -356,7 +362,7 @@ ORACLES = {
     ),
     "append_quality_result": oracle(f"""
 SELECT 'dwd_order_info' AS table_name, COUNT(*) AS total_rows, COUNT(*) - COUNT(DISTINCT order_id) AS duplicate_rows,
-  TRUE AS passed, '{D}' AS check_date FROM dwd_order_heads
+  TRUE AS passed, '{D}' AS check_date FROM dwd_order_lines
 UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product_id), TRUE, '{D}' FROM dwd_products"""),
     "create_layer_tables": oracle(
         " UNION ALL ".join(
@@ -374,7 +380,7 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
             if f.name != "dt"
         )
     ),
-    "repair_table": oracle(_DAYS.format("ods_order_head")),
+    "repair_table": oracle(_DAYS.format("ods_order_lines")),
     "compact_partition": oracle(
         "SELECT COUNT(*) AS n_rows, CAST(SUM(customer_id) AS BIGINT) AS id_sum, TRUE AS fewer_files FROM ods_customer"
     ),
@@ -383,17 +389,17 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
         f"UNION ALL SELECT 'ods_order_info', {_DAY_ORDERS}"
     ),
     "drop_expired": oracle(
-        _DAYS.format(f"(SELECT * FROM ods_order_head WHERE dt >= '{day_shift(D, -KEEP_DAYS)}') t")
+        _DAYS.format(f"(SELECT * FROM ods_order_lines WHERE dt >= '{day_shift(D, -KEEP_DAYS)}') t")
     ),
     "is_fresh": oracle(
-        f"SELECT 'ods_order_info' AS table_name, '{D}' AS expected, MAX(dt) = '{D}' AS fresh FROM ods_order_head "
-        f"UNION ALL SELECT 'ods_order_info', '{day_shift(D, 1)}', MAX(dt) = '{day_shift(D, 1)}' FROM ods_order_head"
+        f"SELECT 'ods_order_info' AS table_name, '{D}' AS expected, MAX(dt) = '{D}' AS fresh FROM ods_order_lines "
+        f"UNION ALL SELECT 'ods_order_info', '{day_shift(D, 1)}', MAX(dt) = '{day_shift(D, 1)}' FROM ods_order_lines"
     ),
     "layer_ready": oracle(
         f"SELECT 'ods_user_info' AS table_name, {_USERS} AS row_count, TRUE AS ready "
         f"UNION ALL SELECT 'ods_product_info', {_PRODUCTS}, TRUE UNION ALL SELECT 'ods_order_info', {_DAY_ORDERS}, TRUE "
         f"UNION ALL SELECT 'dwd_user_info', 0, FALSE UNION ALL SELECT 'dwd_product_info', 0, FALSE "
-        f"UNION ALL SELECT 'dwd_order_info', (SELECT COUNT(*) FROM dwd_order_heads WHERE dt = '{D}'), TRUE"
+        f"UNION ALL SELECT 'dwd_order_info', (SELECT COUNT(*) FROM dwd_order_lines WHERE dt = '{D}'), TRUE"
     ),
     "table_stats": oracle(
         _SUBJECT_STATS.format("dws_user_subject", "dwd_users")
@@ -402,12 +408,12 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
         + " UNION ALL "
         + _SUBJECT_STATS.format(
             "dws_region_subject",
-            "(SELECT DISTINCT province, city FROM dwd_order_heads WHERE order_status = 'completed' "
+            "(SELECT DISTINCT province, city FROM dwd_order_lines WHERE order_status = 'completed' "
             f"AND dt BETWEEN '{day_shift(D, -29)}' AND '{D}') t",
         )
     ),
-    "run_day": region_wide_sql(REGION_LABELS, REGION_USER_COLUMNS, "dwd_order_heads"),
-    "run_day_concurrent": user_wide_sql("dwd_order_heads"),
-    "backfill": oracle(_DAYS.format("dwd_order_heads")),
-    "rebuild": product_wide_sql(PRODUCT_LABELS, "dwd_order_heads"),
+    "run_day": region_wide_sql(REGION_LABELS, REGION_USER_COLUMNS, "dwd_order_lines"),
+    "run_day_concurrent": user_wide_sql("dwd_order_lines"),
+    "backfill": oracle(_DAYS.format("dwd_order_lines")),
+    "rebuild": product_wide_sql(PRODUCT_LABELS, "dwd_order_lines"),
 }
