@@ -158,11 +158,14 @@ def quality_gate(
     keys: list[str] | tuple[str, ...],
     null_limit: float = NULL_RATIO_LIMIT,
     nullable_dates: tuple[str, ...] = (),
+    by: str | None = None,
 ) -> DataFrame:
     """One row: null cells, duplicate keys, null dates, and whether the frame may be written.
 
     Cells count as null when null, empty or the text ``null``. Null cells are
-    summed per row first, so only the keys and a few counters are shuffled.
+    summed per row first, so only the keys and a few counters are shuffled. With
+    ``by`` (a day column) there is one row per value, named ``check_date``, and keys
+    are compared within it: a good day cannot make up for a bad one.
     """
     empty = _empty(df, NULL_TEXTS)
     dates = [
@@ -171,20 +174,22 @@ def quality_gate(
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) and f.name not in nullable_dates
     ]
     key_names = [f"_key{i}" for i in range(len(keys))]
+    day = ["check_date"] if by else []
     rows = df.select(
+        *([F.col(by).alias("check_date")] if by else []),
         *(F.col(k).alias(alias) for k, alias in zip(keys, key_names)),
         reduce(Column.__add__, [test.cast("bigint") for test in empty.values()]).alias("_null_cells"),
         *(F.col(d).isNull().cast("bigint").alias(d) for d in dates),
     )
     counters = [F.sum(c).alias(c) for c in ("_null_cells", *dates)]
     if keys:
-        per_key = rows.groupBy(*key_names).agg(F.count("*").alias("_rows"), *counters)
-        one = per_key.agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_distinct"), *counters)
+        per_key = rows.groupBy(*day, *key_names).agg(F.count("*").alias("_rows"), *counters)
+        one = per_key.groupBy(*day).agg(F.sum("_rows").alias("_rows"), F.count("*").alias("_distinct"), *counters)
     else:
-        one = rows.agg(F.count("*").alias("_rows"), F.count("*").alias("_distinct"), *counters)
+        one = rows.groupBy(*day).agg(F.count("*").alias("_rows"), F.count("*").alias("_distinct"), *counters)
 
     zero = F.lit(0).cast("bigint")
-    one = one.select(*(F.coalesce(F.col(c), zero).alias(c) for c in one.columns))
+    one = one.select(*day, *(F.coalesce(F.col(c), zero).alias(c) for c in one.columns if c not in day))
     total = F.col("_rows")
     duplicates = total - F.col("_distinct")
     cells = total * len(df.columns)
@@ -201,6 +206,7 @@ def quality_gate(
         )
     )
     return one.select(
+        *day,
         F.lit(name).alias("table_name"),
         total.alias("total_rows"),
         F.col("_null_cells").alias("null_cells"),
@@ -327,6 +333,7 @@ def quality_report(df: DataFrame, name: str, now: datetime) -> DataFrame:
     hours = F.floor((F.unix_timestamp(F.lit(now)) - F.unix_timestamp("_latest")) / 3600)
     counts = [part for c in df.columns for part in (F.lit(c), F.col(f"{c}_nulls"))]
     return one.select(
+        *day,
         F.lit(name).alias("table_name"),
         total.alias("total_records"),
         F.lit(len(df.columns)).alias("total_columns"),

@@ -128,12 +128,13 @@ def run_day(
     layers: Sequence[str] = LAYERS,
     tables: Sequence[str] | None = None,
     concurrent: bool = False,
+    threads: int = MAX_THREADS,
 ) -> list[StepResult]:
     """Build the chosen layers and tables of a day, in layer order.
 
     Stops at the first layer with a failed table or with an empty input, and
     says so in the results. ``concurrent`` builds the tables of one layer from
-    a few threads of the same session.
+    ``threads`` threads of the same session.
     """
     results: list[StepResult] = []
     for layer, names in _chosen(layers, tables):
@@ -157,7 +158,7 @@ def run_day(
             return step(table)
 
         if concurrent:
-            with ThreadPoolExecutor(max_workers=MAX_THREADS) as pool:
+            with ThreadPoolExecutor(max_workers=threads) as pool:
                 done = list(pool.map(pooled, names))
         else:
             done = [step(t) for t in names]
@@ -177,21 +178,42 @@ def days_between(start: str, end: str) -> list[str]:
     return days
 
 
-def backfill_details(house: Warehouse, start: str, end: str, tables: Sequence[str] | None = None) -> None:
-    """Rebuild detail tables for a range of days in one job each.
+def backfill_details(
+    house: Warehouse, start: str, end: str, tables: Sequence[str] | None = None
+) -> list[StepResult]:
+    """Rebuild detail tables for a range of days in one job each; one result per table and day.
 
     Cleaning looks at one row at a time, so the whole range is one read and one
-    dynamic overwrite. Days without source rows keep their old rows.
+    dynamic overwrite. Every day is gated on its own and leaves an audit row. A
+    table is written only if all its days pass; days without source rows keep
+    their old rows and are reported.
     """
+    results = []
     for table in tables or CLEANERS:
         source, cleaner = CLEANERS[table]
-        rows = cleaner(read_days(house.spark, house.specs[source], start, end), house.loaded_at)
         spec = house.specs[table]
-        # The gate's key is unique per day.
-        gate = quality_gate(rows, table, (*spec.keys, "dt"), house.null_limit, spec.nullable_dates).first()
-        if not gate.passed:
-            raise ValueError(f"{table} {start}..{end}: {gate.issues}")
-        overwrite_partitions(rows, spec)
+        rows = cleaner(read_days(house.spark, house.specs[source], start, end), house.loaded_at)
+        rows = rows.persist(StorageLevel.DISK_ONLY)
+        try:
+            gate = quality_gate(rows, table, spec.keys, house.null_limit, spec.nullable_dates, by="dt")
+            days = {r.check_date: r for r in gate.collect()}  # one row per day of the range
+            if days:
+                append_quality_result(house.spark.createDataFrame(list(days.values()), gate.schema), house.specs[AUDIT_TABLE])
+            done = []
+            for dt in days_between(start, end):
+                day = days.get(dt)
+                if day is None:
+                    done.append(StepResult("dwd", table, dt, True, 0, f"no rows in {source}"))
+                else:
+                    done.append(StepResult("dwd", table, dt, day.passed, day.total_rows, day.issues))
+            if days and all(r.ok for r in done):
+                overwrite_partitions(rows, spec)
+        finally:
+            rows.unpersist()
+        results += done
+        if not all(r.ok for r in done):
+            break
+    return results
 
 
 def backfill(
@@ -210,11 +232,10 @@ def backfill(
     results = []
     for layer, names in _chosen(layers, tables):
         if layer == "dwd":
-            try:
-                backfill_details(house, start, end, names)
-                results += [StepResult(layer, t, f"{start}..{end}", True) for t in names]
-            except ValueError as error:
-                return [*results, StepResult(layer, "", f"{start}..{end}", False, 0, str(error))]
+            done = backfill_details(house, start, end, names)
+            results += done
+            if not all(r.ok for r in done):
+                return results
             continue
         for dt in days_between(start, end):
             done = run_day(house, dt, [layer], names, concurrent)

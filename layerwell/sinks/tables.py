@@ -93,8 +93,8 @@ def land_ods(df: DataFrame, spec: TableSpec, dt: str, max_files: int | None = No
     return overwrite_partition(df if max_files is None else df.repartition(max_files), spec, dt, fill_missing=True)
 
 
-def append_quality_result(gate_row: DataFrame, spec: TableSpec, check_date: str) -> None:
-    """Add a gate result to the audit table."""
-    create_tables(gate_row.sparkSession, [spec])
-    rows = conform(gate_row.withColumn("check_date", F.lit(check_date)), spec)
+def append_quality_result(gate_rows: DataFrame, spec: TableSpec, check_date: str | None = None) -> None:
+    """Add gate results to the audit table; results per day bring their ``check_date``."""
+    create_tables(gate_rows.sparkSession, [spec])
+    rows = conform(gate_rows if check_date is None else gate_rows.withColumn("check_date", F.lit(check_date)), spec)
     rows.write.insertInto(spec.qualified)

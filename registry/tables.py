@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from layerwell.fixtures import FIRST_DATE, fixture
 from layerwell.functions.columns import day_shift
 from layerwell.operators import clean, quality
-from layerwell.plans.daily import Warehouse, backfill, rebuild, run_day
+from layerwell.plans.daily import AUDIT_TABLE, Warehouse, backfill, rebuild, run_day
 from layerwell.session import scratch_path
 from layerwell.sinks import catalog
 from layerwell.sinks.tables import (
@@ -42,6 +42,7 @@ LOADED_AT = datetime(2024, 2, 15, 3, 0, 0)
 NULL_LIMIT = 0.1
 KEEP_DAYS = 30
 ORDERS = "ods_order_info"
+BAD_DAY = day_shift(D, -3)
 
 
 def new_house(spark, label: str) -> Warehouse:
@@ -281,6 +282,18 @@ def _backfill(spark, sf):
     return _per_day(spark.table(house.specs["dwd_order_info"].qualified))
 
 
+def _backfill_audit(spark, sf):
+    """One day of the range came twice: it fails, its audit row says so, and nothing is written."""
+    house = _landed(spark, sf, "audit")
+    day = fixture(spark, sf, "ods_order_lines").where(F.col("dt") == BAD_DAY)
+    overwrite_partition(day.union(day), house.specs[ORDERS], BAD_DAY)
+    results = backfill(house, FIRST_DATE, D, ["dwd"], ["dwd_order_info"])
+    if all(r.ok for r in results) or spark.catalog.tableExists(house.specs["dwd_order_info"].qualified):
+        raise RuntimeError("a bad day was written")
+    audit = spark.table(house.specs[AUDIT_TABLE].qualified)
+    return audit.select("table_name", F.col("check_date").cast("string").alias("check_date"), "total_rows", "passed")
+
+
 def _rebuild(spark, sf):
     house = _built(spark, sf, "rebuild")
     results = rebuild(house, D, D, ["dws"])
@@ -313,6 +326,7 @@ QUERIES = {
     "run_day": lambda s, d: _subject(_built(s, d, "day"), "dws_region_subject"),
     "run_day_concurrent": lambda s, d: _subject(_built(s, d, "par", concurrent=True), "dws_user_subject"),
     "backfill": _backfill,
+    "backfill_audit": _backfill_audit,
     "rebuild": _rebuild,
 }
 
@@ -415,5 +429,9 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
     "run_day": region_wide_sql(REGION_LABELS, REGION_USER_COLUMNS, "dwd_order_lines"),
     "run_day_concurrent": user_wide_sql("dwd_order_lines"),
     "backfill": oracle(_DAYS.format("dwd_order_lines")),
+    "backfill_audit": oracle(
+        f"SELECT 'dwd_order_info' AS table_name, dt AS check_date, COUNT(*) * CASE dt WHEN '{BAD_DAY}' THEN 2 ELSE 1 END AS total_rows, "
+        f"dt <> '{BAD_DAY}' AS passed FROM dwd_order_lines GROUP BY dt"
+    ),
     "rebuild": product_wide_sql(PRODUCT_LABELS, "dwd_order_lines"),
 }

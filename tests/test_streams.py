@@ -16,7 +16,7 @@ from layerwell.streaming.layers import (
     write_gold,
     write_sequenced_silver,
 )
-from layerwell.streaming.writers import AVAILABLE_NOW, append_evolving, fan_out, read_evolving, replace_rows
+from layerwell.streaming.writers import AVAILABLE_NOW, append_evolving, fan_out, query_id, read_evolving, replace_rows
 
 SCHEMA = (
     "event_id string, user_id string, session_id string, event_type string, event_time timestamp, amount double, "
@@ -118,18 +118,43 @@ def test_replacing_twice_under_one_batch_id_repeats_the_first_result(spark, tmp_
     assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == want
 
 
+def test_a_fresh_checkpoint_does_not_repeat_an_older_batch(spark, feed, tmp_path):
+    """Two queries on one path both count from batch 0; neither hides or replaces the other's rows."""
+    rows = lambda: {(r.k, r.v) for r in spark.read.parquet(path).collect()}
+    path = str(tmp_path / "t")
+    frame = lambda *rows: spark.createDataFrame(rows, "k string, v int, day string")
+    replace_rows(frame(("a", 1, "d1")), path, ["k"], ["day"], "first/0")
+    replace_rows(frame(("b", 2, "d1")), path, ["k"], ["day"], "second/0")
+    assert rows() == {("a", 1), ("b", 2)}
+    target = str(tmp_path / "evolving")
+    for number, query in enumerate(("first", "second")):
+        append_evolving(spark.createDataFrame([(number,)], "a int"), target, f"{query}/0")
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_a_row_that_changes_partition_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame = lambda *rows: spark.createDataFrame(rows, "k string, v int, day string, part string")
+    replace_rows(frame(("a", 1, "d1", "old=1"), ("b", 1, "d1", "keep"), (None, 1, "d1", None)), path, ["k"], ["day", "part"], "q/0")
+    replace_rows(frame(("a", 2, "d1", "new"), (None, 2, "d1", "new")), path, ["k"], ["day", "part"], "q/1")
+    assert {tuple(r) for r in spark.read.parquet(path).select("k", "v", "part").collect()} == {("a", 2, "new"), ("b", 1, "keep"), (None, 2, "new")}
+    assert sorted(p.name for p in (tmp_path / "t" / "day=d1").iterdir() if p.is_dir()) == ["part=keep", "part=new"]
+    assert [p.name for p in (tmp_path / "t__staging" / "q").iterdir() if p.is_dir()] == ["1"]
+
+
 def test_fan_out_computes_the_batch_once_and_repeats_safely(spark, feed, tmp_path):
     seen = []
     target = str(tmp_path / "evolving")
 
-    def sink(batch, batch_id):
-        seen.append((batch_id, batch.storageLevel.useMemory))
-        append_evolving(batch, target, batch_id)
-        append_evolving(batch, target, batch_id)
+    def sink(batch, name):
+        seen.append((name, batch.storageLevel.useMemory))
+        append_evolving(batch, target, name)
+        append_evolving(batch, target, name)
 
     feed.add(event("1", 0), event("2", 1))
     run(fan_out(feed.stream(), [sink, sink], feed.checkpoint, AVAILABLE_NOW))
-    assert seen == [(0, True), (0, True)]
+    name = f"{query_id(spark, feed.checkpoint)}/0"
+    assert seen == [(name, True), (name, True)]
     assert spark.read.parquet(target).count() == 2
 
 
