@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from functools import reduce
 
@@ -25,6 +24,7 @@ from layerwell.fixtures import RUN_DATE, fixture  # noqa: E402
 from layerwell.functions.columns import day_shift  # noqa: E402
 from layerwell.operators import clean, enrich, quality, summary, wide  # noqa: E402
 from layerwell.operators.sequence import session_sequence  # noqa: E402
+from layerwell.session import scratch_path  # noqa: E402
 from layerwell.streaming.layers import enrich_events, user_metrics  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -88,7 +88,9 @@ def headline(spark: SparkSession, folder: str) -> dict:
     orders, users, products = (lambda n=n: table(n) for n in ("clean_orders", "clean_users", "clean_products"))
     fix = lambda name: fixture(spark, SF_DIR, name)
     statics = lambda: [fix(n) for n in ("user_profiles", "product_catalog", "ip_ranges")]
-    enriched = lambda: enrich_events(table("events"), *statics(), D)
+    octets = [F.shiftright("ip_num", shift).bitwiseAND(255).cast("string") for shift in (24, 16, 8, 0)]
+    events = lambda: table("events").withColumn("ip_address", F.concat_ws(".", *octets))
+    enriched = lambda: enrich_events(events(), *statics(), D)
     return {
         "user_wide": lambda: wide.user_wide(users(), orders(), D),
         "user_preference": lambda: wide.user_preference(orders(), D),
@@ -160,7 +162,7 @@ def usual_way(spark: SparkSession, folder: str) -> dict:
 
 def main() -> None:
     spark = session()
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    folder = scratch_path(spark, "bench")
     prepare(spark, folder)
     others = usual_way(spark, folder) if os.environ.get("BENCH_COMPARE") else {}
     seconds, usual = {}, {}
