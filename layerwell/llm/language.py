@@ -35,7 +35,7 @@ DOCS_PER_LANGUAGE = 4000
 VOCABULARY = 40_000
 NGRAMS_KEPT = 20_000
 LEAST_COUNT = 2
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 PART = 5000  # words scored at a time
 FOLDS, HELD_OUT = 4, 2
 
@@ -89,14 +89,17 @@ def scorer(model: dict):
     known, table = model["words"]
     letters = regex.compile(r"\p{L}+")
 
-    def unseen(word: str) -> np.ndarray:
+    ngrams = [(n, ids, scores.tolist()) for n, (ids, scores) in model["ngrams"].items()]
+    nothing = [0.0] * len(languages)
+
+    def unseen(word: str) -> list[float]:
+        """Mean scores of the longest known n-grams."""
         marked = f"<{word}>"
-        for n in NGRAMS:
-            ids, scores = model["ngrams"][n]
-            found = [ids[g] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in ids]
+        for n, ids, scores in ngrams:
+            found = [scores[ids[g]] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in ids]
             if found:
-                return scores[found].mean(axis=0)
-        return np.zeros(len(languages))
+                return [sum(column) / len(found) for column in zip(*found)]
+        return nothing
 
     if not languages:
         return lambda text: (UNDETERMINED, 0.0)
