@@ -78,14 +78,14 @@ FROM {ods_order_info}
 SELECT c_custkey AS customer_id, concat('C', CAST(c_custkey AS STRING)) AS customer_code, c_name AS customer_name, c_mktsegment AS customer_type,
   DATE '2020-01-01' + CAST(c_custkey % 1400 AS INT) AS registration_date, CASE WHEN c_custkey % 6 = 0 THEN 'I' ELSE 'A' END AS status,
   CAST(13800000000 + c_custkey AS STRING) AS phone, concat('u', CAST(c_custkey AS STRING), '@example.com') AS email,
-  concat('street ', CAST(c_nationkey AS STRING)) AS address, '2024-02-14' AS dt
+  concat('street ', CAST(c_nationkey AS STRING)) AS address, CASE c_custkey % 7 WHEN 3 THEN '2024-02-13' ELSE '2024-02-14' END AS dt
 FROM {customer}
 """,
     "ods_order": """
 SELECT o_orderkey AS order_id, concat('NO', CAST(o_orderkey AS STRING)) AS order_no, o_custkey AS customer_id,
   DATE '2024-01-01' + CAST(o_orderkey % 45 AS INT) AS order_date, CAST(o_totalprice AS DECIMAL(15,2)) AS order_amount,
   CASE WHEN o_orderkey % 3 = 0 THEN 'CNY' ELSE 'USD' END AS currency, o_orderstatus AS order_status,
-  CASE o_orderkey % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'cash' ELSE 'transfer' END AS payment_method, '2024-02-14' AS dt
+  CASE o_orderkey % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'cash' ELSE 'transfer' END AS payment_method, CASE o_orderkey % 7 WHEN 3 THEN '2024-02-13' WHEN 5 THEN '2024-02-15' ELSE '2024-02-14' END AS dt
 FROM {orders}
 """,
     "crm_customers": """
@@ -96,14 +96,14 @@ SELECT c.c_custkey AS customer_id, CASE WHEN c.c_custkey % 23 = 0 THEN NULL WHEN
   'street 1' AS address, n.n_name AS city, r.r_name AS state,
   CASE c.c_custkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'I' ELSE 'Z' END AS customer_status,
   DATE '2020-01-01' + CAST(c.c_custkey % 1400 AS INT) AS registration_date,
-  DATE '2024-02-14' - CAST(c.c_custkey % 60 AS INT) AS last_login_date, '2024-02-14' AS dt
+  DATE '2024-02-14' - CAST(c.c_custkey % 60 AS INT) AS last_login_date, CASE c.c_custkey % 7 WHEN 3 THEN '2024-02-13' ELSE '2024-02-14' END AS dt
 FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """,
     "crm_orders": """
 SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS customer_id,
   DATE '2024-01-01' + CAST(o_orderkey % 45 AS INT) AS order_date,
   CASE WHEN o_orderkey % 89 = 0 THEN CAST(0 AS DECIMAL(15,2)) ELSE CAST(o_orderkey % 1200 AS DECIMAL(15,2)) END AS order_amount,
-  o_orderstatus AS order_status, CASE WHEN o_orderkey % 2 = 0 THEN 'card' ELSE 'cash' END AS payment_method, '2024-02-14' AS dt
+  o_orderstatus AS order_status, CASE WHEN o_orderkey % 2 = 0 THEN 'card' ELSE 'cash' END AS payment_method, CASE o_orderkey % 7 WHEN 3 THEN '2024-02-13' WHEN 5 THEN '2024-02-15' ELSE '2024-02-14' END AS dt
 FROM {orders}
 """,
     "users_raw": """
@@ -125,7 +125,7 @@ FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 SELECT c.c_custkey AS customer_id, c.c_name AS customer_name, concat('u', CAST(c.c_custkey AS STRING), '@', lower(c.c_mktsegment), '.com') AS email,
   CASE WHEN c.c_custkey % 12 = 0 THEN NULL ELSE CAST(13800000000 + c.c_custkey AS STRING) END AS phone, 'street 1' AS address,
   n.n_name AS city, r.r_name AS state, 'X' AS country, DATE '2020-01-01' + CAST(c.c_custkey % 1400 AS INT) AS registration_date,
-  CAST('2024-02-14 12:00:00' AS TIMESTAMP) AS last_update_time, CASE WHEN c.c_custkey % 8 = 0 THEN 0 ELSE 1 END AS is_active
+  CAST(CASE c.c_custkey % 5 WHEN 0 THEN '2024-02-13 23:59:59' WHEN 1 THEN '2024-02-15 00:00:00' ELSE '2024-02-14 12:00:00' END AS TIMESTAMP) AS last_update_time, CASE WHEN c.c_custkey % 8 = 0 THEN 0 ELSE 1 END AS is_active
 FROM {customer} c JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """,
     "order_info": """
@@ -139,7 +139,7 @@ FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey JOIN {orders} o ON
     "product_info": """
 SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, CAST(p_size AS STRING) AS subcategory, p_brand AS brand,
   CAST(p_partkey % 300 AS DECIMAL(10,2)) AS price, CAST(p_partkey % 200 AS DECIMAL(10,2)) AS cost, p_partkey % 10 AS supplier_id,
-  CAST('2024-02-14 12:00:00' AS TIMESTAMP) AS last_update_time
+  CAST(CASE p_partkey % 4 WHEN 0 THEN '2024-02-13 23:59:59' WHEN 1 THEN '2024-02-14 00:00:00' ELSE '2024-02-14 12:00:00' END AS TIMESTAMP) AS last_update_time
 FROM {part}
 """,
     "user_profiles": """

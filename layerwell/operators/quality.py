@@ -333,7 +333,6 @@ def quality_report(df: DataFrame, name: str, now: datetime) -> DataFrame:
     hours = F.floor((F.unix_timestamp(F.lit(now)) - F.unix_timestamp("_latest")) / 3600)
     counts = [part for c in df.columns for part in (F.lit(c), F.col(f"{c}_nulls"))]
     return one.select(
-        *day,
         F.lit(name).alias("table_name"),
         total.alias("total_records"),
         F.lit(len(df.columns)).alias("total_columns"),

@@ -233,7 +233,7 @@ FROM crm_fact WHERE dt = '{D}' GROUP BY order_date"""),
 SELECT c.age_group, o.order_size_category, COUNT(*) AS order_count, {_sum("o.order_amount", "total_spent")},
   {mean2("o.order_amount")} AS avg_order_amount, CAST(quantile_disc(o.order_amount, 0.5) AS DOUBLE) AS median_order_amount,
   CAST(quantile_disc(o.order_amount, 0.9) AS DOUBLE) AS p90_order_amount, '{D}' AS analysis_date
-FROM crm_fact o JOIN crm_clean c ON o.customer_id = c.customer_id WHERE o.dt = '{D}' GROUP BY c.age_group, o.order_size_category"""),
+FROM crm_fact o JOIN crm_clean c ON o.customer_id = c.customer_id AND o.dt = c.dt WHERE o.dt = '{D}' GROUP BY c.age_group, o.order_size_category"""),
     "user_wide": user_wide_sql(),
     "user_preference": oracle(PREFERENCE),
     "product_wide_v1": product_wide_sql(PRODUCT_LABELS_V1),

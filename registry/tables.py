@@ -71,6 +71,11 @@ def _per_day(df):
     )
 
 
+def _customers(spark, sf):
+    """Customers as one load brings them: all under its day."""
+    return fixture(spark, sf, "ods_customer").withColumn("dt", F.lit(D))
+
+
 def _import(kind):
     def query(spark, sf):
         rows = fixture(spark, sf, "ods_customer")
@@ -89,7 +94,7 @@ def _layer_tables(spark, sf):
     house = new_house(spark, "layers")
     specs = [s for s in house.specs.values() if s.layer in ("ods", "dwd", "dws")]
     catalog.create_tables(spark, specs)
-    land_ods(fixture(spark, sf, "ods_customer"), house.specs["ods_customer"], D)
+    land_ods(_customers(spark, sf), house.specs["ods_customer"], D)
     return quality.layer_counts({s.name: spark.table(s.qualified) for s in specs}, D)
 
 
@@ -153,7 +158,7 @@ def _read_path(spark, sf):
 def _land_ods(spark, sf):
     house = new_house(spark, "land")
     spec = house.specs["ods_customer"]
-    land_ods(fixture(spark, sf, "ods_customer"), spec, D)
+    land_ods(_customers(spark, sf), spec, D)
     return plain(spark.table(spec.qualified))
 
 
@@ -174,7 +179,7 @@ def _statistics(spark, sf):
     """Row count kept by the catalog after the statistics run."""
     house = new_house(spark, "stats")
     spec = house.specs["ods_customer"]
-    land_ods(fixture(spark, sf, "ods_customer"), spec, D)
+    land_ods(_customers(spark, sf), spec, D)
     catalog.analyze_table(spark, spec.qualified)
     described = catalog.describe_table(spark, spec.qualified).where("col_name = 'Statistics'")
     return described.select(
@@ -187,7 +192,7 @@ def _describe(spark, sf):
     """Columns of the landed table with the number of rows they hold."""
     house = new_house(spark, "describe")
     spec = house.specs["ods_customer"]
-    land_ods(fixture(spark, sf, "ods_customer"), spec, D)
+    land_ods(_customers(spark, sf), spec, D)
     columns = catalog.describe_table(spark, spec.qualified).where(F.col("col_name").isin(*spec.data_columns))
     filled = spark.table(spec.qualified).agg(*(F.count(c).alias(c) for c in spec.data_columns))
     filled = filled.unpivot([], spec.data_columns, "col_name", "n_values")
@@ -210,7 +215,7 @@ def _repair(spark, sf):
 def _compact(spark, sf):
     house = new_house(spark, "compact")
     spec = house.specs["ods_customer"]
-    overwrite_partition(fixture(spark, sf, "ods_customer").repartition(16), spec, D, fill_missing=True)
+    overwrite_partition(_customers(spark, sf).repartition(16), spec, D, fill_missing=True)
     before, after = catalog.compact_partition(spark, spec, D)
     return spark.table(spec.qualified).agg(
         F.count("*").alias("n_rows"), F.sum("customer_id").alias("id_sum"), F.lit(after < before).alias("fewer_files")
@@ -372,7 +377,7 @@ ORACLES = {
     ),
     "land_ods": oracle(
         "SELECT customer_id, customer_code, customer_name, customer_type, CAST(registration_date AS VARCHAR) AS registration_date, "
-        "status, phone, email, address, CAST(NULL AS VARCHAR) AS create_time, CAST(NULL AS VARCHAR) AS update_time, dt FROM ods_customer"
+        "status, phone, email, address, CAST(NULL AS VARCHAR) AS create_time, CAST(NULL AS VARCHAR) AS update_time, '2024-02-14' AS dt FROM ods_customer"
     ),
     "append_quality_result": oracle(f"""
 SELECT 'dwd_order_info' AS table_name, COUNT(*) AS total_rows, COUNT(*) - COUNT(DISTINCT order_id) AS duplicate_rows,
