@@ -6,7 +6,7 @@ value is its log-count ratio r = log((p / |p|) / (q / |q|)) with p and q the smo
 numbers of toxic and other texts that hold it; a logistic regression weighs these values.
 
 Learning uses a sample of at most about ``docs_per_class`` labelled documents of each
-class, taken by a hash of the id, and the ``FEATURES`` most telling buckets; the regression's
+class, taken by a hash of the id, and at most the ``FEATURES`` most telling buckets; the regression's
 constant is corrected for the two sampling rates. What reaches the driver is bounded
 by these parameters: counts per bucket and the chosen features of the sample. Scoring
 reads every text whole and sums the weights of its distinct features.
@@ -32,9 +32,10 @@ from layerwell.session import materialize
 
 LENGTHS = (3, 4, 5, 6)
 BUCKETS = 1 << 20
-FEATURES = 20_000
-DOCS_PER_CLASS = 12_000
+FEATURES = 10_000
+DOCS_PER_CLASS = 8_000
 LEAST_SIGNAL = 4.0  # standard errors between the two shares
+LEAST_RATIO = 1.0  # log-count ratio; what is merely more frequent in longer texts stays below
 THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
 PART = 1 << 20
@@ -120,7 +121,9 @@ def train(
     share = (F.col("p") + F.col("q")) / float(pos + neg)
     error = F.sqrt(share * (1.0 - share) * F.lit(1 / max(pos, 1) + 1 / max(neg, 1)))
     signal = F.abs(F.col("p") / float(max(pos, 1)) - F.col("q") / float(max(neg, 1))) / error
-    telling = counts.withColumn("signal", signal).where((F.col("signal") >= LEAST_SIGNAL) & (F.col("p") + F.col("q") >= 3))
+    ratio = F.log((F.col("p") + 1) / float(pos + 1)) - F.log((F.col("q") + 1) / float(neg + 1))
+    strong = (F.col("signal") >= LEAST_SIGNAL) & (F.abs(ratio) >= LEAST_RATIO) & (F.col("p") + F.col("q") >= 3)
+    telling = counts.withColumn("signal", signal).where(strong)
     top = telling.orderBy(F.desc("signal"), "bucket").limit(FEATURES).toPandas().sort_values("bucket")
     buckets = top["bucket"].to_numpy(np.int64)
     p, q = top["p"].to_numpy(float) + 1, top["q"].to_numpy(float) + 1
