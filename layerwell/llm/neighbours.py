@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from layerwell.llm.batches import groups
 from layerwell.session import materialize
 
-VECTORS_PER_BLOCK = 8192
+VECTORS_PER_BLOCK = 4096
 QUERIES_PER_BLOCK = 4096
 TILE = 256  # queries estimated at a time
 CENTRE_SAMPLE = 20_000
@@ -155,8 +155,7 @@ def search(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     indexed = vectors.mapInArrow(index, "vec_id long, vector binary, code binary, length double, fit double, asks boolean")
     indexed = materialize(indexed, "codes")
     asked = indexed.where("asks")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(-(-rows // VECTORS_PER_BLOCK), width)
+    blocks = max(1, -(-rows // VECTORS_PER_BLOCK))
     query_blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
     own = lambda n: F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
