@@ -1,8 +1,8 @@
 """Language identification by known words first, then shorter and shorter character n-grams.
 
 A word of the vocabulary scores by its log frequency in each language. Any other
-word is scored by its longest character n-grams that are known: five characters, then
-four, down to one. A text's scores are summed over its words; the softmax of
+word is scored by the mean of its longest character n-grams that are known: five characters,
+then four, down to one; words of any length are read whole. A text's scores are summed over its words; the softmax of
 the sums is the posterior.
 
 The model is counted from a sample of the labelled rows of at most about
@@ -36,7 +36,9 @@ VOCABULARY = 40_000
 NGRAMS_KEPT = 20_000
 LEAST_COUNT = 2
 CACHED_WORDS = 200_000
+CACHED_LETTERS = 64  # longer words are scored each time they occur
 PART = 5000  # words scored at a time
+STRETCH = 10_000  # n-grams of a word looked up at a time
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -96,9 +98,14 @@ def scorer(model: dict):
         """Mean scores of the longest known n-grams."""
         marked = f"<{word}>"
         for n, ids, scores in ngrams:
-            found = [scores[ids[g]] for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if g in ids]
-            if found:
-                return [sum(column) / len(found) for column in zip(*found)]
+            sums, hits = nothing, 0
+            for first in range(0, len(marked) - n + 1, STRETCH):
+                part = marked[first : first + STRETCH + n - 1]
+                found = [scores[ids[g]] for g in (part[i : i + n] for i in range(len(part) - n + 1)) if g in ids]
+                if found:
+                    sums, hits = [s + sum(column) for s, column in zip(sums, zip(*found))], hits + len(found)
+            if hits:
+                return [s / hits for s in sums]
         return nothing
 
     if not languages:
@@ -109,8 +116,6 @@ def scorer(model: dict):
 
     def place(word: str) -> int:
         """Row of a word outside the vocabulary, which is scored once per task while there is room."""
-        if len(word) > 64:
-            word = word[:32] + word[-32:]
         at = index.get(word)
         if at is None:
             at = index[word] = len(index)
@@ -128,8 +133,11 @@ def scorer(model: dict):
                 index.clear()
                 index.update(known)
             at = [index.get(w, -1) for w in part]
-            at = [i if i >= 0 else place(w) for i, w in zip(at, part)]
+            long = [w for i, w in zip(at, part) if i < 0 and len(w) > CACHED_LETTERS]
+            at = [i if i >= 0 else place(w) for i, w in zip(at, part) if i >= 0 or len(w) <= CACHED_LETTERS]
             total += rows[at].sum(axis=0)
+            for word in long:
+                total += unseen(word)
         total -= total.max()
         likely = np.exp(total)
         best = int(likely.argmax())

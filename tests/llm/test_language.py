@@ -70,6 +70,30 @@ def test_words_first_then_shorter_ngrams(spark):
         assert lang == model["languages"][int(total.argmax())] and value == pytest.approx(likely.max())
 
 
+def test_long_words_are_scored_whole(spark):
+    """Runs of more than 64 letters, up to several stretches, whose middle is in another language than their ends."""
+    import numpy as np
+
+    model = train(docs(spark, corpus(), EXTRA))
+    score = scorer(model)
+
+    def plain(word):
+        for n in (5, 4, 3, 2, 1):
+            ids, scores = model["ngrams"][n]
+            grams = [f"<{word}>"[i : i + n] for i in range(len(word) + 3 - n)]
+            if any(g in ids for g in grams):
+                return np.mean([scores[ids[g]] for g in grams if g in ids], axis=0)
+        return np.zeros(len(model["languages"]))
+
+    ends = "katomiru" * 4
+    for middle, lang in (("schungberein" * 10, "yy"), ("eauouié" * 20, "zz"), ("schungberein" * 2500, "yy"), ("eauouié" * 3000, "zz")):
+        word = ends + middle + ends
+        total = plain(word)
+        likely = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert score(word) == (lang, pytest.approx(likely.max()))
+        assert score(word + " " + word)[1] > score(word)[1]  # the cache is skipped, not the word
+
+
 def test_stage_drops_only_what_it_cannot_tell(spark):
     rows = corpus()
     frame = docs(spark, rows, EXTRA)
