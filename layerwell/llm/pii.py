@@ -1,16 +1,17 @@
 """Personal data: patterned identifiers, and words that give them away.
 
 Patterns find e-mail and IP addresses, card and phone numbers in every text. These are
-the protected entities. A word near an entity reveals it if the corpus ties the two together:
-with document counts n(c), n(t), n(c, t) of the entity, the word, and both within ``WINDOW`` characters, the pointwise mutual
-information log2(N n(c, t) / (n(c) n(t))) is the information that the word gives about
-the entity, out of log2(N / n(c)) that identifies it fully. A word seen with the entity in
-``SUPPORT`` documents or more that gives at least ``GENERALISE`` of it is generalised, one
-that gives at least ``REMOVE`` is removed, in the documents that hold the entity.
-
-Counts of entity and word pairs come from the context of the entities only, so their number
-grows with the entities. Words of the whole corpus are counted after a Bloom filter of the words
-in question, so only those are shuffled.
+the protected entities. A word of a document that holds an entity reveals it if the corpus ties the
+two together: with document counts n(c), n(t), n(c, t) of the entity, the word, and both, the
+pointwise mutual information log2(N n(c, t) / (n(c) n(t))) is the information that the word gives
+about the entity, out of log2(N / n(c)) that identifies it fully. A word seen with the entity
+in ``SUPPORT`` documents or more that
+gives at least ``GENERALISE`` of the full information is generalised, one that gives at least ``REMOVE`` is
+removed, in all documents that hold the entity, wherever it stands.
+
+Words are runs of at least ``LEAST_LETTERS`` letters outside the identifiers. Entities held by the same
+documents count as one group, so a document of many identifiers is not multiplied by them. Words too
+frequent to reveal even the most frequent entity are left out before pairs are counted.
 
 All work is done by SQL functions. Patterns are written so that a run of characters is
 entered once: matching takes linear time on any text.
@@ -31,10 +32,10 @@ from layerwell.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("term", "gone")
-WINDOW = 60
 SUPPORT = 3
 GENERALISE, REMOVE = 0.7, 0.95
-WORD = r"\p{L}+"
+_WORD = r"\p{L}"
+WORD = rf"[{_WORD}]+"
 LEAST_LETTERS = 4
 
 # Same matches as the plain patterns: what follows a possessive part never starts with a character of it,
@@ -78,26 +79,17 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _matches(text: Column, pattern: Column | str) -> Column:
-    """All matches with code-point positions: array of (start, end, value, before, after).
-
-    The text between matches gives the positions; ``before`` and ``after`` are the nearest
-    ``WINDOW`` characters of it.
-    """
+    """All matches with code-point positions: array of (start, end, value); the text between matches gives the positions."""
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     found, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
     # Zipped outside the lambda: what a lambda names is evaluated again for each of its elements.
-    zipped = F.arrays_zip(
-        found.alias("value"), F.slice(between, F.lit(1), F.size(found)).alias("gap"), F.slice(between, F.lit(2), F.size(found)).alias("next")
-    )
-    nothing = F.array().cast("array<struct<start:int,end:int,value:string,before:string,after:string>>")
+    zipped = F.arrays_zip(found.alias("value"), F.slice(between, F.lit(1), F.size(found)).alias("gap"))
+    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
     def place(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
         end = start + F.length(x["value"])
-        one = F.struct(
-            start.alias("start"), end.alias("end"), x["value"].alias("value"),
-            F.right(x["gap"], F.lit(WINDOW)).alias("before"), F.left(x["next"], F.lit(WINDOW)).alias("after"),
-        )
+        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
 
     state = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
@@ -105,13 +97,10 @@ def _matches(text: Column, pattern: Column | str) -> Column:
 
 
 def _kind_spans(text: Column, rank: int, kind: str) -> Column:
-    """Valid spans of one kind: array of (start, kind, end, value, before, after)."""
+    """Valid spans of one kind: array of (start, kind, end, value)."""
 
     def named(m: Column) -> Column:
-        return F.struct(
-            m["start"].alias("start"), F.lit(rank).alias("kind"), m["end"].alias("end"), m["value"].alias("value"),
-            m["before"].alias("before"), m["after"].alias("after"),
-        )
+        return F.struct(m["start"].alias("start"), F.lit(rank).alias("kind"), m["end"].alias("end"), m["value"].alias("value"))
 
     spans = F.transform(F.filter(_matches(text, PATTERNS[kind]), lambda m: _valid(kind, m["value"])), named)
     return F.when(F.regexp_like(text, F.lit(_NEEDS[kind])), spans).otherwise(_no_spans())
@@ -123,7 +112,7 @@ def _base(text: Column) -> Column:
 
 
 def _no_spans() -> Column:
-    return F.array().cast("array<struct<start:int,kind:int,end:int,value:string,before:string,after:string>>")
+    return F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, label: str) -> DataFrame:
@@ -143,40 +132,73 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"].cast("string"), F.lit(":"), value)
 
 
+def _outside(text: Column) -> Column:
+    """The text with a space for every valid identifier."""
+    for kind in KINDS:
+        pattern = F.lit(PATTERNS[kind])
+        found, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
+        zipped = F.arrays_zip(between.alias("gap"), found.alias("value"))
+        left = lambda x: F.when(_valid(kind, x["value"]), F.lit(" ")).otherwise(F.coalesce(x["value"], F.lit("")))  # noqa: B023, E731
+        masked = F.array_join(F.transform(zipped, lambda x: F.concat(x["gap"], left(x))), "")  # noqa: B023
+        text = F.when(F.regexp_like(text, F.lit(_NEEDS[kind])), masked).otherwise(text)
+    return text
+
+
 def _words(text: Column) -> Column:
-    """Distinct lower-case words of at least ``LEAST_LETTERS`` letters."""
+    """Distinct lower-case words."""
     found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
     return F.array_distinct(F.transform(F.filter(found, lambda w: F.length(w) >= LEAST_LETTERS), F.lower))
 
 
-def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Which words reveal which entities (entity, term, share), and where they stand (key, entity, term)."""
-    spans = found.select("key", F.explode("base").alias("span"))
-    # The outermost word of a window may be cut off; it is left out.
-    before = F.regexp_replace(F.col("span.before"), r"^\p{L}+", "")
-    after = F.regexp_replace(F.col("span.after"), r"\p{L}+$", "")
-    near = spans.select("key", _entity(F.col("span")).alias("entity"), F.explode(_words(F.concat_ws(" ", before, after))).alias("term"))
-    near = materialize(near.distinct(), "near")
-    held = spans.select("key", _entity(F.col("span")).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_c"))
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
-    pairs = materialize(pairs.join(held, "entity"), "pairs")
-    terms = materialize(pairs.select("term").distinct(), "terms")
+def _tied(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Telling words (group, term, share), where they may stand (key, group, term), and the entities (entity, group, n_c)."""
+    held = found.where(F.size("base") > 0).select("key", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
+    held = materialize(held.distinct(), "held")
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_c"), F.bit_xor(F.xxhash64("key")).alias("keys"))
+    entities = materialize(entities.select("entity", F.xxhash64("n_c", "keys").alias("group"), "n_c"), "entities")
+    member = held.join(entities, "entity").groupBy("key").agg(F.collect_set("group").alias("groups"))
+    member = materialize(member, "member")
+
+    bits = filter_bits(member.count())
+    touched = materialize(filter_words(member, F.col("key"), bits), "holders")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(_key(id_col, text_col).alias("key"), _words(_outside(text)).alias("words"))
+    holders = with_filter_hit(rows, F.col("key"), touched, bits, "hit").where("hit").drop("hit").join(member, "key")
+    holders = materialize(holders.dropDuplicates(["key"]), "holders")
+
+    terms = materialize(holders.select(F.explode("words").alias("term")).distinct(), "terms")
     bits = filter_bits(terms.count())
-    words = materialize(filter_words(terms, F.col("term"), bits), "asked")
-    spoken = docs.select(F.explode(_words(F.coalesce(F.col(text_col), F.lit("")))).alias("term"))
-    asked = with_filter_hit(spoken, F.col("term"), words, bits, "hit").where("hit")
-    counts = materialize(asked.groupBy("term").agg(F.count("*").alias("n_t")), "counts")
-    total = F.lit(float(found.count()))
-    shared = F.log2(total * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t")))
-    full = F.log2(total / F.col("n_c"))
-    telling = pairs.join(counts, "term").where((full > 0) & (shared >= GENERALISE * full))
-    return materialize(telling.select("entity", "term", (shared / full).alias("share")), "telling"), near
+    asked = materialize(filter_words(terms, F.col("term"), bits), "asked")
+    spoken = with_filter_hit(rows.select(F.explode("words").alias("term")), F.col("term"), asked, bits, "hit").where("hit")
+    n = float(found.count())
+    most = entities.agg(F.max("n_c")).first()[0] or 1
+    # n(c, t) is at most n(c), so no other word can give enough of any entity.
+    counts = spoken.groupBy("term").agg(F.count("*").alias("n_t")).where(F.col("n_t") <= 1.001 * n ** (1 - GENERALISE) * most**GENERALISE)
+    counts = materialize(counts, "counts")
+    bits = filter_bits(counts.count())
+    rare = materialize(filter_words(counts, F.col("term"), bits), "rare")
+    near = holders.select("key", "groups", F.explode("words").alias("term"))
+    near = with_filter_hit(near, F.col("term"), rare, bits, "hit").where("hit")
+    near = materialize(near.select("key", F.explode("groups").alias("group"), "term"), "near")
+
+    pairs = near.groupBy("group", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
+    pairs = pairs.join(entities.select("group", "n_c").distinct(), "group").join(counts, "term")
+    shared = F.log2(F.lit(n) * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t")))
+    full = F.log2(F.lit(n) / F.col("n_c"))
+    telling = pairs.where((full > 0) & (shared >= GENERALISE * full)).select("group", "term", (shared / full).alias("share"))
+    return materialize(telling, "telling"), near, entities
+
+
+def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Which words reveal which entities (entity, term, share), and the groups' words (key, group, term)."""
+    telling, near, entities = _tied(docs, found, id_col, text_col)
+    return telling.join(entities, "group").select("entity", "term", "share"), near
 
 
 def _added(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(key, added): spans of revealing words in the documents that hold what they reveal."""
-    telling, near = revealing_terms(docs, found, text_col)
-    per_doc = near.join(telling, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+    telling, near, _ = _tied(docs, found, id_col, text_col)
+    per_doc = near.join(telling, ["group", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
     rank = F.when(F.col("share") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS))
     per_doc = per_doc.groupBy("key").agg(F.collect_list(F.struct("term", rank.alias("kind"))).alias("terms"))
     per_doc = materialize(per_doc, "terms")
@@ -185,7 +207,7 @@ def _added(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> Dat
     rows = docs.select(_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     rows = with_filter_hit(rows, F.col("key"), words, bits, "hit").where("hit").drop("hit").join(per_doc, "key").dropDuplicates(["key"])
     kinds = F.map_from_entries("terms")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.array_sort(F.map_keys(kinds)), "|"), F.lit(r")(?!\p{L})"))
+    pattern = F.concat(F.lit(rf"(?iu)(?<![{_WORD}])(?:"), F.array_join(F.array_sort(F.map_keys(kinds)), "|"), F.lit(rf")(?![{_WORD}])"))
     spans = F.transform(
         _matches(F.col("text"), pattern),
         lambda m: F.struct(

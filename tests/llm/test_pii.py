@@ -96,6 +96,16 @@ def test_sanitised_texts(spark):
     assert text[60] == "Zanthor without any address" and text[61] is None and text[62] == "about mail [EMAIL] here"
 
 
+def test_words_far_from_the_entity(spark):
+    far = " something common to read" * 10
+    rows = [(i, f"Zanthor{far} age 42, zq@host.org, 10.0.0.1{far} Quill", None, None) for i in range(5)]
+    rows += [(10 + i, f"other{far} age 42{far}", None, None) for i in range(100)]
+    rows += [(200, f"zq@host.org{far} Zanthor and nothing else", None, None)]
+    text = {r.doc_id: r.text for r in sanitise(docs(spark, rows)).collect()}
+    assert all("Zanthor" not in text[i] and "Quill" not in text[i] for i in (0, 4, 200))
+    assert "something common to read age 42, [EMAIL], [IP]" in text[0]
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     rows = [(1, "a@b.co", None, None), (1, "a@b.co", None, None), (None, "c@d.eu", None, None), (1, "other text", None, None)]
     got = pii_report(docs(spark, rows)).collect()
