@@ -106,6 +106,16 @@ def test_words_far_from_the_entity(spark):
     assert "something common to read age 42, [EMAIL], [IP]" in text[0]
 
 
+def test_names_at_the_borders_of_a_text_and_between_numbers(spark):
+    rows = [(i, "Zanthor: zq@host.org", None, None) for i in range(3)]
+    rows += [(5 + i, "zq@host.org Zanthor", None, None) for i in range(3)]
+    rows += [(10 + i, "Quillon, age 42, card 4111 1111 1111 1111", None, None) for i in range(5)]
+    rows += [(20 + i, f"age 42, card number {i} and other words", None, None) for i in range(100)]
+    text = {r.doc_id: r.text for r in sanitise(docs(spark, rows)).collect()}
+    assert text[0].endswith(": [EMAIL]") and "Zanthor" not in text[0] + text[5] and "Quillon" not in text[10]
+    assert text[10].endswith(", age 42, card [CARD]")
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     rows = [(1, "a@b.co", None, None), (1, "a@b.co", None, None), (None, "c@d.eu", None, None), (1, "other text", None, None)]
     got = pii_report(docs(spark, rows)).collect()
