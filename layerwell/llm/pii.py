@@ -4,12 +4,13 @@ Patterns find e-mail and IP addresses, card and phone numbers in every text. The
 the protected entities. A word of a document that holds an entity reveals it if the corpus ties the
 two together: with document counts n(c), n(t), n(c, t) of the entity, the word, and both, the
 pointwise mutual information log2(N n(c, t) / (n(c) n(t))) is the information that the word gives
-about the entity, out of log2(N / n(c)) that identifies it fully. A word seen with the entity
-in ``SUPPORT`` documents or more that
+about the entity, out of log2(N / n(c)) that identifies it fully. The estimate is shrunk, so that few
+counts must tell more: by ``FEW`` / n(c, t)^2 bits, and by counting a word of fewer than
+``LONG`` characters in ``PRIOR`` further documents for each missing one. A word that
 gives at least ``GENERALISE`` of the full information is generalised, one that gives at least ``REMOVE`` is
 removed, in all documents that hold the entity, wherever it stands.
 
-Words are runs of at least ``LEAST_LETTERS`` letters outside the identifiers. Entities held by the same
+Words are runs of letters, digits and marks outside the identifiers. Entities held by the same
 documents count as one group, so a document of many identifiers is not multiplied by them. Words too
 frequent to reveal even the most frequent entity are left out before pairs are counted.
 
@@ -32,11 +33,11 @@ from layerwell.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("term", "gone")
-SUPPORT = 3
+FEW = 3.0  # bits taken off after a single common document
+LONG, PRIOR = 4, 3
 GENERALISE, REMOVE = 0.7, 0.95
-_WORD = r"\p{L}"
-WORD = rf"[{_WORD}]+"
-LEAST_LETTERS = 4
+_WORD = r"\p{L}\p{M}\p{N}"
+WORD = rf"[\p{{L}}\p{{N}}][{_WORD}]*"
 
 # Same matches as the plain patterns: what follows a possessive part never starts with a character of it,
 # and a match inside a run could have started at the run's first character or where the last match ended.
@@ -146,8 +147,7 @@ def _outside(text: Column) -> Column:
 
 def _words(text: Column) -> Column:
     """Distinct lower-case words."""
-    found = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.array_distinct(F.transform(F.filter(found, lambda w: F.length(w) >= LEAST_LETTERS), F.lower))
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
 
 def _tied(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -181,9 +181,10 @@ def _tied(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> tupl
     near = with_filter_hit(near, F.col("term"), rare, bits, "hit").where("hit")
     near = materialize(near.select("key", F.explode("groups").alias("group"), "term"), "near")
 
-    pairs = near.groupBy("group", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
+    pairs = near.groupBy("group", "term").agg(F.count("*").alias("n_ct"))
     pairs = pairs.join(entities.select("group", "n_c").distinct(), "group").join(counts, "term")
-    shared = F.log2(F.lit(n) * F.col("n_ct") / (F.col("n_c").cast("double") * F.col("n_t")))
+    spread = F.col("n_t") + PRIOR * F.greatest(F.lit(0), LONG - F.length("term"))
+    shared = F.log2(F.lit(n) * F.col("n_ct") / (F.col("n_c").cast("double") * spread)) - FEW / (F.col("n_ct") * F.col("n_ct"))
     full = F.log2(F.lit(n) / F.col("n_c"))
     telling = pairs.where((full > 0) & (shared >= GENERALISE * full)).select("group", "term", (shared / full).alias("share"))
     return materialize(telling, "telling"), near, entities

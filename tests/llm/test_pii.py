@@ -116,6 +116,15 @@ def test_names_at_the_borders_of_a_text_and_between_numbers(spark):
     assert text[10].endswith(", age 42, card [CARD]")
 
 
+def test_short_words_digits_marks_and_entities_of_few_documents(spark):
+    rows = [(i, "Lee K7x 김철수 re\u0301my at zq@host.org", None, None) for i in range(2)]
+    rows += [(10, "Quillon at only@host.org", None, None)]
+    rows += [(20 + i, f"common words at item {i % 10}", None, None) for i in range(4000)]
+    text = {r.doc_id: r.text for r in sanitise(docs(spark, rows)).collect()}
+    assert text[0] == text[1] == "[TERM] [TERM] [TERM] [TERM] at [EMAIL]"
+    assert text[10] == "[TERM] at [EMAIL]" and text[20] == "common words at item 0"
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     rows = [(1, "a@b.co", None, None), (1, "a@b.co", None, None), (None, "c@d.eu", None, None), (1, "other text", None, None)]
     got = pii_report(docs(spark, rows)).collect()
