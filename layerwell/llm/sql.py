@@ -157,7 +157,59 @@ SELECT conv_id, perspective, turn, role, name, segment, stop - length(segment) A
 FROM placed
 """
 
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: bytes, then the eight bits of each."""
+    step = "lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    one = f"lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {one}), 4294967295)"
+
+
+PREFIX_TRIE = rf"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), skips AS (
+  SELECT c, {_crc32("CAST(c AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT c FROM turns)
+), borrowed AS (
+  SELECT s.c, t.n AS p, t.role, t.text FROM skips s JOIN turns t ON t.c = s.c - s.c % 20 AND t.n <= s.h
+), rebuilt AS (
+  SELECT * FROM borrowed
+  UNION ALL
+  SELECT t.c, t.n - s.h + (SELECT count(*) FROM borrowed b WHERE b.c = t.c), t.role, t.text
+  FROM turns t JOIN skips s ON s.c = t.c AND t.n > s.h
+), prefixes AS (
+  SELECT c, p AS depth, text, string_agg(sha256(length(role) || ':' || role || text), ',') OVER (PARTITION BY c ORDER BY p) AS path
+  FROM rebuilt
+  UNION ALL
+  SELECT c, 0, '', '' FROM skips
+), ends AS (
+  SELECT max_by(path, depth) AS path, c FROM prefixes GROUP BY c
+), ended AS (
+  SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256 FROM ends GROUP BY path
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, any_value(text) AS text, min(c) AS conv_id, count(*) AS n_convs FROM prefixes GROUP BY path
+), upper AS (
+  SELECT n.path, any_value(u.path) AS above
+  FROM nodes n JOIN prefixes u ON u.c = n.conv_id AND u.depth = n.depth - 1 GROUP BY n.path
+), children AS (
+  SELECT above AS path, count(*) AS n_children FROM upper GROUP BY above
+), below AS (
+  SELECT u.path, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves,
+         sum((n.n_convs - 1) * len(regexp_extract_all(n.text, '[^\x20\x09-\x0D]+'))) AS saved_tokens
+  FROM nodes n LEFT JOIN children k USING (path) JOIN prefixes u ON u.c = n.conv_id AND u.depth <= n.depth
+  GROUP BY u.path
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM nodes n
+LEFT JOIN upper u ON u.path = n.path LEFT JOIN nodes a ON a.path = u.above
+LEFT JOIN children k ON k.path = n.path JOIN below b ON b.path = n.path LEFT JOIN ended e ON e.path = n.path
+"""
+
 ORACLES = {
+    "op11_prefix_trie": PREFIX_TRIE,
     "op7_chat_perspectives": CHAT,
     "op5_personal_data": PERSONAL_DATA,
     "op4_source_mixing": MIXING,
