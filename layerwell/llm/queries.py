@@ -6,7 +6,9 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from layerwell.llm import chat, exact_dedup, language, mixing, near_dedup, neighbours, packing, pii, prefix_trie, quality, toxicity
+from layerwell.llm import (
+    chat, exact_dedup, language, licenses, mixing, near_dedup, neighbours, packing, pii, prefix_trie, quality, token_alignment, toxicity,
+)
 from layerwell.llm.sql import ORACLES  # noqa: F401
 
 
@@ -22,11 +24,18 @@ def _pack(spark, sf_dir):
     )
 
 
+def _align(spark, sf_dir):
+    path = public_tokenizers.path
+    return token_alignment.align(_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_toxicity": lambda s, d: toxicity.toxicity_report(_table(s, d, "documents"), _table(s, d, "labels")),
     "op10_quality": lambda s, d: quality.quality_report(_table(s, d, "documents"), _table(s, d, "labels")),
     "op11_prefix_trie": lambda s, d: prefix_trie.conversation_trie(_table(s, d, "conversations")),
+    "op12_license_scan": lambda s, d: licenses.license_report(_table(s, d, "documents")),
+    "op13_token_alignment": _align,
     "op2_best_fit_packing": _pack,
     "op3_nearest_neighbours": lambda s, d: neighbours.search(_table(s, d, "embeddings"), F.col("vec_id") % 20 == 0),
     "op4_source_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),

@@ -1,5 +1,7 @@
 """DuckDB oracles of the corpus queries, written as a SQL user would."""
 
+from layerwell.llm.licenses import BASE, NOTICES, edits_of, pieces
+
 WORDS = r"len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))"
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -208,7 +210,45 @@ LEFT JOIN upper u ON u.path = n.path LEFT JOIN nodes a ON a.path = u.above
 LEFT JOIN children k ON k.path = n.path JOIN below b ON b.path = n.path LEFT JOIN ended e ON e.path = n.path
 """
 
+_NOTICES = ", ".join(f"('{label}', '{text}', {edits_of(text)}, {text in dict(BASE).values()})" for label, text in BASE + NOTICES)
+_PIECES = ", ".join(f"('{text}', '{piece}')" for _, text in BASE + NOTICES for _, piece in pieces(text, edits_of(text)))
+
+# Runs of words are compared with a notice only in texts that hold a piece of it: the others cannot be near enough.
+LICENSES = rf"""
+WITH notices(label, notice, edits, is_base) AS (VALUES {_NOTICES}), pieces(notice, piece) AS (VALUES {_PIECES}),
+texts AS (
+  SELECT doc_id, row_number() OVER () AS id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), joined AS (
+  SELECT id, words, array_to_string(words, ' ') AS joined FROM texts
+), asked AS (
+  SELECT DISTINCT j.id, p.notice FROM joined j JOIN pieces p ON contains(j.joined, p.piece)
+), places AS (
+  SELECT id, i, words[i].w AS w, words[i].stop AS stop
+  FROM (
+    SELECT id, unnest(range(1, len(words) + 1)) AS i,
+           list_transform(words, lambda w, n: {{'w': w, 'stop': n + list_sum(list_transform(words[:n], lambda v: length(v)))}}) AS words
+    FROM joined WHERE id IN (SELECT id FROM asked)
+  )
+), runs AS (
+  SELECT a.id, n.label, n.is_base, n.notice, f.i AS first, levenshtein(array_to_string(j.words[f.i : l.i], ' '), n.notice) AS edits, n.edits AS most
+  FROM asked a JOIN notices n USING (notice) JOIN joined j USING (id)
+  JOIN places f ON f.id = a.id
+  JOIN places l ON l.id = a.id AND l.i BETWEEN f.i AND f.i + len(string_split(n.notice, ' ')) + n.edits
+  WHERE abs(l.stop - f.stop + length(f.w) - length(n.notice)) <= n.edits
+), found AS (
+  SELECT id, min(first - 1) FILTER (WHERE is_base AND edits = 0) AS first_word, max(first - 1) FILTER (WHERE is_base AND edits = 0) AS last_word,
+         count(*) FILTER (WHERE is_base AND edits = 0) AS n_base,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base AND edits = 0) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(1 - edits / length(notice)) AS score
+  FROM runs WHERE edits <= most GROUP BY id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM texts LEFT JOIN found USING (id)
+"""
+
 ORACLES = {
+    "op12_license_scan": LICENSES,
     "op11_prefix_trie": PREFIX_TRIE,
     "op7_chat_perspectives": CHAT,
     "op5_personal_data": PERSONAL_DATA,
