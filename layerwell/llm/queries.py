@@ -25,8 +25,8 @@ def _pack(spark, sf_dir):
 
 
 def _align(spark, sf_dir):
-    path = public_tokenizers.path
-    return token_alignment.align(_table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+    names = ["byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"]
+    return token_alignment.align(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, names))
 
 
 QUERIES = {

@@ -223,18 +223,16 @@ texts AS (
 ), asked AS (
   SELECT DISTINCT j.id, p.notice FROM joined j JOIN pieces p ON contains(j.joined, p.piece)
 ), places AS (
-  SELECT id, i, words[i].w AS w, words[i].stop AS stop
-  FROM (
-    SELECT id, unnest(range(1, len(words) + 1)) AS i,
-           list_transform(words, lambda w, n: {{'w': w, 'stop': n + list_sum(list_transform(words[:n], lambda v: length(v)))}}) AS words
-    FROM joined WHERE id IN (SELECT id FROM asked)
-  )
+  SELECT id, i, w, sum(length(w) + 1) OVER (PARTITION BY id ORDER BY i) - 1 AS stop
+  FROM (SELECT id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS w FROM joined WHERE id IN (SELECT id FROM asked))
+), starts AS (
+  SELECT p.*, n.*, unnest(range(0, len(string_split(n.notice, ' ')) + n.edits + 1)) AS more
+  FROM asked a JOIN notices n USING (notice) JOIN places p USING (id)
 ), runs AS (
-  SELECT a.id, n.label, n.is_base, n.notice, f.i AS first, levenshtein(array_to_string(j.words[f.i : l.i], ' '), n.notice) AS edits, n.edits AS most
-  FROM asked a JOIN notices n USING (notice) JOIN joined j USING (id)
-  JOIN places f ON f.id = a.id
-  JOIN places l ON l.id = a.id AND l.i BETWEEN f.i AND f.i + len(string_split(n.notice, ' ')) + n.edits
-  WHERE abs(l.stop - f.stop + length(f.w) - length(n.notice)) <= n.edits
+  SELECT f.id, label, is_base, notice, f.i AS first, edits AS most,
+         levenshtein(substr(joined, CAST(f.stop - length(f.w) + 1 AS BIGINT), CAST(l.stop - f.stop + length(f.w) AS BIGINT)), notice) AS edits
+  FROM starts f JOIN places l ON l.id = f.id AND l.i = f.i + f.more AND abs(l.stop - f.stop + length(f.w) - length(notice)) <= edits
+  JOIN joined j ON j.id = f.id
 ), found AS (
   SELECT id, min(first - 1) FILTER (WHERE is_base AND edits = 0) AS first_word, max(first - 1) FILTER (WHERE is_base AND edits = 0) AS last_word,
          count(*) FILTER (WHERE is_base AND edits = 0) AS n_base,

@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,9 +43,11 @@ RESIDENT = 4_000_000
 FAN = 16
 FLUSHED = 4_000_000
 DOCS_AT_ONCE = 512
-CACHED_PIECES = 60_000
-CACHED_LETTERS = 48
+CACHED_PIECES = 300_000
+JOINED = 64
+LARGE_GROUP = 4096
 _CUT = re.compile(r"(?<=\S)(?= |\n\S)")
+_TWO_BLANKS = re.compile(r"\s\s")
 _NONE = np.empty(0, np.int64)
 
 
@@ -55,13 +58,26 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _ranked(path: str):
+    """Encoder by the rank file of the vocabulary of A."""
+    import base64
+
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Aligner:
-    """Tokens of both kinds, aligned piece by piece."""
+    """Tokens of both kinds, aligned for many pieces at once."""
 
-    def __init__(self, byte_bpe_path: str, piece_path: str):
+    def __init__(self, byte_bpe_path: str, piece_path: str, ranks_path: str | None = None):
         import sentencepiece
         from tokenizers import Tokenizer
 
+        self.fast = ranks_path and _ranked(ranks_path)
         self.a = Tokenizer.from_file(byte_bpe_path)
         self.a.encode_special_tokens = True
         letters = _byte_letters()
@@ -73,84 +89,175 @@ class Aligner:
         named = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(named)]
         self.space = self.b.piece_to_id("▁")
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
         crossing = any(b" " in x.lstrip(b" ") or (b"\n" in x and len(x) > 1) for x in self.b_bytes)
         self.cut = None if crossing else _CUT
+        a_names, b_names = map(str, range(len(self.a_bytes))), map(str, range(len(self.b_bytes)))
+        # The digest text of an id, by what follows it: of A a comma or a bar, of B a comma or a semicolon.
+        self.written = [end for names, ends in ((list(a_names), ",|"), (list(b_names), ",;")) for e in ends for end in [n + e for n in names]]
 
     def pieces(self, text: str) -> list[str]:
         """The space and the text, cut where no token of either kind crosses."""
-        return self.cut.split(" " + text) if self.cut else [" " + text]
-
-    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both kinds for pieces that start with a space or a line end."""
+        text = " " + text
+        if not self.cut:
+            return [text]
+        if _TWO_BLANKS.search(text):
+            return self.cut.split(text)
+        return [p if p[:1] == "\n" else " " + p for p in text.replace("\n", " \n").split(" ")[1:]]
+
+    def encode_each(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of both kinds, piece by piece; a piece starts with a space or a line end."""
         a = [e.ids for e in self.a.encode_batch(pieces, add_special_tokens=False)]
         b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
         # The tokenizer puts a space before what it gets: nothing is left of a lone space, a line end gets one too many.
         b = [[self.space] if p == " " else ids[1:] if p[0] == "\n" else ids for p, ids in zip(pieces, b)]
         return a, b
 
-    def groups(self, piece: str, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]] | None:
-        """Ids of A and B between common ends; none if either does not spell the piece."""
-        want = piece.encode()
-        if b"".join(self.a_bytes[i] for i in a) != want or b"".join(self.b_bytes[i] for i in b) != want:
-            return None
-        out, i, j, at_a, at_b, first_a, first_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if at_a <= at_b:
-                at_a += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                at_b += len(self.b_bytes[b[j]])
-                j += 1
-            if at_a == at_b:
-                out.append((a[first_a:i], b[first_b:j]))
-                first_a, first_b = i, j
-        return out
-
-    def links(self, groups: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs of the groups as keys, and how many links each has."""
-        width, keys, times = len(self.b_bytes), [], []
-        for a, b in groups:
-            if len(a) == len(b) == 1:
-                keys.append(a[0] * width + b[0])
-                times.append(1)
-            else:
-                (a_ids, a_times), (b_ids, b_times) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-                keys.extend((a_ids[:, None] * width + b_ids).ravel().tolist())
-                times.extend((a_times[:, None] * b_times).ravel().tolist())
-        distinct, where = np.unique(np.array(keys, np.int64), return_inverse=True)
-        return distinct, np.bincount(where, weights=times, minlength=len(distinct)).astype(np.int64)
-
-
-def _aligned(batches: Iterator[pa.RecordBatch], aligner: Aligner, describe) -> Iterator[tuple[pa.Array, list]]:
-    """Ids of documents and, per document, its pieces' descriptions; None for a document without tokens.
-
-    ``describe`` gets (groups, keys, times) of all new pieces at once, so that it may look all keys up together.
-    """
-    known: dict[str, object] = {}
+    def _encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are encoded some dozens at a time, as one text."""
+        texts = ["".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        a = [self.fast(t) for t in texts] if self.fast else [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        return self._flat(a), self._flat(self.b.encode([t[1:] for t in texts], num_threads=1))
+
+    def _flat(self, ids: list[list[int]]) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(ids), np.int64)
+
+    def encode(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both kinds of all pieces in a row, and which pieces both kinds spell; the others have no ids here.
+
+        Pieces that start with a space and end with a letter may be joined, since they would be cut there again. If tokens do
+        not spell the joined text, or pieces are of another form, they are encoded one by one.
+        """
+        spelled = np.ones(len(pieces), bool)
+        text = "".join(pieces)
+        if self.cut and not any(p[0] != " " or p[-1].isspace() for p in pieces):
+            a, b = self._encode_joined(pieces)
+            ends = np.cumsum(sizes)
+            if self._spells(self.a_bytes, a, text) and self._spells(self.b_bytes, b, text):
+                if all(np.isin(ends, np.cumsum(table[ids])).all() for table, ids in ((self.a_sizes, a), (self.b_sizes, b))):
+                    return a, b, spelled
+        a, b = self.encode_each(pieces)
+        for i, piece in enumerate(pieces):
+            if not (self._spells(self.a_bytes, a[i], piece) and self._spells(self.b_bytes, b[i], piece)):
+                spelled[i], a[i], b[i] = False, [], []
+        return self._flat(a), self._flat(b), spelled
+
+    def _spells(self, table: list[bytes], ids, text: str) -> bool:
+        return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]) == text.encode()
+
+
+class Pieces:
+    """What is known of the pieces that a task has met: numbers, links and the digest's text of each."""
+
+    def __init__(self, aligner: Aligner, look_up=None):
+        self.aligner, self.look_up = aligner, look_up
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.spelled = np.empty(0, bool)
+        self.numbers = np.empty((0, 6), np.int64)
+        self.first, self.keys, self.times = np.zeros(1, np.int64), _NONE, _NONE
+        self.texts: list[str] = []
+
+    def documents(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """Places of every document's pieces in the tables; None for a document without tokens."""
+        if len(self.known) > CACHED_PIECES or len(self.keys) > 8 * CACHED_PIECES:
+            self.clear()
+        cut = [self.aligner.pieces(t) if t else None for t in texts]
+        new = list(set().union(*filter(None, cut)) - self.known.keys())
+        apart = [p for p in new if p[0] != " " or p[-1].isspace() or "▁" in p]
+        for part in (list(set(new).difference(apart)), apart):
+            if part:
+                self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
+                self._add(part)
+        known = self.known.__getitem__
+        places = [np.fromiter(map(known, pieces), np.int64, len(pieces)) if pieces else None for pieces in cut]
+        return [None if at is None or not self.spelled[at].all() else at for at in places]
+
+    def _add(self, pieces: list[str]) -> None:
+        """Align new pieces: groups end where tokens of both kinds do; each token's group gives its links."""
+        own = self.aligner
+        sizes = np.array([len(p.encode()) for p in pieces], np.int64)
+        a, b, spelled = own.encode(pieces, sizes)
+        ends_a, ends_b = np.cumsum(own.a_sizes[a]), np.cumsum(own.b_sizes[b])
+        piece_ends = np.cumsum(np.where(spelled, sizes, 0))
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        of_a, of_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        n_a, n_b = np.bincount(of_a, minlength=len(common)), np.bincount(of_b, minlength=len(common))
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        # Pieces that are not spelled have no bytes here, so a byte's piece is the first that ends behind it.
+        piece = np.searchsorted(piece_ends, common)
+        total = lambda of_group: np.bincount(piece, weights=of_group, minlength=len(pieces)).astype(np.int64)
+        pairs = n_a * n_b
+        where, keys, times = self._links(a, b, of_a, of_b, n_a, n_b, first_b, piece)
+        found = np.bincount(where, minlength=len(pieces))
+        numbers = np.zeros((len(pieces), 6), np.int64)
+        numbers[:, :4] = np.array([total(n_a), total(n_b), total(np.ones(len(common))), total(pairs)]).T
+        if self.look_up:
+            n, best, missing = self.look_up(keys)
+            numbers[:, 4] = np.bincount(where, weights=times * best, minlength=len(pieces))
+            numbers[:, 5] = np.bincount(where, weights=times * n, minlength=len(pieces))
+            keys, times, where = keys[missing], times[missing], where[missing]
+            found = np.bincount(where, minlength=len(pieces))
+            self.texts += self._written(a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b)
+        self.spelled = np.concatenate([self.spelled, spelled])
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(found)])
+        self.keys, self.times = np.concatenate([self.keys, keys]), np.concatenate([self.times, times])
+
+    def _links(self, a, b, of_a, of_b, n_a, n_b, first_b, piece):
+        """Distinct pairs of each piece, in its order: piece, key, number of links."""
+        width = len(self.aligner.b_bytes)
+        span = len(self.aligner.a_bytes) * width
+        small = n_a * n_b <= LARGE_GROUP
+        repeats = np.where(small, n_b, 0)[of_a]
+        left = np.repeat(np.arange(len(a)), repeats)
+        nth = np.arange(len(left)) - np.repeat(np.cumsum(repeats) - repeats, repeats)
+        group = of_a[left]
+        combined = [piece[group] * span + a[left] * width + b[first_b[group] + nth]]
+        weights = [np.ones(len(left), np.int64)]
+        for g in np.flatnonzero(~small):  # long groups: each distinct pair once
+            (x, x_times), (y, y_times) = np.unique(a[of_a == g], return_counts=True), np.unique(b[of_b == g], return_counts=True)
+            combined.append((piece[g] * span + x[:, None] * width + y).ravel())
+            weights.append((x_times[:, None] * y_times).ravel())
+        distinct, where = np.unique(np.concatenate(combined), return_inverse=True)
+        times = np.bincount(where, weights=np.concatenate(weights), minlength=len(distinct)).astype(np.int64)
+        return distinct // span, distinct % span, times
+
+    def _written(self, a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b) -> list[str]:
+        """The digest's text of every piece, with a semicolon behind each group."""
+        count_a, count_b = len(self.aligner.a_bytes), len(self.aligner.b_bytes)
+        codes = np.empty(len(a) + len(b), np.int64)
+        last_a = np.arange(len(a)) == (first_a + n_a - 1)[of_a]
+        last_b = np.arange(len(b)) == (first_b + n_b - 1)[of_b]
+        codes[np.arange(len(a)) + first_b[of_a]] = a + count_a * last_a
+        codes[np.arange(len(b)) + (first_a + n_a)[of_b]] = 2 * count_a + b + count_b * last_b
+        table = self.aligner.written
+        parts = [table[c] for c in codes.tolist()]
+        ends = np.searchsorted(ends_a, piece_ends, "right") + np.searchsorted(ends_b, piece_ends, "right")
+        return ["".join(parts[first:last]) for first, last in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+    def links_of(self, places: np.ndarray) -> np.ndarray:
+        """Places of the links of pieces in ``keys`` and ``times``."""
+        first, found = self.first[places], self.first[places + 1] - self.first[places]
+        return np.repeat(first - (np.cumsum(found) - found), found) + np.arange(found.sum())
+
+
+def _documents(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[tuple[pa.Array, list[np.ndarray | None]]]:
     for batch in batches:
         for first in range(0, batch.num_rows, DOCS_AT_ONCE):
             part = batch.slice(first, DOCS_AT_ONCE)
-            texts = [aligner.pieces(t) if t else None for t in part.column(1).to_pylist()]
-            new = list({p for pieces in texts if pieces for p in pieces if p not in known})
-            groups = [aligner.groups(*x) for x in zip(new, *aligner.encode(new))] if new else []
-            spelled = [(g, *aligner.links(g)) for g in groups if g is not None]
-            described = iter(describe(spelled))
-            now = {p: None if g is None else next(described) for p, g in zip(new, groups)}
-            found = []
-            for pieces in texts:
-                rows = pieces and [now[p] if p in now else known[p] for p in pieces]
-                found.append(rows if rows and all(r is not None for r in rows) else None)
-            yield part.column(0), found
-            if len(known) >= CACHED_PIECES:
-                known.clear()
-            known.update((p, x) for p, x in now.items() if len(p) <= CACHED_LETTERS)
-
-
-def pair_counts(docs: DataFrame, byte_bpe_path: str, piece_path: str, id_col: str, text_col: str) -> DataFrame:
+            yield part.column(0), pieces.documents(part.column(1).to_pylist())
+
+
+def pair_counts(
+    docs: DataFrame, byte_bpe_path: str, piece_path: str, ranks_path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """What tasks count, pair by pair: task, key, mixed, n (documents of the task that hold the pair)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, task = Aligner(byte_bpe_path, piece_path), TaskContext.get().partitionId()
+        pieces, task = Pieces(Aligner(byte_bpe_path, piece_path, ranks_path)), TaskContext.get().partitionId()
         keys, times = _NONE, _NONE
         held: list[np.ndarray] = []
 
@@ -166,10 +273,10 @@ def pair_counts(docs: DataFrame, byte_bpe_path: str, piece_path: str, id_col: st
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["task", "key", "mixed", "n"])
 
         size = 0
-        for _, found in _aligned(batches, aligner, lambda new: [x[1] for x in new]):
-            for pieces in found:
-                if pieces:
-                    distinct = np.unique(np.concatenate(pieces))
+        for _, found in _documents(batches, pieces):
+            for places in found:
+                if places is not None:
+                    distinct = np.unique(pieces.keys[pieces.links_of(np.unique(places))])
                     held.append(distinct)
                     size += len(distinct)
                     if size >= FLUSHED:
@@ -266,11 +373,15 @@ def _resident(table: DataFrame, resident: int) -> tuple[DataFrame, DataFrame | N
 
 
 def align(
-    docs: DataFrame, byte_bpe_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text", resident: int = RESIDENT
-) -> DataFrame:
-    """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    docs: DataFrame, byte_bpe_path: str, piece_path: str, ranks_path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+    resident: int = RESIDENT,
+) -> DataFrame:
+    """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
+
+    ``ranks_path`` is the vocabulary of A as ranks; it only makes encoding faster.
+    """
     spark = docs.sparkSession
-    table = pair_table(pair_counts(docs, byte_bpe_path, piece_path, id_col, text_col))
+    table = pair_table(pair_counts(docs, byte_bpe_path, piece_path, ranks_path, id_col, text_col))
     head, tail = _resident(table, resident)
     parts = head.orderBy("bucket").collect()  # at most ``resident`` pairs
     width = F.lit(_pieces_in(piece_path))
@@ -284,42 +395,31 @@ def align(
     columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, (hashed, stored, counts, most) = Aligner(byte_bpe_path, piece_path), sent.value
-        b_ids = len(aligner.b_bytes)
+        aligner, (hashed, stored, counts, most) = Aligner(byte_bpe_path, piece_path, ranks_path), sent.value
 
-        def describe(new: list) -> list:
-            if not new:
-                return []
-            keys, times = np.concatenate([x[1] for x in new]), np.concatenate([x[2] for x in new])
+        def counted_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             at = hashed.index(keys)
             known = at >= 0
             known[known] = stored[at[known]] == keys[known]
             n = np.zeros(len(keys), np.int64)
             n[known] = counts[at[known]]
-            best = known & (n == most[keys // b_ids])
-            cuts = np.cumsum([0, *(len(x[1]) for x in new)])
-            out = []
-            for (groups, _, _), first, last in zip(new, cuts[:-1], cuts[1:]):
-                own = times[first:last]
-                missing = np.flatnonzero(~known[first:last])
-                text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-                numbers = [sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), own.sum(),
-                           own[best[first:last]].sum(), (own * n[first:last]).sum()]
-                out.append((np.array(numbers, np.int64), text, keys[first:last][missing], own[missing]))
-            return out
+            return n, known & (n == most[keys // len(aligner.b_bytes)]), ~known
 
+        pieces = Pieces(aligner, counted_pairs)
         row = TaskContext.get().partitionId() << 40
-        for ids, found in _aligned(batches, aligner, describe):
+        for ids, found in _documents(batches, pieces):
             numbers = np.zeros((len(found), 6), np.int64)
-            digests, keys, times, cuts = [], [_NONE], [_NONE], [0]
-            for i, pieces in enumerate(found):
-                digests.append("")
-                if pieces:
-                    numbers[i] = np.sum([p[0] for p in pieces], axis=0)
-                    digests[i] = hashlib.sha256(";".join([p[1] for p in pieces]).encode()).hexdigest()
-                    keys += [p[2] for p in pieces if len(p[2])]
-                    times += [p[3] for p in pieces if len(p[2])]
-                cuts.append(cuts[-1] + (sum(len(p[2]) for p in pieces) if pieces else 0))
+            digests, keys, times, cuts = [""] * len(found), [_NONE], [_NONE], [0]
+            for i, places in enumerate(found):
+                if places is not None:
+                    numbers[i] = pieces.numbers[places].sum(axis=0)
+                    text = "".join([pieces.texts[p] for p in places.tolist()])
+                    digests[i] = hashlib.sha256(text[:-1].encode()).hexdigest()
+                    if len(pieces.keys):
+                        links = pieces.links_of(places)
+                        keys.append(pieces.keys[links])
+                        times.append(pieces.times[links])
+                cuts.append(sum(map(len, keys[-1:])) + cuts[-1] if places is not None and len(pieces.keys) else cuts[-1])
             lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(x))) for x in (keys, times)]
             rows = pa.array(np.arange(row, row + len(found)))
             row += len(found)

@@ -10,6 +10,7 @@ from layerwell.llm import minimal_hash
 from layerwell.llm.token_alignment import Aligner, align, pair_counts, pair_links, pair_table
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def odd_texts(n, seed=3):
@@ -56,7 +57,7 @@ def test_cut_texts_have_the_ids_of_whole_texts():
     aligner = Aligner(A, B)
     for text in odd_texts(6000):
         pieces = aligner.pieces(text)
-        a, b = aligner.encode(pieces)
+        a, b = aligner.encode_each(pieces)
         assert "".join(pieces) == " " + text
         assert sum(a, []) == aligner.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
         if "▁" not in text:  # stands for a space in B, so no such text is spelled by its tokens
@@ -72,7 +73,7 @@ def test_equals_brute_force_with_all_and_with_few_resident_pairs(spark):
     rows = cases()
     want, _ = brute(Aligner(A, B), rows)
     frame = docs(spark, [(i, t, None, None, 1, "x") for i, t in rows], ", key long, n_a string")
-    assert table(align(frame, A, B)) == want
+    assert table(align(frame, A, B)) == table(align(frame, A, B, RANKS)) == want
     assert table(align(frame, A, B, resident=40)) == want
     assert table(align(frame, A, B, resident=0)) == want
 
@@ -80,7 +81,7 @@ def test_equals_brute_force_with_all_and_with_few_resident_pairs(spark):
 def test_pair_table_counts_documents(spark):
     rows = cases()
     _, count = brute(Aligner(A, B), rows)
-    counted = pair_counts(docs(spark, [(i, t, None, None) for i, t in rows]).repartition(40), A, B, "doc_id", "text")
+    counted = pair_counts(docs(spark, [(i, t, None, None) for i, t in rows]).repartition(40), A, B, RANKS)
     got = {(r.a, r.b): r.n for r in pair_links(pair_table(counted), B).collect()}
     assert got == dict(count)
 
