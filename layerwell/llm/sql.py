@@ -55,18 +55,31 @@ FROM placed
 def _spans(kind: str, rank: int, pattern: str, valid: str) -> str:
     """Spans of one kind: text before a match and earlier matches give its position."""
     return f"""
-SELECT doc_id, {rank} AS rank, '{kind}' AS kind, value, start, start + length(value) AS stop, before, after
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, value, start, start + length(value) AS stop
+FROM ({_places("texts", pattern)}) WHERE {valid}"""
+
+
+def _places(texts: str, pattern: str) -> str:
+    """Matches of a pattern with their positions (doc_id, value, start)."""
+    return f"""
+SELECT doc_id, value,
+       sum(length(gap)) OVER (PARTITION BY doc_id ORDER BY i)
+         + coalesce(sum(length(value)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
 FROM (
-  SELECT doc_id, value,
-         sum(length(gap)) OVER (PARTITION BY doc_id ORDER BY i)
-           + coalesce(sum(length(value)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         right(gap, 60) AS before, left(lead(gap) OVER (PARTITION BY doc_id ORDER BY i), 60) AS after
-  FROM (
-    SELECT doc_id, unnest(range(len(gaps))) AS i, unnest(gaps) AS gap, unnest(list_append(found, NULL)) AS value
-    FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found
-          FROM texts WHERE regexp_matches(text, '{pattern}'))
-  )
-) WHERE value IS NOT NULL AND {valid}"""
+  SELECT doc_id, unnest(range(len(found))) AS i, unnest(gaps[:len(found)]) AS gap, unnest(found) AS value
+  FROM (SELECT doc_id, regexp_split_to_array(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found
+        FROM {texts} WHERE regexp_matches(text, '{pattern}'))
+)"""
+
+
+def _masked(texts: str, pattern: str, valid: str) -> str:
+    """Texts with a space for every valid match."""
+    return f"""
+SELECT doc_id, CASE WHEN len(found) = 0 THEN text ELSE
+         array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || coalesce(found[i], '')), '') END AS text
+FROM (SELECT doc_id, text, regexp_split_to_array(text, '{pattern}') AS gaps,
+             list_transform(regexp_extract_all(text, '{pattern}'), lambda value: CASE WHEN {valid} THEN ' ' ELSE value END) AS found
+      FROM {texts})"""
 
 
 _DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
@@ -75,53 +88,49 @@ _LUHN = f"""list_sum(list_transform(range(length({_DIGITS})),
                  WHEN CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) > 4 THEN 2 * CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) - 9
                  ELSE 2 * CAST({_DIGITS}[length({_DIGITS}) - i] AS INT) END)) % 10 = 0"""
 _PARTS = "len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST('0' || right(p, 3) AS INT) > 255)) = 0"
-_BASE = " UNION ALL ".join(
-    [
-        _spans("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
-        _spans("ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", _PARTS),
-        _spans("card", 2, r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 THEN {_LUHN} ELSE false END"),
-        _spans("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
-    ]
-)
-_TERMS = r"list_distinct(list_transform(list_filter(regexp_extract_all({0}, '\p{{L}}+'), lambda w: length(w) >= 4), lambda w: lower(w)))"
+_KINDS = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", _PARTS),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_DIGITS}) BETWEEN 12 AND 19 THEN {_LUHN} ELSE false END"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+]
+_BASE = " UNION ALL ".join(_spans(kind, rank, pattern, valid) for rank, (kind, pattern, valid) in enumerate(_KINDS))
+_MASKS = ",\n".join(f"masked_{kind} AS ({_masked(before, pattern, valid)})" for before, (kind, pattern, valid) in zip(
+    ["texts", *(f"masked_{kind}" for kind, _, _ in _KINDS)], _KINDS))
+_TERM = r"[\p{L}\p{N}][\p{L}\p{M}\p{N}]*"
 
+# Words are counted outside the identifiers, over whole texts; a telling word is marked in every document that holds the entity.
 PERSONAL_DATA = rf"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 base AS ({_BASE}),
-entities AS (
-  SELECT *, rank || ':' || CASE rank WHEN 0 THEN lower(value) WHEN 1 THEN value ELSE {_DIGITS} END AS entity FROM base
+{_MASKS},
+words AS (
+  SELECT DISTINCT doc_id, term
+  FROM (SELECT doc_id, unnest(list_transform(regexp_extract_all(text, '{_TERM}'), lambda w: lower(w))) AS term FROM masked_phone)
 ),
-near AS (
-  SELECT DISTINCT doc_id, entity, unnest({_TERMS.format(r"regexp_replace(before, '^\p{L}+', '') || ' ' || regexp_replace(after, '\p{L}+$', '')")}) AS term
-  FROM entities
+spoken AS (SELECT term, count(*) AS n_t FROM words GROUP BY term),
+entities AS (
+  SELECT DISTINCT doc_id, rank || ':' || CASE rank WHEN 0 THEN lower(value) WHEN 1 THEN value ELSE {_DIGITS} END AS entity FROM base
 ),
-held AS (SELECT entity, count(DISTINCT doc_id) AS n_c FROM entities GROUP BY entity),
-pairs AS (SELECT entity, term, count(*) AS n_ct FROM near GROUP BY entity, term HAVING count(*) >= 3),
-spoken AS (SELECT term, count(*) AS n_t FROM (SELECT unnest({_TERMS.format("text")}) AS term FROM texts) GROUP BY term),
+held AS (SELECT entity, count(*) AS n_c FROM entities GROUP BY entity),
+pairs AS (SELECT entity, term, count(*) AS n_ct FROM entities JOIN words USING (doc_id) GROUP BY entity, term),
 told AS (
-  SELECT entity, term, log2(total * n_ct / (CAST(n_c AS DOUBLE) * n_t)) AS shared, log2(total / n_c) AS whole
+  SELECT entity, term, log2(total / n_c) AS whole,
+         log2(total * n_ct / (CAST(n_c AS DOUBLE) * (n_t + 3 * greatest(0, 4 - length(term))))) - 3.0 / (n_ct * n_ct) AS shared
   FROM pairs JOIN held USING (entity) JOIN spoken USING (term), (SELECT CAST(count(*) AS DOUBLE) AS total FROM documents)
 ),
 marked AS (
   SELECT doc_id, term, max(shared / whole) AS share
-  FROM near JOIN told USING (entity, term) WHERE whole > 0 AND shared >= 0.7 * whole GROUP BY doc_id, term
-),
-words AS (
-  SELECT doc_id, value,
-         sum(length(gap)) OVER (PARTITION BY doc_id ORDER BY i)
-           + coalesce(sum(length(value)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM (
-    SELECT doc_id, unnest(range(len(gaps))) AS i, unnest(gaps) AS gap, unnest(list_append(found, NULL)) AS value
-    FROM (SELECT doc_id, regexp_split_to_array(text, '\p{{L}}+') AS gaps, regexp_extract_all(text, '\p{{L}}+') AS found
-          FROM texts WHERE doc_id IN (SELECT doc_id FROM marked))
-  )
+  FROM entities JOIN told USING (entity) JOIN words USING (doc_id, term)
+  WHERE whole > 0 AND shared >= 0.7 * whole GROUP BY doc_id, term
 ),
+suspects AS (SELECT * FROM texts WHERE doc_id IN (SELECT doc_id FROM marked)),
 spans AS (
   SELECT doc_id, rank, kind, start, stop FROM base
   UNION ALL
   SELECT w.doc_id, CASE WHEN share >= 0.95 THEN 5 ELSE 4 END, CASE WHEN share >= 0.95 THEN 'gone' ELSE 'term' END,
          start, start + length(value)
-  FROM words w JOIN marked m ON w.doc_id = m.doc_id AND lower(w.value) = m.term
+  FROM ({_places("suspects", _TERM)}) w JOIN marked m ON w.doc_id = m.doc_id AND lower(w.value) = m.term
 ),
 joined AS (
   SELECT doc_id,
