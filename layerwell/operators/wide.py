@@ -167,21 +167,29 @@ def user_preference(orders: DataFrame, dt: str) -> DataFrame:
     )
 
 
+USER_COUNTED = {"order": "order_id", "product": "product_id"}
+USER_COLUMNS = [
+    "user_id", "username", "email", "phone", "gender", "age", "city", "province",
+    "registration_time", "last_login_time", "user_status",
+]
+
+
 def user_wide(users: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
     """One row per user of the day: window statistics, preference, labels, activity score."""
-    counted = {"order": "order_id", "product": "product_id"}
-    stats = _window_stats(orders, dt, ["user_id"], counted)
+    people = users.where(F.col("dt") == dt).select(*USER_COLUMNS)
+    stats = _window_stats(orders, dt, ["user_id"], USER_COUNTED)
+    return user_rows(people, stats, user_preference(orders, dt), ["user_id"], F.lit(dt))
+
+
+def user_rows(people: DataFrame, stats: DataFrame, preference: DataFrame, on: list[str], day: Column) -> DataFrame:
+    """Users with their statistics and preference, joined on ``on``."""
     amount, count = F.col("amount_30d"), F.col("order_count_30d")
-    people = users.where(F.col("dt") == dt).select(
-        "user_id", "username", "email", "phone", "gender", "age", "city", "province",
-        "registration_time", "last_login_time", "user_status",
-    )
     return (
-        people.join(stats, "user_id", "left")
-        .join(user_preference(orders, dt), "user_id", "left")
+        people.join(stats, on, "left")
+        .join(preference, on, "left")
         .select(
-            *people.columns,
-            *_window_columns(counted, "quantity", "order_amount"),
+            *USER_COLUMNS,
+            *_window_columns(USER_COUNTED, "quantity", "order_amount"),
             F.col("first_time_30d").alias("first_order_time_30d"),
             F.col("last_time_30d").alias("last_order_time_30d"),
             "prefer_category_name",
@@ -194,31 +202,36 @@ def user_wide(users: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
                 band(amount, USER_SPEND_POINTS, 0),
                 _zero("product_count_30d") * 2,
             ).alias("activity_score"),
-            F.lit(dt).alias("dt"),
+            day.alias("dt"),
         )
     )
 
 
-def _product_rows(products: DataFrame, orders: DataFrame, dt: str) -> tuple[DataFrame, list]:
-    counted = {"order": "order_id", "user": "user_id"}
-    base = products.where(F.col("dt") == dt).select(
-        "product_id", "product_name", "category_id", "category_name", "brand_id", "brand_name",
-        "price", "cost", "weight", "product_status",
-    )
-    columns = [
-        *base.columns,
-        *_window_columns(counted, "sales_quantity", "sales_amount"),
+PRODUCT_COUNTED = {"order": "order_id", "user": "user_id"}
+PRODUCT_COLUMNS = [
+    "product_id", "product_name", "category_id", "category_name", "brand_id", "brand_name",
+    "price", "cost", "weight", "product_status",
+]
+
+
+def _product_output() -> list:
+    return [
+        *PRODUCT_COLUMNS,
+        *_window_columns(PRODUCT_COUNTED, "sales_quantity", "sales_amount"),
         F.col("first_time_30d").alias("first_sale_time_30d"),
         F.col("last_time_30d").alias("last_sale_time_30d"),
     ]
-    return base.join(_window_stats(orders, dt, ["product_id"], counted), "product_id", "left"), columns
+
+
+def _product_rows(products: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
+    base = products.where(F.col("dt") == dt).select(*PRODUCT_COLUMNS)
+    return base.join(_window_stats(orders, dt, ["product_id"], PRODUCT_COUNTED), "product_id", "left")
 
 
 def product_wide_v1(products: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
     """One row per product of the day with a sales label and a popularity score."""
-    joined, columns = _product_rows(products, orders, dt)
-    return joined.select(
-        *columns,
+    return _product_rows(products, orders, dt).select(
+        *_product_output(),
         band(F.col("quantity_30d"), SALES_LABEL_STEPS, "no_sale").alias("sales_label"),
         _score(
             _zero("quantity_30d"), _zero("user_count_30d") * 2, band(F.col("amount_30d"), PRODUCT_POINTS_V1, 0)
@@ -229,11 +242,15 @@ def product_wide_v1(products: DataFrame, orders: DataFrame, dt: str) -> DataFram
 
 def product_wide(products: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
     """One row per product of the day with sales and revenue levels, popularity and margin."""
-    joined, columns = _product_rows(products, orders, dt)
+    return product_rows(_product_rows(products, orders, dt), F.lit(dt))
+
+
+def product_rows(joined: DataFrame, day: Column) -> DataFrame:
+    """Products with their statistics, labelled."""
     price = F.col("price")
     margin = F.when(price > 0, ratio(price - F.col("cost"), price, 100)).otherwise(0)
     return joined.select(
-        *columns,
+        *_product_output(),
         band(F.col("quantity_30d"), SALES_LEVEL_STEPS, "no_sales").alias("sales_level"),
         band(F.col("amount_30d"), REVENUE_STEPS, "minimal_revenue").alias("revenue_level"),
         _score(
@@ -242,7 +259,7 @@ def product_wide(products: DataFrame, orders: DataFrame, dt: str) -> DataFrame:
             band(F.col("amount_30d"), PRODUCT_POINTS, 0),
         ).alias("popularity_score"),
         margin.try_cast(PERCENT).alias("profit_margin"),
-        F.lit(dt).alias("dt"),
+        day.alias("dt"),
     )
 
 
@@ -280,7 +297,11 @@ def region_wide_v1(orders: DataFrame, dt: str) -> DataFrame:
 
 def region_wide(orders: DataFrame, dt: str) -> DataFrame:
     """One row per (province, city): five tiers, user counts, activity and new-user rates, spend per user."""
-    stats = _window_stats(_place(orders, "Unknown"), dt, REGION, REGION_COUNTED, with_users=True)
+    return region_rows(_window_stats(_place(orders, "Unknown"), dt, REGION, REGION_COUNTED, with_users=True), F.lit(dt))
+
+
+def region_rows(stats: DataFrame, day: Column) -> DataFrame:
+    """Regions with their statistics and user counts, labelled."""
 
     def share(part: str) -> Column:
         return F.coalesce(ratio(F.col(part), F.col("total_user_count"), 100), F.lit(0)).cast(PERCENT)
@@ -295,7 +316,7 @@ def region_wide(orders: DataFrame, dt: str) -> DataFrame:
         share("active_user_count").alias("user_activity_rate"),
         share("new_user_count").alias("new_user_rate"),
         spend.cast(AVERAGE).alias("avg_user_consumption"),
-        F.lit(dt).alias("dt"),
+        day.alias("dt"),
     )
 
 

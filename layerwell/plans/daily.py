@@ -11,8 +11,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from layerwell.functions.columns import day_shift
-from layerwell.operators import clean, wide
-from layerwell.operators.quality import NULL_RATIO_LIMIT, layer_ready, quality_gate
+from layerwell.operators import clean, day_bitmaps, wide
+from layerwell.operators.quality import NULL_RATIO_LIMIT, UPSTREAM, layer_ready, quality_gate
 from layerwell.operators.shape import stamp
 from layerwell.sinks.catalog import clear_layers
 from layerwell.sinks.tables import append_quality_result, overwrite_partition, overwrite_partitions
@@ -48,8 +48,11 @@ class Warehouse:
     def day(self, table: str, dt: str) -> DataFrame:
         return read_partition(self.spark, self.specs[table], dt)
 
+    def days(self, table: str, first: str, last: str) -> DataFrame:
+        return read_days(self.spark, self.specs[table], first, last)
+
     def window(self, table: str, dt: str, days: int) -> DataFrame:
-        return read_days(self.spark, self.specs[table], day_shift(dt, 1 - days), dt)
+        return self.days(table, day_shift(dt, 1 - days), dt)
 
 
 # Cleaning step and source of each detail table.
@@ -191,31 +194,93 @@ def backfill_details(
     results = []
     for table in tables or CLEANERS:
         source, cleaner = CLEANERS[table]
-        spec = house.specs[table]
         rows = cleaner(read_days(house.spark, house.specs[source], start, end), house.loaded_at)
-        rows = rows.persist(StorageLevel.DISK_ONLY)
-        try:
-            gate = quality_gate(rows, table, spec.keys, house.null_limit, spec.nullable_dates, by="dt")
-            days = {r.check_date: r for r in gate.collect()}  # one row per day of the range
-            if days:
-                append_quality_result(house.spark.createDataFrame(list(days.values()), gate.schema), house.specs[AUDIT_TABLE])
-            done = []
-            for dt in days_between(start, end):
-                day = days.get(dt)
-                if day is None:
-                    done.append(StepResult("dwd", table, dt, True, 0, f"no rows in {source}"))
-                else:
-                    done.append(StepResult("dwd", table, dt, day.passed, day.total_rows, day.issues))
-            if days and all(r.ok for r in done):
-                overwrite_partitions(rows, spec)
-        finally:
-            rows.unpersist()
+        done = _write_range(house, "dwd", table, rows, days_between(start, end), f"no rows in {source}")
         results += done
         if not all(r.ok for r in done):
             break
     return results
 
 
+def _write_range(
+    house: Warehouse, layer: str, table: str, rows: DataFrame, days: list[str], nothing: str
+) -> list[StepResult]:
+    """Gate every day of a frame on its own, leave audit rows, write the table if all its days pass."""
+    spec = house.specs[table]
+    rows = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        gate = quality_gate(rows, table, spec.keys, house.null_limit, spec.nullable_dates, by="dt")
+        checked = {r.check_date: r for r in gate.collect()}  # one row per day of the range
+        if checked:
+            append_quality_result(
+                house.spark.createDataFrame(list(checked.values()), gate.schema), house.specs[AUDIT_TABLE]
+            )
+        done = []
+        for dt in days:
+            day = checked.get(dt)
+            if day is None:
+                done.append(StepResult(layer, table, dt, True, 0, nothing))
+            else:
+                done.append(StepResult(layer, table, dt, day.passed, day.total_rows, day.issues))
+        if checked and all(r.ok for r in done):
+            overwrite_partitions(rows, spec)
+        return done
+    finally:
+        rows.unpersist()
+
+
+# Subject of each table, and its rows of a range of days.
+RANGE_BUILDERS: dict[str, tuple[str, Callable[[Warehouse, DataFrame, str, str], DataFrame]]] = {
+    "dws_user_subject": (
+        "user",
+        lambda house, cube, start, end: day_bitmaps.user_wide_range(house.days("dwd_user_info", start, end), cube, start, end),
+    ),
+    "dws_product_subject": (
+        "product",
+        lambda house, cube, start, end: day_bitmaps.product_wide_range(
+            house.days("dwd_product_info", start, end), cube, start, end
+        ),
+    ),
+    "dws_region_subject": ("region", lambda house, cube, start, end: day_bitmaps.region_wide_range(cube, start, end)),
+}
+
+
+def backfill_subjects(
+    house: Warehouse, start: str, end: str, tables: Sequence[str] | None = None
+) -> list[StepResult]:
+    """Rebuild subject tables for a range of days from one read of the orders; one result per table and day.
+
+    The days up to the first one without detail rows are built; that day is
+    reported. A table is written only if all its days pass their gates.
+    """
+    names = list(tables or RANGE_BUILDERS)
+    filled = {
+        name: {r.dt for r in house.days(name, start, end).select("dt").distinct().collect()}  # one row per day
+        if house.spark.catalog.tableExists(house.specs[name].qualified)
+        else set()
+        for name in UPSTREAM["dws"]
+    }
+    days = days_between(start, end)
+    ready = [dt for dt in days if all(dt in found for found in filled.values())]
+    until = next((dt for dt in days if dt not in ready), None)
+    days = days if until is None else [dt for dt in days if dt < until]
+    results = []
+    if days:
+        last = days[-1]
+        orders = house.days("dwd_order_info", day_shift(start, -day_bitmaps.LOOKBACK), last)
+        cube = day_bitmaps.day_cube(orders, start, last, tuple(RANGE_BUILDERS[t][0] for t in names))
+        for table in names:
+            rows = stamp(RANGE_BUILDERS[table][1](house, cube, start, last), house.loaded_at, "dws_create_time")
+            done = _write_range(house, "dws", table, rows, days, "no rows")
+            results += done
+            if not all(r.ok for r in done):
+                return results
+    if until is not None:
+        empty = ", ".join(name for name, found in filled.items() if until not in found)
+        results += [StepResult("dws", t, until, False, 0, f"no rows in {empty}") for t in names]
+    return results
+
+
 def backfill(
     house: Warehouse,
     start: str,
@@ -226,8 +291,8 @@ def backfill(
 ) -> list[StepResult]:
     """Build or repair the chosen layers for a closed range of days.
 
-    Detail tables take one job for the whole range; subject tables look back 30
-    days and run day by day afterwards.
+    Both layers are built for the whole range at once; a single day of subjects
+    runs as ``run_day``, which need not group by day.
     """
     results = []
     for layer, names in _chosen(layers, tables):
@@ -237,11 +302,10 @@ def backfill(
             if not all(r.ok for r in done):
                 return results
             continue
-        for dt in days_between(start, end):
-            done = run_day(house, dt, [layer], names, concurrent)
-            results += done
-            if not all(r.ok for r in done):
-                return results
+        done = run_day(house, start, [layer], names, concurrent) if start == end else backfill_subjects(house, start, end, names)
+        results += done
+        if not all(r.ok for r in done):
+            return results
     return results
 
 

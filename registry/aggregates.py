@@ -90,6 +90,59 @@ def windows_sql(keys: str, counted: dict[str, str], quantity: str, amount: str,
     return ",\n".join(subqueries), ",\n".join(columns)
 
 
+WINDOW_DAYS = {"1d": 1, "7d": 7, "30d": 30}
+
+
+def ranged_windows_sql(keys: str, counted: dict[str, str], quantity: str, amount: str, source: str, start: str) -> tuple[str, str]:
+    """As ``windows_sql`` for every run day from ``start`` on: each day joined to the orders it looks back on."""
+    _, columns = windows_sql(keys, counted, quantity, amount, source)
+    counts = ", ".join(f"COUNT(DISTINCT {col}) AS {label}_count" for label, col in counted.items())
+    subqueries = [f"days AS (SELECT CAST(CAST(unnest(generate_series(DATE '{start}', DATE '{D}', INTERVAL 1 DAY)) AS DATE) AS VARCHAR) AS day)"]
+    for name, days in WINDOW_DAYS.items():
+        subqueries.append(
+            f"w{name} AS (SELECT day, {keys}, {counts}, CAST(SUM(quantity) AS BIGINT) AS quantity, SUM(final_amount) AS amount, "
+            f"{mean2('final_amount')} AS average, MIN(order_time) AS first_time, MAX(order_time) AS last_time "
+            f"FROM days JOIN {source} ON CAST(dt AS DATE) BETWEEN CAST(day AS DATE) - {days - 1} AND CAST(day AS DATE) "
+            f"WHERE order_status = 'completed' GROUP BY day, {keys})"
+        )
+    return ",\n".join(subqueries), columns
+
+
+def user_range_sql(source: str, start: str) -> str:
+    subqueries, columns = ranged_windows_sql(
+        "user_id", {"order": "order_id", "product": "product_id"}, "quantity", "order_amount", source, start
+    )
+    points = _steps("w30d.amount", [(1000, 30), (500, 20), (100, 10)], 0)
+    return oracle(f"""WITH {subqueries},
+choices AS (SELECT day, user_id, category_name, brand_name, payment_method, COUNT(*) AS n FROM days
+  JOIN {source} ON CAST(dt AS DATE) BETWEEN CAST(day AS DATE) - 29 AND CAST(day AS DATE) WHERE order_status = 'completed' GROUP BY ALL),
+pref AS (SELECT * FROM choices QUALIFY ROW_NUMBER() OVER (
+  PARTITION BY day, user_id ORDER BY n DESC, category_name, brand_name, payment_method) = 1)
+SELECT u.user_id, username, email, phone, gender, age, city, province,
+  CAST(registration_time AS VARCHAR) AS registration_time, CAST(last_login_time AS VARCHAR) AS last_login_time, user_status,
+  {columns}, {_times("first_order_time_30d", "last_order_time_30d")},
+  pref.category_name AS prefer_category_name, pref.brand_name AS prefer_brand_name, pref.payment_method AS prefer_payment_method,
+  {_steps("w30d.order_count", [(10, "high_frequency"), (3, "medium_frequency"), (1, "low_frequency")], "inactive")} AS frequency_label,
+  {_steps("w30d.amount", [(5000, "high_value"), (1000, "medium_value"), (100, "low_value")], "no_purchase")} AS value_label,
+  least(coalesce(w30d.order_count, 0) * 10 + {points} + coalesce(w30d.product_count, 0) * 2, 100) AS activity_score,
+  u.day AS dt
+FROM (SELECT * FROM dwd_users, days) u
+{" ".join(f"LEFT JOIN {w} ON {w}.day = u.day AND {w}.user_id = u.user_id" for w in ("w1d", "w7d", "w30d", "pref"))}""")
+
+
+def region_range_sql(source: str, start: str) -> str:
+    counted = {"order": "order_id", "user": "user_id", "product": "product_id"}
+    subqueries, columns = ranged_windows_sql("province, city", counted, "sales_quantity", "sales_amount", source, start)
+    return oracle(f"""WITH {subqueries},
+people AS (SELECT day, province, city, user_id, COUNT(order_id) AS n, MIN(order_time) AS first_time FROM days
+  JOIN {source} ON CAST(dt AS DATE) BETWEEN CAST(day AS DATE) - 29 AND CAST(day AS DATE) WHERE order_status = 'completed' GROUP BY ALL),
+users AS (SELECT day, province, city, COUNT(*) AS total_user_count, COUNT(*) FILTER (WHERE n >= 5) AS active_user_count,
+  COUNT(*) FILTER (WHERE first_time >= CAST(day AS DATE) - 29) AS new_user_count FROM people GROUP BY ALL)
+SELECT w30d.province, w30d.city, {columns}, {_times("first_order_time_30d", "last_order_time_30d")},
+{REGION_USER_COLUMNS} {REGION_LABELS}, w30d.day AS dt FROM w30d
+{" ".join(f"LEFT JOIN {w} ON {w}.day = w30d.day AND {w}.province = w30d.province AND {w}.city = w30d.city" for w in ("w1d", "w7d", "users"))}""")
+
+
 def _times(first: str, last: str) -> str:
     return f"CAST(w30d.first_time AS VARCHAR) AS {first}, CAST(w30d.last_time AS VARCHAR) AS {last}"
 

@@ -6,6 +6,7 @@ Every query works in databases of its own below the shared folder.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from layerwell.fixtures import FIRST_DATE, fixture
 from layerwell.functions.columns import day_shift
 from layerwell.operators import clean, quality
-from layerwell.plans.daily import AUDIT_TABLE, Warehouse, backfill, rebuild, run_day
+from layerwell.plans.daily import AUDIT_TABLE, Warehouse, backfill, backfill_subjects, rebuild, run_day
 from layerwell.session import scratch_path
 from layerwell.sinks import catalog
 from layerwell.sinks.tables import (
@@ -31,7 +32,9 @@ from registry.aggregates import (
     REGION_LABELS,
     REGION_USER_COLUMNS,
     product_wide_sql,
+    region_range_sql,
     region_wide_sql,
+    user_range_sql,
     user_wide_sql,
 )
 from registry.cleaning import crm_fact, dwd_products
@@ -299,6 +302,25 @@ def _backfill_audit(spark, sf):
     return audit.select("table_name", F.col("check_date").cast("string").alias("check_date"), "total_rows", "passed")
 
 
+RANGE_START = day_shift(D, -39)
+
+
+def _ranged_subjects(spark, sf, label, table):
+    """A subject table of 40 days, built in one go; users and products come every day."""
+    house = new_house(spark, label)
+    for name in ("ods_user_info", "ods_product_info"):
+        rows = fixture(spark, sf, name).drop("dt").withColumn("dt", F.explode(F.expr(f"sequence(DATE '{RANGE_START}', DATE '{D}')")))
+        overwrite_partitions(rows.withColumn("dt", F.col("dt").cast("string")), house.specs[name], fill_missing=True)
+    _land_orders(house, sf)
+    results = backfill(house, FIRST_DATE, D, ["dwd"])
+    # In the first days most users have no order yet, so their order times are null.
+    results += backfill_subjects(replace(house, null_limit=1.0), RANGE_START, D, [table])
+    failed = [r for r in results if not r.ok]
+    if failed:
+        raise RuntimeError(str(failed[:3]))
+    return plain(spark.table(house.specs[table].qualified).drop("dws_create_time"))
+
+
 def _rebuild(spark, sf):
     house = _built(spark, sf, "rebuild")
     results = rebuild(house, D, D, ["dws"])
@@ -333,6 +355,8 @@ QUERIES = {
     "backfill": _backfill,
     "backfill_audit": _backfill_audit,
     "rebuild": _rebuild,
+    "backfill_subjects": lambda s, d: _ranged_subjects(s, d, "regions", "dws_region_subject"),
+    "backfill_user_subjects": lambda s, d: _ranged_subjects(s, d, "users", "dws_user_subject"),
 }
 
 _IMPORT = oracle(
@@ -439,4 +463,6 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
         f"dt <> '{BAD_DAY}' AS passed FROM dwd_order_lines GROUP BY dt"
     ),
     "rebuild": product_wide_sql(PRODUCT_LABELS, "dwd_order_lines"),
+    "backfill_subjects": region_range_sql("dwd_order_lines", RANGE_START),
+    "backfill_user_subjects": user_range_sql("dwd_order_lines", RANGE_START),
 }
