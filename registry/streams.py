@@ -21,6 +21,8 @@ from layerwell.streaming.layers import (
     write_sequenced_silver,
     write_silver,
 )
+from layerwell.streaming.ledger import BatchLedger, files, gold_targets, write_targets
+from layerwell.streaming.sessions import write_numbered
 from layerwell.streaming.writers import AVAILABLE_NOW, append_evolving, fan_out, read_evolving, start_append
 from registry.common import AS_OF_TIME, CTES, D, oracle, plain
 
@@ -187,6 +189,44 @@ def _evolving(spark, sf):
     )
 
 
+END = "9999"
+
+
+def _numbered(spark, sf):
+    """Events come up to four minutes late, in four files; a last event past all others lets the rest become final."""
+    events = fixture(spark, sf, "ods_events").select("event_id", "user_id", "session_id", "event_type", "event_time", "amount")
+    arrives = F.col("event_time") + F.make_dt_interval(mins=F.col("event_id").cast("long") % 5)
+    first, last = events.agg(F.min(arrives), F.max(arrives)).first()
+    path, out = scratch_path(spark, "arriving"), scratch_path(spark, "numbered")
+    part = F.floor((F.unix_micros(arrives) - F.lit(first.timestamp()) * 1_000_000) * 4 / F.lit((last - first).total_seconds() * 1_000_001))
+    for number in range(4):
+        events.where(part == number).write.mode("append").parquet(path)
+    closing = events.limit(1).withColumns({"event_id": F.lit(END), "session_id": F.lit(END), "event_time": F.col("event_time") + F.expr("INTERVAL 400 DAYS")})
+    closing.write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    _run(write_numbered(stream, out, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    return plain(spark.read.parquet(out).where(F.col("session_id") != END))
+
+
+TARGET_REVENUE = 100
+
+
+def _gold_targets(spark, sf):
+    """Rows and revenue that each of the four targets holds, and what the ledger says they were given."""
+    paths = {name: scratch_path(spark, name) for name in ("table", "metrics", "index", "hot_users", "ledger")}
+    ledger = BatchLedger(spark, paths["ledger"])
+    targets = gold_targets(paths["table"], *(files(paths[n]) for n in ("metrics", "index", "hot_users")), TARGET_REVENUE)
+    stream = _enriched(spark, sf, _source(spark, sf))
+    _run(write_targets(user_metrics(stream), targets, ledger, scratch_path(spark, "ckpt"), AVAILABLE_NOW))
+    held = [
+        spark.read.parquet(paths[name]).agg(F.count("*").alias("n_rows"), F.round(F.sum("total_revenue"), 2).alias("revenue")).withColumn("target", F.lit(name))
+        for name in targets
+    ]
+    rows = held[0].unionByName(held[1]).unionByName(held[2]).unionByName(held[3])
+    given = ledger.entries().groupBy(F.col("sink").alias("target")).agg(F.sum("rows").alias("rows_given"))
+    return rows.join(given, "target")
+
+
 def _hot_users(spark, sf):
     """Users whose purchases over all windows and regions exceed the threshold."""
     per_user = user_metrics(_metrics_input(spark, sf)).groupBy("user_id").agg(F.sum("total_revenue").alias("total_revenue"))
@@ -210,6 +250,8 @@ QUERIES = {
     "write_gold_restarted": _gold_restarted,
     "bronze_to_gold": _bronze_to_gold,
     "fan_out": _fan_out,
+    "stream_sequence": _numbered,
+    "gold_targets": _gold_targets,
     "append_evolving": _evolving,
     "sample_rows": lambda s, d: plain(sample_rows(fixture(s, d, "ods_events"), ["event_id"])),
     "hot_users": _hot_users,
@@ -255,7 +297,25 @@ FROM ods_events""")
 _ENRICHED = oracle(f"SELECT * REPLACE ({_TIME}, {_ARRIVED}) FROM enriched_events")
 _SAMPLED = "CAST('0x' || substr(md5(event_id), 1, 8) AS BIGINT) % 10000 < 1000"
 
+_WINDOWS = _metrics_sql("5 MINUTE")
+_KEY = "concat_ws('|', window_start, user_id, coalesce(user_region, ''))"
+
 ORACLES = {
+    "stream_sequence": oracle("""
+SELECT event_id, user_id, session_id, event_type, CAST(event_time AS VARCHAR) AS event_time, amount,
+  CAST(ROW_NUMBER() OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS BIGINT) AS seq,
+  CAST(LAG(event_time) OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS VARCHAR) AS prev_time
+FROM ods_events"""),
+    "gold_targets": oracle(f"""
+WITH windows AS ({_WINDOWS}),
+held AS (
+  SELECT 'table' AS target, total_revenue FROM windows
+  UNION ALL SELECT 'metrics', total_revenue FROM windows
+  UNION ALL SELECT 'index', total_revenue FROM windows WHERE CAST('0x' || substr(md5({_KEY}), 1, 8) AS BIGINT) % 10000 < 1000
+  UNION ALL SELECT 'hot_users', max(total_revenue) FROM windows WHERE total_revenue > {TARGET_REVENUE} GROUP BY user_id
+)
+SELECT target, count(*) AS n_rows, round(sum(total_revenue), 2) AS revenue, (SELECT count(*) FROM windows) AS rows_given
+FROM held GROUP BY target"""),
     "decode_events": _DECODED,
     "table_stream": oracle(f"SELECT * REPLACE ({_TIME}) FROM ods_events"),
     "ingest_bronze": _DECODED,
