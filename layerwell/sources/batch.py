@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from layerwell.specs import TableSpec
 
+_NAMES = threading.Lock()  # scripts of one process take turns with their view names
 FILE_KINDS = ("csv", "json", "parquet")
 
 
@@ -64,11 +66,18 @@ def run_sql_script(
         raise ValueError("empty SQL script")
     if any(df.isEmpty() for df in views.values()):
         return None
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    try:
-        # The result is analyzed here and no longer needs the names.
-        return spark.sql(text, args=dict(params))
-    finally:
-        for name in views:
-            spark.catalog.dropTempView(name)
+    with _NAMES:
+        # Views of the caller with these names come back afterwards.
+        taken = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+        held = {name: spark.table(name) for name in views if name.lower() in taken}
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        try:
+            # The result is analyzed here and no longer needs the names.
+            return spark.sql(text, args=dict(params))
+        finally:
+            for name in views:
+                if name in held:
+                    held[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)

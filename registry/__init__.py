@@ -1,8 +1,8 @@
 """Registered queries and their DuckDB oracles, one entry per operator."""
 
-from registry import aggregates, cleaning, quality, streams, tables
+from registry import aggregates, cleaning, plans, quality, streams, tables
 
-MODULES = (cleaning, aggregates, quality, tables, streams)
+MODULES = (cleaning, aggregates, quality, tables, streams, plans)
 
 
 def all_queries() -> dict:
