@@ -1,8 +1,9 @@
 """Near-duplicate documents from SetSketch registers.
 
 1. Every text becomes its set of word shingles, a digest of that set and a SetSketch. Texts
-   with one digest are one class; from here on only the class with its smallest
-   doc_id as name is looked at, so copies cost nothing.
+   with one digest are one class; from here on only classes are looked at, each with a
+   number of its own and one row's text, so copies cost nothing. Classes that hold
+   the same doc_id are linked by it.
 2. Registers are cut into bands. In each bucket of classes that agree in a band, the
    smallest class is compared with all others: the joint likelihood of both sketches
    must allow the similarity, then the full sets decide.
@@ -16,10 +17,9 @@ With 51 bands of 5 registers a pair of similarity 0.75 shares no band with proba
 1e-6; an estimate is off by more than the margin of 0.12 with probability 1e-6.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with
-nothing; fewer words than a shingle make one shingle; rows of one doc_id are one
-document; a null doc_id takes no part in links between classes (its class may
-have a name from another row, else null); an empty table gives an empty result;
-further columns are carried along unread.
+nothing of their own; fewer words than a shingle make one shingle; rows of one doc_id are one
+document, whatever their texts; rows without a doc_id link others and get the smallest doc_id they reach, or null; an empty
+table gives an empty result; further columns are carried along unread.
 """
 
 from __future__ import annotations
@@ -44,12 +44,13 @@ BAND = 5
 BANDS = REGISTERS // BAND
 MARGIN = 0.12
 BLOCK = 1024
+BLOCK_SHINGLES = 4_000_000
 SALTS = 64
 LINKS = "a long, b long"
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, digest of the shingle set, registers (16-bit words)."""
+    """Per document: doc_id, row_key, n_shingles, digest of the shingle set, registers (16-bit words)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(SHINGLE)
@@ -61,43 +62,72 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.array(registers, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "registers"],
+                    names=["doc_id", "row_key", "n_shingles", "digest", "registers"],
                 )
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return texts.mapInArrow(make, "doc_id long, n_shingles long, digest binary, registers binary")
+    texts = _rows(docs, id_col, text_col).select("doc_id", "text", "row_key")
+    return texts.mapInArrow(make, "doc_id long, row_key long, n_shingles long, digest binary, registers binary")
 
 
-def _with_class(rows: DataFrame) -> DataFrame:
-    """Add ``node``: the smallest doc_id of the rows with the same digest; large classes are salted."""
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    parts = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("low"))
-    classes = parts.groupBy("digest").agg(F.min("low").alias("node"), F.collect_list("salt").alias("salts"))
-    classes = classes.select("digest", "node", F.explode("salts").alias("salt"))
-    return salted.join(classes, ["digest", "salt"]).drop("salt")
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, row_key); with the doc_id, the key names a text of that id."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    return rows.withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(digest, node, low, row_key, of_id, salts): a number per digest, its smallest doc_id, and one of its rows.
+
+    Large classes are reduced in salted parts. The numbers are pinned by writing them.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)))
+    row = F.struct("row_key", F.coalesce("doc_id", F.lit(-1).cast("long")).alias("of_id"))
+    parts = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("low"), F.min(row).alias("row"))
+    classes = parts.groupBy("digest").agg(F.min("low").alias("low"), F.min("row").alias("row"), F.collect_list("salt").alias("salts"))
+    return materialize(classes.select("digest", F.monotonically_increasing_id().alias("node"), "low", "row.*", "salts"), "classes")
+
+
+def _spread(rows: DataFrame, by: str, salt_of: str, values: DataFrame) -> DataFrame:
+    """Join one value row per ``by`` to rows of which very many may share a key: in salted parts that exist."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(SALTS)))
+    parts = salted.select(by, "_salt").distinct().join(values, by)
+    return salted.join(parts, [by, "_salt"]).drop("_salt")
+
+
+def _id_links(classed: DataFrame) -> DataFrame:
+    """Links between the classes that rows of one doc_id are in."""
+    ids = classed.where("doc_id is not null")
+    several = ids.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a <> top").drop("top")
+    several = materialize(several, "several")
+    bits = filter_bits(several.count())
+    words = materialize(filter_words(several, F.col("doc_id"), bits), "several")
+    asked = with_filter_hit(ids.select("doc_id", "node"), F.col("doc_id"), words, bits, "hit").where("hit").distinct()
+    return asked.join(several, "doc_id").where("a <> node").select("a", F.col("node").alias("b"))
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """Members of all buckets with two or more classes: band, key, node, low (smallest class), members."""
+    """Members of all buckets with two or more classes: band, key, node, low (smallest class), members, shingles."""
     width = 2 * BAND
     keys = F.array(*(F.xxhash64(F.substring("registers", 1 + width * b, width)) for b in range(BANDS)))
-    bands = nodes.select("node", F.posexplode(keys).alias("band", "key"))
-    shared = bands.groupBy("band", "key").agg(F.min("node").alias("low"), F.count("*").alias("members"))
+    bands = nodes.select("node", "n_shingles", F.posexplode(keys).alias("band", "key"))
+    shared = bands.groupBy("band", "key").agg(F.min("node").alias("low"), F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"))
     shared = materialize(shared.where("members > 1"), "buckets")
-    return materialize(bands.join(shared, ["band", "key"]), "members")
+    return materialize(bands.drop("n_shingles").join(shared, ["band", "key"]), "members")
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame) -> DataFrame:
-    """(node, text) of the documents named in ``ids`` (node); a filter keeps other texts from moving."""
-    bits = filter_bits(ids.count())
-    words = materialize(filter_words(ids, F.col("node"), bits), "wanted")
-    rows = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("text"))
-    likely = with_filter_hit(rows, F.col("node"), words, bits, "hit").where("hit").drop("hit")
-    return likely.join(ids, "node", "left_semi").dropDuplicates(["node"])
+def _texts(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the classes named in ``ids`` (node); a filter keeps other texts from moving."""
+    wanted = materialize(ids.join(nodes.select("node", "row_key", "of_id"), "node"), "wanted")
+    bits = filter_bits(wanted.count())
+    words = materialize(filter_words(wanted, F.col("row_key"), bits), "wanted")
+    rows = _rows(docs, id_col, text_col).select("row_key", F.coalesce("doc_id", F.lit(-1).cast("long")).alias("of_id"), "text")
+    likely = with_filter_hit(rows, F.col("row_key"), words, bits, "hit").where("hit").drop("hit")
+    return likely.join(wanted, ["row_key", "of_id"]).select("node", "text").dropDuplicates(["node"])
 
 
 def _likely(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
@@ -148,7 +178,7 @@ def _star_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame, m
 
     likely = materialize(both.mapInArrow(estimate, LINKS), "likely")
     ids = materialize(likely.select("a").union(likely.select("b")).distinct().toDF("node"), "ids")
-    texts = materialize(_texts(docs, id_col, text_col, ids), "texts")
+    texts = materialize(_texts(docs, id_col, text_col, ids, nodes), "texts")
     # A class at the centre of many pairs is joined in salted parts that exist, so small groups are not copied more.
     salt = F.pmod(F.xxhash64("b"), F.lit(SALTS))
     salted = likely.withColumn("salt", salt)
@@ -177,8 +207,8 @@ def _block_links(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame,
     unfinished = materialize(spread.where("c0 <> c1").select("band", "key"), "open")
     rows = materialize(labelled.join(unfinished, ["band", "key"]).drop("low"), "rows")
     ids = materialize(rows.select("node").distinct(), "ids")
-    full = _texts(docs, id_col, text_col, ids).join(nodes.select("node", "registers"), "node")
-    blocks = F.ceil(F.col("members") / BLOCK)
+    full = _texts(docs, id_col, text_col, ids, nodes).join(nodes.select("node", "registers"), "node")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select(
@@ -257,25 +287,36 @@ def _compare_block(group: pa.Table, shingler: Shingler) -> list[tuple[int, int]]
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     made = materialize(sketches(docs, id_col, text_col), "sketches")
-    classed = materialize(_with_class(made.where("n_shingles > 0").select("doc_id", "n_shingles", "digest")), "classes")
-    named = classed.where("doc_id = node").select("node", "digest").distinct()
-    named = made.join(named, (F.col("doc_id") == F.col("node")) & (made["digest"] == named["digest"]))
-    nodes = named.select("node", "n_shingles", "registers").dropDuplicates(["node"])
-    nodes = materialize(nodes, "nodes")
+    filled = made.where("n_shingles > 0")
+    classes = _classes(filled)
+    salted = filled.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)))
+    named = classes.select("digest", "node", F.explode("salts").alias("salt"))
+    classed = salted.join(named, ["digest", "salt"]).select("doc_id", "row_key", "n_shingles", "node")
+    classed = materialize(classed, "classed")
+    own = F.coalesce("doc_id", F.lit(-1).cast("long")).alias("of_id")
+    nodes = made.select("row_key", own, "digest", "n_shingles", "registers").join(classes.drop("low", "salts"), ["row_key", "of_id", "digest"])
+    nodes = materialize(nodes.drop("digest").dropDuplicates(["node"]), "nodes")
     members = _buckets(nodes)
-    stars = _star_links(docs, id_col, text_col, nodes, members)
+    stars = _star_links(docs, id_col, text_col, nodes, members).unionByName(_id_links(classed))
     known = materialize(connected(stars), "components")
     blocks = _block_links(docs, id_col, text_col, nodes, members, known)
     forest = known.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = materialize(connected(forest.unionByName(blocks)), "components")
-    # The component goes to the classes first; their rows of one class share a key, so they are salted again.
-    salted = classed.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
-    parts = salted.select("node", "salt").where("node is not null").distinct().join(final, "node")
-    linked = salted.join(parts, ["node", "salt"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("component_id")
-    )
-    alone = made.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    final = connected(forest.unionByName(blocks))
+    # A component is called by the smallest doc_id of its classes; a component or a class may hold very many rows.
+    labelled = classes.select("node", "low").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = materialize(labelled, "components")
+    lowest = labelled.groupBy("component").agg(F.min("low").alias("component_id"))
+    called = materialize(_spread(labelled.select("node", "component"), "component", "node", lowest), "called")
+    linked = materialize(_spread(classed, "node", "row_key", called.select("node", "component_id")).select("doc_id", "row_key", "n_shingles", "component_id"), "linked")
+    # A row without shingles belongs to the component of its doc_id, if another row of that id has one.
+    alone = made.where("n_shingles = 0").select("doc_id", "row_key", "n_shingles")
+    asked = alone.select("doc_id").distinct().join(linked.select("doc_id", "component_id").distinct(), "doc_id")
+    asked = asked.groupBy("doc_id").agg(F.min("component_id").alias("found"))
+    parts = alone.withColumn("_salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)))
+    alone = parts.join(parts.select("doc_id", "_salt").distinct().join(asked, "doc_id"), ["doc_id", "_salt"], "left")
+    alone = alone.select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
+    result = linked.drop("row_key").unionByName(alone)
+    return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -90,3 +90,35 @@ def test_sketches_merge_and_estimate():
 def test_words_are_cut_and_folded_as_stated():
     sets = Shingler().sets([b"One\x0btwo three\x0cfour five six", "one two  three four five six ".encode(), b"ONE TWO THREE FOUR FIVE SIX"])
     assert len(sets[0]) == 2 and (sets[0] == sets[2]).all() and len(np.intersect1d(sets[0], sets[1])) == 1
+
+
+def test_one_id_with_two_texts(spark):
+    """The texts of one id link it to both of their neighbours, whatever the order of the rows."""
+    base, other = [" ".join(f"{x}{i}" for i in range(100)) for x in "ab"]
+    near = lambda text: text.replace("50", "x")
+    rows = [(5, base, None, None), (5, other, None, None), (9, near(other), None, None), (7, near(base), None, None), (4, "", None, None), (5, None, None, None)]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        got = near_duplicates(docs(spark, order)).collect()
+        assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(5, 5, True), (7, 5, False), (9, 5, False), (4, 4, True)}
+        assert len(got) == 6
+
+
+def test_rows_without_ids_link_others(spark):
+    base = [f"w{i}" for i in range(100)]
+    step = lambda n: " ".join([f"n{i}" for i in range(n)] + base[n:])
+    rows = [(1, step(0), None, None), (None, step(9), None, None), (2, step(18), None, None), (None, "far from all others", None, None)]
+    want = brute([(r[0] if r[0] else -i, r[1]) for i, r in enumerate(rows)])
+    assert want[1][1] == want[2][1] == -1, "linked through the row without an id"
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in near_duplicates(docs(spark, rows)).collect()}
+    assert got == {(1, 96): 1, (None, 96): 1, (2, 96): 1, (None, 1): None}
+
+
+def test_long_texts_of_one_band_are_cut_into_blocks(spark, monkeypatch):
+    """Texts that share bands without being near, with blocks of few shingles."""
+    from layerwell.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 3000)
+    rows = corpus(60)
+    want = brute(rows)
+    got = by_id(near_duplicates(docs(spark, rows, EXTRA)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
