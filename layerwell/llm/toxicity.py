@@ -1,15 +1,15 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 Texts are lower-cased and everything but letters and digits becomes one space. Each
-distinct n-gram of 3 to 6 characters is a feature, hashed into ``BUCKETS``. A feature's
+distinct n-gram of 3 to 6 characters is a feature, hashed into ``BUCKETS``; none is left out. A feature's
 value is its log-count ratio r = log((p / |p|) / (q / |q|)) with p and q the smoothed
 numbers of toxic and other texts that hold it; a logistic regression weighs these values.
 
 Learning uses a sample of at most about ``docs_per_class`` labelled documents of each
-class, taken by a hash of the id, and at most the ``FEATURES`` most telling buckets; the regression's
-constant is corrected for the two sampling rates. What reaches the driver is bounded
-by these parameters: counts per bucket and the chosen features of the sample. Scoring
-reads every text whole and sums the weights of its distinct features.
+class, taken by a hash of the id; the regression's constant is corrected for the two sampling rates.
+The sample's features are written once. Each of at most ``ROUNDS`` rounds (L-BFGS) is a job that sums loss and gradient in
+``LEARNERS`` tasks; the driver holds vectors of ``BUCKETS`` numbers only: 4 MB from each task, and twice ``MEMORY`` of 8 MB
+for the search direction. Scoring reads every text whole and sums the weights of its distinct features.
 
 Defined results: null text counts as empty; a text without features gets the score of the
 constant alone; a null label is not learned from; several labels of one document count as
@@ -20,7 +20,8 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,9 @@ from layerwell.session import materialize
 
 LENGTHS = (3, 4, 5, 6)
 BUCKETS = 1 << 20
-FEATURES = 10_000
 DOCS_PER_CLASS = 8_000
-LEAST_SIGNAL = 4.0  # standard errors between the two shares
-LEAST_RATIO = 1.0  # log-count ratio; what is merely more frequent in longer texts stays below
+LEARNERS = 16
+ROUNDS, MEMORY, RIDGE = 30, 5, 1.0
 THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
 PART = 1 << 20
@@ -101,66 +101,122 @@ def train(
     if sample is None:
         share = sizes.get(1, 0) / max(1, sum(sizes.values()))
         return {"constant": float(np.log((share + 1e-9) / (1 - share + 1e-9))), "buckets": np.empty(0, np.int64), "weights": np.empty(0)}
-    sample = materialize(sample, "labelled")
+    rows = materialize(sample_features(sample), "features")
+    pos, neg = ({label: n for label, n in rows.groupBy("label").count().collect()}.get(x, 0) for x in (1, 0))
+    p, q = feature_counts(rows)
+    ratio = log_count_ratio(p, q, pos, neg)
+    weights, constant = _minimise(rows, ratio)
+    constant += float(np.log(rates[0] / rates[1]))
+    known = np.flatnonzero(p + q)
+    return {"constant": constant, "buckets": known, "weights": (weights * ratio)[known]}
+
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sample_features(sample: DataFrame) -> DataFrame:
+    """(label, found): the distinct buckets of each text, ascending, as compressed steps."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
-        sums = np.zeros((2, BUCKETS), np.int32)
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[label, features.distinct(text)] += 1
-        at = np.flatnonzero(sums.any(axis=0))
-        for first in range(0, len(at), 50_000):
-            some = at[first : first + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[1, some]), pa.array(sums[0, some])], names=["bucket", "p", "q"])
-
-    counts = sample.mapInArrow(count, "bucket long, p int, q int")
-    counts = counts.groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
-    drawn = {label: n for label, n in sample.groupBy("label").count().collect()}
-    pos, neg = drawn.get(1, 0), drawn.get(0, 0)
-    share = (F.col("p") + F.col("q")) / float(pos + neg)
-    error = F.sqrt(share * (1.0 - share) * F.lit(1 / max(pos, 1) + 1 / max(neg, 1)))
-    signal = F.abs(F.col("p") / float(max(pos, 1)) - F.col("q") / float(max(neg, 1))) / error
-    ratio = F.log((F.col("p") + 1) / float(pos + 1)) - F.log((F.col("q") + 1) / float(neg + 1))
-    strong = (F.col("signal") >= LEAST_SIGNAL) & (F.abs(ratio) >= LEAST_RATIO) & (F.col("p") + F.col("q") >= 3)
-    telling = counts.withColumn("signal", signal).where(strong)
-    top = telling.orderBy(F.desc("signal"), "bucket").limit(FEATURES).toPandas().sort_values("bucket")
-    buckets = top["bucket"].to_numpy(np.int64)
-    p, q = top["p"].to_numpy(float) + 1, top["q"].to_numpy(float) + 1
-    ratio = np.log((p / (pos + 1)) / (q / (neg + 1)))
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                found = [pack(features.distinct(t)) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.binary())], names=["label", "found"])
+
+    return sample.repartition(LEARNERS).mapInArrow(find, "label int, found binary")
+
+
+def pack(buckets: np.ndarray) -> bytes:
+    return zlib.compress(np.diff(buckets, prepend=0).astype("<u4").tobytes(), 1)
+
+
+def unpack(found: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(found), "<u4"), dtype=np.int64)
+
+
+def _summed(rows: DataFrame, start: Callable[[], tuple[np.ndarray, ...]], add: Callable[..., None]) -> list[np.ndarray]:
+    """Vectors that each task starts and adds its documents (label, buckets) to, summed over the tasks."""
+    sizes = [len(v) for v in start()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = start()
         for batch in batches:
-            found = [np.flatnonzero(np.isin(buckets, features.distinct(t), assume_unique=True)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f.astype(np.int32).tobytes() for f in found], pa.binary())], names=["label", "found"])
-
-    rows = sample.mapInArrow(choose, "label int, found binary").toPandas()  # bounded by the sample
-    found = [np.frombuffer(f, np.int32) for f in rows["found"]]
-    owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
-    feature = np.concatenate(found) if found else np.empty(0, np.int32)
-    weights, constant = _logistic(owner, feature, ratio, rows["label"].to_numpy(float))
-    constant += float(np.log(rates[0] / rates[1]))
-    return {"constant": constant, "buckets": buckets, "weights": weights * ratio}
-
-
-def _logistic(owner: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np.ndarray, rounds: int = 300, ridge: float = 1e-3):
-    """Logistic regression on sparse rows by accelerated gradient steps."""
-    rows, columns = len(label), len(value)
-    x = value[feature] if len(feature) else np.empty(0)
-    norm = np.bincount(owner, x * x, rows).max(initial=0) + 1
-    w, b = np.zeros(columns), 0.0
-    ahead, ahead_b, last_t = w.copy(), b, 1.0
-    step = 8.0 / norm
-    for _ in range(rounds):
-        z = np.bincount(owner, x * ahead[feature], rows) + ahead_b
-        miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label) / rows
-        gradient = np.bincount(feature, x * miss[owner], columns) + ridge * ahead / rows
-        new_w, new_b = ahead - step * rows / 8 * gradient, ahead_b - 2.0 * miss.sum()
-        t = (1 + np.sqrt(1 + 4 * last_t * last_t)) / 2
-        ahead, ahead_b = new_w + (last_t - 1) / t * (new_w - w), new_b + (last_t - 1) / t * (new_b - b)
-        w, b, last_t = new_w, new_b, t
-    return w, b
+            for label, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                add(own, label, unpack(found))
+        yield pa.RecordBatch.from_arrays([pa.array([v.astype("<f4").tobytes()], pa.binary()) for v in own], names=[f"v{i}" for i in range(len(own))])
+
+    out = [np.zeros(n) for n in sizes]
+    for part in rows.mapInArrow(work, ", ".join(f"v{i} binary" for i in range(len(sizes)))).collect():  # a few vectors per task
+        for total, v in zip(out, part):
+            total += np.frombuffer(v, "<f4")
+    return out
+
+
+def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Toxic and other texts of the sample per bucket."""
+
+    def add(own, label, buckets):
+        own[0 if label else 1][buckets] += 1
+
+    p, q = _summed(rows, lambda: (np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)), add)
+    return p, q
+
+
+def log_count_ratio(p: np.ndarray, q: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Log-count ratios with one text added to every count; 0 for buckets that no text has."""
+    ratio = np.log((p + 1) / (pos + 1)) - np.log((q + 1) / (neg + 1))
+    return np.where(p + q > 0, ratio, 0.0)
+
+
+def loss_and_gradient(rows: DataFrame, ratio: np.ndarray, weights: np.ndarray, constant: float) -> tuple[float, np.ndarray]:
+    """Logistic loss with ridge, and its gradient by the weights and, last, by the constant."""
+    shared = rows.sparkSession.sparkContext.broadcast((weights * ratio).astype(np.float32))
+
+    def add(own, label, buckets):
+        z = float(shared.value[buckets].sum(dtype=np.float64)) + constant
+        miss = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - label
+        own[0][buckets] += miss
+        own[1][0] += np.logaddexp(0, z) - label * z
+        own[1][1] += miss
+
+    by_bucket, (loss, by_constant) = _summed(rows, lambda: (np.zeros(BUCKETS, np.float32), np.zeros(2)), add)
+    shared.destroy()
+    gradient = np.append(by_bucket * ratio + RIDGE * weights, by_constant)
+    return loss + RIDGE / 2 * float(weights @ weights), gradient
+
+
+def _minimise(rows: DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and constant of the regression, by L-BFGS with step halving."""
+    at = np.zeros(len(ratio) + 1)
+    value = lambda x: loss_and_gradient(rows, ratio, x[:-1], float(x[-1]))
+    loss, gradient = value(at)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    scale, rounds = 1.0 / max(1.0, float(np.abs(gradient).sum())), 1
+    while rounds < ROUNDS:
+        move, factors = gradient.copy(), []
+        for moved, changed in reversed(steps):
+            factors.append(float(moved @ move) / float(moved @ changed))
+            move -= factors[-1] * changed
+        move *= float(steps[-1][0] @ steps[-1][1]) / float(steps[-1][1] @ steps[-1][1]) if steps else scale
+        for (moved, changed), factor in zip(steps, reversed(factors)):
+            move += (factor - float(changed @ move) / float(moved @ changed)) * moved
+        length, slope = 1.0, float(gradient @ move)
+        while True:
+            new = at - length * move
+            new_loss, new_gradient = value(new)
+            rounds += 1
+            if new_loss <= loss - 1e-4 * length * slope or rounds >= ROUNDS:
+                break
+            length /= 4
+        if new_loss >= loss:
+            break
+        moved, changed = new - at, new_gradient - gradient
+        if float(moved @ changed) > 1e-12:
+            steps = [*steps, (moved, changed)][-MEMORY:]
+        done = loss - new_loss < 1e-4 * abs(new_loss)
+        at, loss, gradient = new, new_loss, new_gradient
+        if done:
+            break
+    return at[:-1], float(at[-1])
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,8 +230,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             found = []
             for text in batch.column(1):
-                hits = [b[table[b] != 0] for b in features.buckets(text.as_py() or "")]
-                hits = np.unique(np.concatenate(hits)) if hits else np.empty(0, np.int64)
+                hits = features.distinct(text.as_py() or "")
                 found.append(known["constant"] + float(table[hits].sum(dtype=np.float64)))
             scores = 1 / (1 + np.exp(-np.clip(np.array(found), -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])

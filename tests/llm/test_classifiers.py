@@ -88,3 +88,40 @@ def test_statistics_are_finite():
         found = statistics(text)
         assert len(found) == len(STATISTICS) and np.isfinite(found).all()
     assert by_id is not None
+
+
+def test_toxicity_counts_ratios_gradient_and_weights(spark):
+    """Every n-gram takes part: counts, ratios, loss and gradient by plain sums over the labelled texts."""
+    from layerwell.llm import toxicity
+
+    random.seed(3)
+    words = ["".join(random.choices("abcdefgh", k=4)) for _ in range(30)]
+    texts = [(i % 2, " ".join([*random.choices(words, k=8), *(["marker"] if random.random() < (0.6 if i % 2 else 0.25) else [])])) for i in range(120)]
+    sample = spark.createDataFrame(texts, "label int, text string")
+    rows = toxicity.sample_features(sample).cache()
+    sets = [(label, set(Features().distinct(t).tolist())) for label, t in texts]
+    p, q = toxicity.feature_counts(rows)
+    for counts, wanted in ((p, 1), (q, 0)):
+        assert {b: counts[b] for b in np.flatnonzero(counts)} == {
+            b: sum(b in s for x, s in sets if x == wanted) for b in set().union(*(s for x, s in sets if x == wanted))
+        }
+    ratio = toxicity.log_count_ratio(p, q, 60, 60)
+    marker = Features().distinct("marker")
+    assert len(marker) >= 14 and (ratio[marker] > 0.3).all()
+    rng = np.random.default_rng(1)
+    weights, constant = rng.normal(size=len(ratio)) * (ratio != 0), 0.3
+    loss, gradient = toxicity.loss_and_gradient(rows, ratio, weights, constant)
+    want, by_bucket, by_constant = toxicity.RIDGE / 2 * weights @ weights, toxicity.RIDGE * weights, 0.0
+    for label, found in sets:
+        at = np.array(sorted(found))
+        z = (weights[at] * ratio[at]).sum() + constant
+        miss = 1 / (1 + np.exp(-z)) - label
+        want += np.logaddexp(0, z) - label * z
+        by_bucket[at] += miss * ratio[at]
+        by_constant += miss
+    assert loss == pytest.approx(want, rel=1e-5)
+    assert gradient == pytest.approx(np.append(by_bucket, by_constant), abs=1e-3)
+    best, free = toxicity._minimise(rows, ratio)
+    start, _ = toxicity.loss_and_gradient(rows, ratio, np.zeros(len(ratio)), 0.0)
+    end, left = toxicity.loss_and_gradient(rows, ratio, best, free)
+    assert end < start and np.abs(left).max() < 0.05 * len(texts) and (best[marker] * ratio[marker] > 0).all()
