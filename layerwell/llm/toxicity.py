@@ -1,9 +1,11 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 Texts are lower-cased and everything but letters and digits becomes one space. Each
-distinct n-gram of 3 to 6 characters is a feature, hashed into ``BUCKETS``; none is left out. A feature's
+distinct n-gram of 3 to 6 characters is a feature, hashed into ``BUCKETS``. A feature's
 value is its log-count ratio r = log((p / |p|) / (q / |q|)) with p and q the smoothed
-numbers of toxic and other texts that hold it; a logistic regression weighs these values.
+numbers of toxic and other texts that hold it, shrunk to r * (1 - (DOUBT / z)^2), or to 0 where the two shares differ by less
+than z = DOUBT standard errors: what the counts cannot tell from chance has no say, and any difference, however small, has
+one once there are enough labelled texts. A logistic regression weighs these values.
 
 Learning uses a sample of at most about ``docs_per_class`` labelled documents of each
 class, taken by a hash of the id; the regression's constant is corrected for the two sampling rates.
@@ -35,6 +37,7 @@ LENGTHS = (3, 4, 5, 6)
 BUCKETS = 1 << 20
 DOCS_PER_CLASS = 8_000
 LEARNERS = 16
+DOUBT = 3.0  # standard errors
 ROUNDS, MEMORY, RIDGE = 30, 5, 1.0
 THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
@@ -104,10 +107,10 @@ def train(
     rows = materialize(sample_features(sample), "features")
     pos, neg = ({label: n for label, n in rows.groupBy("label").count().collect()}.get(x, 0) for x in (1, 0))
     p, q = feature_counts(rows)
-    ratio = log_count_ratio(p, q, pos, neg)
+    ratio = log_count_ratio(p, q, max(pos, 1), max(neg, 1))
     weights, constant = _minimise(rows, ratio)
     constant += float(np.log(rates[0] / rates[1]))
-    known = np.flatnonzero(p + q)
+    known = np.flatnonzero(ratio)
     return {"constant": constant, "buckets": known, "weights": (weights * ratio)[known]}
 
 
@@ -162,9 +165,13 @@ def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_count_ratio(p: np.ndarray, q: np.ndarray, pos: int, neg: int) -> np.ndarray:
-    """Log-count ratios with one text added to every count; 0 for buckets that no text has."""
+    """Log-count ratios with one text added to every count, shrunk by how far the shares differ; 0 for buckets that no text has."""
     ratio = np.log((p + 1) / (pos + 1)) - np.log((q + 1) / (neg + 1))
-    return np.where(p + q > 0, ratio, 0.0)
+    share = (p + q) / (pos + neg)
+    squared_error = share * (1 - share) * (1 / pos + 1 / neg)
+    distance = np.maximum((p / pos - q / neg) ** 2, 1e-12)
+    kept = np.maximum(0.0, 1 - DOUBT**2 * squared_error / distance)
+    return np.where(p + q > 0, ratio * kept, 0.0)
 
 
 def loss_and_gradient(rows: DataFrame, ratio: np.ndarray, weights: np.ndarray, constant: float) -> tuple[float, np.ndarray]:
@@ -230,7 +237,8 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             found = []
             for text in batch.column(1):
-                hits = features.distinct(text.as_py() or "")
+                hits = [b[table[b] != 0] for b in features.buckets(text.as_py() or "")]
+                hits = np.unique(np.concatenate(hits)) if hits else np.empty(0, np.int64)
                 found.append(known["constant"] + float(table[hits].sum(dtype=np.float64)))
             scores = 1 / (1 + np.exp(-np.clip(np.array(found), -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])

@@ -96,7 +96,10 @@ def test_toxicity_counts_ratios_gradient_and_weights(spark):
 
     random.seed(3)
     words = ["".join(random.choices("abcdefgh", k=4)) for _ in range(30)]
-    texts = [(i % 2, " ".join([*random.choices(words, k=8), *(["marker"] if random.random() < (0.6 if i % 2 else 0.25) else [])])) for i in range(120)]
+    texts = [
+        (i % 2, " ".join([*random.choices(words, k=8), *(["marker"] if random.random() < (0.6 if i % 2 else 0.25) else [])]))
+        for i in range(600)
+    ]
     sample = spark.createDataFrame(texts, "label int, text string")
     rows = toxicity.sample_features(sample).cache()
     sets = [(label, set(Features().distinct(t).tolist())) for label, t in texts]
@@ -105,9 +108,12 @@ def test_toxicity_counts_ratios_gradient_and_weights(spark):
         assert {b: counts[b] for b in np.flatnonzero(counts)} == {
             b: sum(b in s for x, s in sets if x == wanted) for b in set().union(*(s for x, s in sets if x == wanted))
         }
-    ratio = toxicity.log_count_ratio(p, q, 60, 60)
+    ratio = toxicity.log_count_ratio(p, q, 300, 300)
     marker = Features().distinct("marker")
-    assert len(marker) >= 14 and (ratio[marker] > 0.3).all()
+    assert len(marker) >= 14 and (ratio[marker] > 0.3).all()  # a word of 60 and 25 percent keeps all its n-grams
+    assert np.count_nonzero(ratio) < 0.1 * np.count_nonzero(p + q)
+    once = toxicity.log_count_ratio(np.array([1.0, 5.0, 40.0]), np.array([0.0, 5.0, 0.0]), 300, 300)
+    assert once[0] == once[1] == 0 and once[2] > 2
     rng = np.random.default_rng(1)
     weights, constant = rng.normal(size=len(ratio)) * (ratio != 0), 0.3
     loss, gradient = toxicity.loss_and_gradient(rows, ratio, weights, constant)
