@@ -8,7 +8,7 @@ from layerwell.functions.columns import (
     recode,
     register_functions,
 )
-from layerwell.functions.geo import ip_number, ip_region
+from layerwell.functions.geo import ip_number, ip_region, most_specific
 
 __all__ = [
     "age_years",
@@ -17,6 +17,7 @@ __all__ = [
     "day_shift",
     "ip_number",
     "ip_region",
+    "most_specific",
     "non_blank",
     "non_negative_money",
     "recode",

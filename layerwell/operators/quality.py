@@ -45,6 +45,43 @@ def _empty(df: DataFrame, texts: tuple[str, ...]) -> dict[str, Column]:
     }
 
 
+def _same_zero(df: DataFrame, name: str) -> Column:
+    """The column, with 0.0 for -0.0: as numbers they are equal, as text they are not."""
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return F.col(name) + F.lit(0.0).cast(df.schema[name].dataType) if floating else F.col(name)
+
+
+MASK_BITS = 62
+
+
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row: each cell's text with its length before it, null as ``N``, so no two rows read alike."""
+    cells = []
+    for f, col in zip(df.schema.fields, _group_cols(df)):
+        if isinstance(f.dataType, T.BinaryType):
+            text = F.hex(col)
+        elif isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)):
+            text = F.to_json(F.struct(col))
+        else:
+            text = _same_zero(df, f.name).cast("string")
+        cells.append(F.when(F.col(f.name).isNull(), F.lit("N")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text)))
+    return F.unhex(F.sha2(F.concat(*cells), 256))
+
+
+def _unique_rows(df: DataFrame, empty: dict[str, Column], **extra: Column) -> tuple[DataFrame, dict[str, Column]]:
+    """One row per distinct row with ``_copies`` and the extra columns, and which of its cells are empty.
+
+    Rows travel as 32 bytes of digest and one bit per column, not as themselves.
+    """
+    masks, flags = {}, {}
+    for first in range(0, len(df.columns), MASK_BITS):
+        bits = [F.when(empty[c], F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(df.columns[first : first + MASK_BITS])]
+        masks[f"_mask{first}"] = reduce(Column.bitwiseOR, bits)
+        flags |= {c: F.getbit(F.col(f"_mask{first}"), F.lit(i)) == 1 for i, c in enumerate(df.columns[first : first + MASK_BITS])}
+    rows = df.select(row_digest(df).alias("_row"), *(m.alias(n) for n, m in masks.items()), *(x.alias(n) for n, x in extra.items()))
+    return rows.groupBy("_row", *masks, *extra).agg(F.count("*").alias("_copies")), flags
+
+
 def _as_rows(df: DataFrame, entries: list[Column]) -> DataFrame:
     """One row per struct of a list, from a one-row frame."""
     return df.select(F.inline(F.array(*entries)))
@@ -126,10 +163,10 @@ def quality_rollup(scored: DataFrame) -> DataFrame:
 
 
 def generic_quality(df: DataFrame) -> DataFrame:
-    """Total, unique and duplicate rows, and nulls with percentage per column."""
-    unique = df.select(*_group_cols(df)).groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    """Total, unique and duplicate rows, and nulls with percentage per column; rows are compared by their digests."""
+    unique, is_null = _unique_rows(df, {c: F.col(c).isNull() for c in df.columns})
     copies = F.col("_copies")
-    nulls = [F.sum(F.when(F.col(c).isNull(), copies).otherwise(0)).alias(c) for c in df.columns]
+    nulls = [F.sum(F.when(is_null[c], copies).otherwise(0)).alias(c) for c in df.columns]
     one = unique.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("_total"),
         F.count("*").alias("_unique"),
@@ -278,7 +315,7 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
             F.inline(
                 F.array(
                     *(
-                        F.struct(F.lit(i).alias("_pos"), F.col(c).cast("string").alias("_value"))
+                        F.struct(F.lit(i).alias("_pos"), _same_zero(df, c).cast("string").alias("_value"))
                         for i, c in enumerate(df.columns)
                     )
                 )
@@ -314,14 +351,14 @@ def quality_report(df: DataFrame, name: str, now: datetime) -> DataFrame:
     """
     empty = _empty(df, NULL_TEXTS)
     dated = next((c for c in df.columns if "time" in c.lower() or "date" in c.lower()), None)
-    unique = df.select(*_group_cols(df)).groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    unique, is_empty = _unique_rows(df, empty, **({"_dated": F.col(dated)} if dated else {}))
     copies = F.col("_copies")
-    latest = F.max(F.col(dated)) if dated else F.lit(None)
+    latest = F.max("_dated") if dated else F.lit(None)
     one = unique.agg(
         F.coalesce(F.sum(copies), F.lit(0)).alias("_total"),
         F.count("*").alias("_unique"),
         latest.try_cast("timestamp").alias("_latest"),
-        *(F.coalesce(F.sum(F.when(empty[c], copies)), F.lit(0)).alias(f"{c}_nulls") for c in df.columns),
+        *(F.coalesce(F.sum(F.when(is_empty[c], copies)), F.lit(0)).alias(f"{c}_nulls") for c in df.columns),
     )
     total = F.col("_total")
     duplicates = total - F.col("_unique")

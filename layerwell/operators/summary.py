@@ -8,10 +8,14 @@ group second, which spreads large groups too.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwell.functions.columns import band, day_shift, ratio
+from layerwell.operators.quantiles import exact_quantiles
+from layerwell.session import materialize
 
 # Fixed values.
 LEVEL_STEPS = [(10000, "VIP"), (1000, "Premium")]
@@ -115,6 +119,26 @@ def customer_behavior(fact_order: DataFrame, dim_customer: DataFrame, dt: str) -
     )
 
 
+def customer_behavior_exact(fact_order: DataFrame, dim_customer: DataFrame, dt: str) -> DataFrame:
+    """As ``customer_behavior`` with the exact median and 90th percentile."""
+    keys = ["age_group", "order_size_category"]
+    people = dim_customer.where(F.col("dt") == dt).select("customer_id", "age_group")
+    facts = fact_order.where(F.col("dt") == dt).select("customer_id", "order_size_category", "order_amount")
+    spent = materialize(facts.join(people, "customer_id").select(*keys, "order_amount"), "spent")
+    amount = F.col("order_amount")
+    totals = spent.groupBy(*keys).agg(
+        F.count("*").alias("order_count"), F.sum(amount).alias("total_spent"), _mean(F.sum(amount), F.count(amount)).alias("avg_order_amount")
+    )
+    cents = (amount * 100).cast("long")
+    exact = exact_quantiles(spent.select(*keys, cents.alias("cents")), keys, "cents", {"median": "0.5", "p90": "0.9"})
+    kind = spent.schema["order_amount"].dataType
+    money = lambda name: (F.col(name).cast("decimal(19,0)") / 100).cast(kind).alias(f"{name}_order_amount")
+    exact = exact.select(*(F.col(k).alias(f"_{k}") for k in keys), money("median"), money("p90"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    joined = totals.join(exact, same, "left").drop(*(f"_{k}" for k in keys))
+    return joined.withColumn("analysis_date", F.lit(dt))
+
+
 def daily_sales(fact_order: DataFrame, day: str) -> DataFrame:
     """One row of totals for the orders of a day."""
     amount, profit = F.col("total_amount"), F.col("profit")

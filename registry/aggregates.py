@@ -52,6 +52,7 @@ QUERIES = {
     "segment_summary": lambda s, d: plain(summary.segment_summary(crm_clean(s, d), D)),
     "daily_order_stats": lambda s, d: _rounded(summary.daily_order_stats(crm_fact(s, d), D), "stddev_order_value"),
     "customer_behavior": _behavior,
+    "customer_behavior_exact": lambda s, d: plain(summary.customer_behavior_exact(crm_fact(s, d), crm_clean(s, d), D)),
     "user_wide": lambda s, d: plain(wide.user_wide(dwd_users(s, d), dwd_orders(s, d), D)),
     "user_preference": lambda s, d: wide.user_preference(dwd_orders(s, d), D),
     "product_wide_v1": lambda s, d: plain(wide.product_wide_v1(dwd_products(s, d), dwd_orders(s, d), D)),
@@ -335,3 +336,5 @@ SELECT u.user_id, u.first_name, u.last_name, u.email, u.gender, CAST(u.registrat
 FROM script_users u LEFT JOIN script_orders o ON u.user_id = o.user_id AND o.dt <= '{D}'
 WHERE u.dt = '{D}' GROUP BY u.user_id, u.first_name, u.last_name, u.email, u.gender, u.registration_date"""),
 }
+
+ORACLES["customer_behavior_exact"] = ORACLES["customer_behavior"]

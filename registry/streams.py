@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from layerwell.fixtures import base_table, fixture
+from layerwell.functions.geo import ip_region, most_specific
 from layerwell.operators.sequence import session_sequence
 from layerwell.session import scratch_path
 from layerwell.sinks.external import hot_users, sample_rows
@@ -227,6 +228,21 @@ def _gold_targets(spark, sf):
     return rows.join(given, "target")
 
 
+NESTED = """
+SELECT ip_from, ip_to, region FROM {ranges}
+UNION ALL SELECT ip_from + 100000000, ip_from + 200000000, concat('inner ', region) FROM {ranges}
+UNION ALL SELECT ip_from + 120000001, ip_from + 130000007, concat('core ', region) FROM {ranges}
+UNION ALL SELECT ip_from + 750000000, ip_from + 850000000, concat('border ', region) FROM {ranges}
+"""
+
+
+def _nested(spark, sf):
+    """Region of every event's address, where ranges lie in and across each other."""
+    ranges = spark.sql(NESTED, ranges=fixture(spark, sf, "ip_ranges"))
+    events = fixture(spark, sf, "ods_events").select("event_id", "ip_num")
+    return ip_region(events, most_specific(ranges))
+
+
 def _hot_users(spark, sf):
     """Users whose purchases over all windows and regions exceed the threshold."""
     per_user = user_metrics(_metrics_input(spark, sf)).groupBy("user_id").agg(F.sum("total_revenue").alias("total_revenue"))
@@ -251,6 +267,7 @@ QUERIES = {
     "bronze_to_gold": _bronze_to_gold,
     "fan_out": _fan_out,
     "stream_sequence": _numbered,
+    "ip_region_nested": _nested,
     "gold_targets": _gold_targets,
     "append_evolving": _evolving,
     "sample_rows": lambda s, d: plain(sample_rows(fixture(s, d, "ods_events"), ["event_id"])),
@@ -301,6 +318,10 @@ _WINDOWS = _metrics_sql("5 MINUTE")
 _KEY = "concat_ws('|', window_start, user_id, coalesce(user_region, ''))"
 
 ORACLES = {
+    "ip_region_nested": oracle(f"""
+WITH nested AS ({NESTED.format(ranges="ip_ranges")})
+SELECT e.event_id, e.ip_num, r.region AS user_region FROM ods_events e LEFT JOIN nested r ON e.ip_num BETWEEN r.ip_from AND r.ip_to
+QUALIFY ROW_NUMBER() OVER (PARTITION BY e.event_id ORDER BY r.ip_to - r.ip_from, r.ip_from, r.region) = 1"""),
     "stream_sequence": oracle("""
 SELECT event_id, user_id, session_id, event_type, CAST(event_time AS VARCHAR) AS event_time, amount,
   CAST(ROW_NUMBER() OVER (PARTITION BY user_id, session_id ORDER BY event_time, event_id) AS BIGINT) AS seq,
