@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from layerwell.fixtures import fixture
-from layerwell.operators import clean, quality
+from layerwell.functions.columns import day_shift
+from layerwell.operators import clean, profiles, quality
+from layerwell.session import scratch_path
 from registry.cleaning import EMAIL, dim_customers, dwd_products, usd_orders
 from registry.common import D, oracle, plain
 
@@ -58,7 +60,39 @@ def _counts(spark, sf):
     return quality.layer_counts(tables, D)
 
 
+PROFILED = ["order_id", "user_id", "category_name", "quantity", "final_amount", "pay_time"]
+PROFILE_FROM = day_shift(D, -20)
+
+
+def _profile_range(spark, sf):
+    """Stored sketches of all days, merged over three weeks, next to what the rows say exactly."""
+    lines = fixture(spark, sf, "ods_order_info").select(*PROFILED, "dt")
+    path = scratch_path(spark, "profiles")
+    profiles.store_profiles(lines, path)
+    merged = profiles.profile_range(spark, path, PROFILE_FROM, D)
+    kept = lines.where(F.col("dt").between(PROFILE_FROM, D))
+    exact = quality.column_profile(kept.drop("dt")).select("column_name", F.col("distinct_count").alias("exact"))
+    below = kept.agg(*(F.count(F.col(c)).alias(f"{c}_n") for c in ("quantity", "final_amount"))).first()
+    close = F.abs(F.col("distinct_estimate") - (F.col("exact") - (F.col("null_count") > 0).cast("long"))) <= F.greatest(
+        F.lit(1), profiles.DISTINCT_ERROR * F.col("exact")
+    )
+    got = merged.join(exact, "column_name")
+    medians = {r.column_name: r.quantiles[0] for r in got.where("quantiles IS NOT NULL").select("column_name", "quantiles").collect()}
+    ranks = kept.agg(
+        *(F.count_if(F.col(c) <= F.lit(medians[c])).alias(f"{c}_le") for c in ("quantity", "final_amount")),
+        *(F.count_if(F.col(c) < F.lit(medians[c])).alias(f"{c}_lt") for c in ("quantity", "final_amount")),
+    ).first()
+    inside = [
+        c
+        for c in ("quantity", "final_amount")
+        if ranks[f"{c}_lt"] / below[f"{c}_n"] - profiles.RANK_ERROR <= 0.5 <= ranks[f"{c}_le"] / below[f"{c}_n"] + profiles.RANK_ERROR
+    ]
+    good = F.when(F.col("column_name").isin("quantity", "final_amount"), F.col("column_name").isin(*inside))
+    return got.select("column_name", "row_count", "null_count", "exact", close.alias("distinct_close"), good.alias("median_close"))
+
+
 QUERIES = {
+    "profile_range": _profile_range,
     "null_profile": lambda s, d: quality.null_profile(fixture(s, d, "ods_customer")),
     "score_customers": lambda s, d: plain(quality.score_customers(fixture(s, d, "crm_customers"))),
     "score_orders": lambda s, d: plain(quality.score_orders(fixture(s, d, "crm_orders"), TODAY)),
@@ -152,6 +186,17 @@ def _grades(inner: str, good: float, fair: float, least: float) -> str:
 _CUSTOMER_SCORES = _scored("crm_customers", _SCORE, "registration_date last_login_date")
 
 ORACLES = {
+    "profile_range": oracle(
+        _union(
+            [
+                f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, "
+                f"COUNT(DISTINCT {c}) + CAST(COUNT(*) > COUNT({c}) AS INT) AS exact, TRUE AS distinct_close, "
+                f"{'TRUE' if c in ('quantity', 'final_amount') else 'CAST(NULL AS BOOLEAN)'} AS median_close "
+                f"FROM ods_order_info WHERE dt BETWEEN '{PROFILE_FROM}' AND '{D}'"
+                for c in PROFILED
+            ]
+        )
+    ),
     "null_profile": oracle(
         _union(
             [
