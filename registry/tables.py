@@ -16,7 +16,7 @@ from layerwell.functions.columns import day_shift
 from layerwell.operators import clean, quality
 from layerwell.plans.daily import AUDIT_TABLE, Warehouse, backfill, backfill_subjects, rebuild, run_day
 from layerwell.session import scratch_path
-from layerwell.sinks import catalog
+from layerwell.sinks import catalog, compaction
 from layerwell.sinks.tables import (
     append_quality_result,
     conform,
@@ -225,6 +225,24 @@ def _compact(spark, sf):
     )
 
 
+def _compact_planned(spark, sf):
+    """One file with half of the rows, many small ones: the large one stays, the others become one."""
+    house = new_house(spark, "planned")
+    spec = house.specs["ods_customer"]
+    rows = _customers(spark, sf)
+    middle = rows.agg(F.expr("percentile_approx(customer_id, 0.5)")).first()[0]
+    part = F.when(F.col("customer_id") <= middle, -1).otherwise(F.col("customer_id") % 9)
+    overwrite_partition(rows.repartitionByRange(10, part), spec, D, fill_missing=True)
+    largest = max(compaction._folder(spark, spec, D).sizes().values())
+    done = compaction.compact_planned(spark, spec, D, largest)
+    spark.catalog.refreshTable(spec.qualified)
+    left_alone = done.files_read < done.files_before
+    return spark.table(spec.qualified).agg(
+        F.count("*").alias("n_rows"), F.sum("customer_id").alias("id_sum"), F.lit(done.files_after < done.files_before).alias("fewer_files"),
+        F.lit(left_alone).alias("large_left_alone"),
+    )
+
+
 def _clear(spark, sf):
     house = _landed(spark, sf, "clear")
     run_day(house, D, ["dwd"])
@@ -345,6 +363,7 @@ QUERIES = {
     "describe_table": _describe,
     "repair_table": _repair,
     "compact_partition": _compact,
+    "compact_planned": _compact_planned,
     "clear_layers": _clear,
     "drop_expired": _expire,
     "is_fresh": _fresh,
@@ -427,6 +446,9 @@ UNION ALL SELECT 'dwd_product_info', COUNT(*), COUNT(*) - COUNT(DISTINCT product
     "compact_partition": oracle(
         "SELECT COUNT(*) AS n_rows, CAST(SUM(customer_id) AS BIGINT) AS id_sum, TRUE AS fewer_files FROM ods_customer"
     ),
+    "compact_planned": oracle(
+        "SELECT COUNT(*) AS n_rows, CAST(SUM(customer_id) AS BIGINT) AS id_sum, TRUE AS fewer_files, TRUE AS large_left_alone FROM ods_customer"
+    ),
     "clear_layers": oracle(
         f"SELECT 'ods_user_info' AS table_name, {_USERS} AS row_count UNION ALL SELECT 'ods_product_info', {_PRODUCTS} "
         f"UNION ALL SELECT 'ods_order_info', {_DAY_ORDERS}"
