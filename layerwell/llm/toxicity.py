@@ -9,9 +9,9 @@ one once there are enough labelled texts. A logistic regression weighs these val
 
 Learning uses a sample of at most about ``docs_per_class`` labelled documents of each
 class, taken by a hash of the id; the regression's constant is corrected for the two sampling rates.
-The sample's features are written once. Each of at most ``ROUNDS`` rounds (L-BFGS) is a job that sums loss and gradient in
-``LEARNERS`` tasks; the driver holds vectors of ``BUCKETS`` numbers only: 4 MB from each task, and twice ``MEMORY`` of 8 MB
-for the search direction. Scoring reads every text whole and sums the weights of its distinct features.
+The sample's features are written once and counted in a grouping; the driver gets the buckets whose ratio is not 0, at most
+``BUCKETS`` rows of 24 bytes. Each of at most ``ROUNDS`` rounds (L-BFGS) is a job that sums loss and gradient in ``LEARNERS``
+tasks, one number per such bucket from each. Scoring reads every text whole and sums the weights of its distinct features.
 
 Defined results: null text counts as empty; a text without features gets the score of the
 constant alone; a null label is not learned from; several labels of one document count as
@@ -23,7 +23,7 @@ not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -106,12 +106,10 @@ def train(
         return {"constant": float(np.log((share + 1e-9) / (1 - share + 1e-9))), "buckets": np.empty(0, np.int64), "weights": np.empty(0)}
     rows = materialize(sample_features(sample), "features")
     pos, neg = ({label: n for label, n in rows.groupBy("label").count().collect()}.get(x, 0) for x in (1, 0))
-    p, q = feature_counts(rows)
-    ratio = log_count_ratio(p, q, max(pos, 1), max(neg, 1))
-    weights, constant = _minimise(rows, ratio)
-    constant += float(np.log(rates[0] / rates[1]))
-    known = np.flatnonzero(ratio)
-    return {"constant": constant, "buckets": known, "weights": (weights * ratio)[known]}
+    telling = telling_features(feature_counts(rows), max(pos, 1), max(neg, 1))
+    buckets, ratio = telling["bucket"].to_numpy(np.int64), telling["ratio"].to_numpy(float)
+    weights, constant = _minimise(materialize(known_features(rows, buckets), "known"), ratio)
+    return {"constant": constant + float(np.log(rates[0] / rates[1])), "buckets": buckets, "weights": weights * ratio}
 
 
 def sample_features(sample: DataFrame) -> DataFrame:
@@ -136,59 +134,70 @@ def unpack(found: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(found), "<u4"), dtype=np.int64)
 
 
-def _summed(rows: DataFrame, start: Callable[[], tuple[np.ndarray, ...]], add: Callable[..., None]) -> list[np.ndarray]:
-    """Vectors that each task starts and adds its documents (label, buckets) to, summed over the tasks."""
-    sizes = [len(v) for v in start()]
+def feature_counts(rows: DataFrame) -> DataFrame:
+    """Toxic and other texts of the sample per bucket: bucket, p, q."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = start()
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, BUCKETS), np.int32)
         for batch in batches:
             for label, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                add(own, label, unpack(found))
-        yield pa.RecordBatch.from_arrays([pa.array([v.astype("<f4").tobytes()], pa.binary()) for v in own], names=[f"v{i}" for i in range(len(own))])
+                sums[label, unpack(found)] += 1
+        at = np.flatnonzero(sums.any(axis=0))
+        for first in range(0, len(at), 50_000):
+            some = at[first : first + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[1, some]), pa.array(sums[0, some])], names=["bucket", "p", "q"])
 
-    out = [np.zeros(n) for n in sizes]
-    for part in rows.mapInArrow(work, ", ".join(f"v{i} binary" for i in range(len(sizes)))).collect():  # a few vectors per task
-        for total, v in zip(out, part):
-            total += np.frombuffer(v, "<f4")
-    return out
+    counts = rows.mapInArrow(count, "bucket long, p int, q int")
+    return counts.groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
 
 
-def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Toxic and other texts of the sample per bucket."""
+def telling_features(counts: DataFrame, pos: int, neg: int):
+    """Buckets whose shrunk ratio is not 0, ascending, with it; one text is added to every count for the ratio."""
+    p, q = F.col("p"), F.col("q")
+    ratio = F.log((p + 1) / float(pos + 1)) - F.log((q + 1) / float(neg + 1))
+    share = (p + q) / float(pos + neg)
+    squared_error = share * (1 - share) * (1 / pos + 1 / neg)
+    distance = F.greatest((p / float(pos) - q / float(neg)) ** 2, F.lit(1e-12))
+    kept = 1 - DOUBT**2 * squared_error / distance
+    return counts.where(kept > 0).select("bucket", (ratio * kept).alias("ratio")).toPandas().sort_values("bucket")
 
-    def add(own, label, buckets):
-        own[0 if label else 1][buckets] += 1
 
-    p, q = _summed(rows, lambda: (np.zeros(BUCKETS, np.float32), np.zeros(BUCKETS, np.float32)), add)
-    return p, q
+def known_features(rows: DataFrame, buckets: np.ndarray) -> DataFrame:
+    """(label, found): places in ``buckets`` of each text's features."""
+    shared = rows.sparkSession.sparkContext.broadcast(buckets)
 
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(BUCKETS, -1, np.int64)
+        place[shared.value] = np.arange(len(shared.value))
+        for batch in batches:
+            found = [place[unpack(f)] for f in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(f[f >= 0]) for f in found], pa.binary())], names=["label", "found"])
 
-def log_count_ratio(p: np.ndarray, q: np.ndarray, pos: int, neg: int) -> np.ndarray:
-    """Log-count ratios with one text added to every count, shrunk by how far the shares differ; 0 for buckets that no text has."""
-    ratio = np.log((p + 1) / (pos + 1)) - np.log((q + 1) / (neg + 1))
-    share = (p + q) / (pos + neg)
-    squared_error = share * (1 - share) * (1 / pos + 1 / neg)
-    distance = np.maximum((p / pos - q / neg) ** 2, 1e-12)
-    kept = np.maximum(0.0, 1 - DOUBT**2 * squared_error / distance)
-    return np.where(p + q > 0, ratio * kept, 0.0)
+    return rows.mapInArrow(pick, "label int, found binary")
 
 
 def loss_and_gradient(rows: DataFrame, ratio: np.ndarray, weights: np.ndarray, constant: float) -> tuple[float, np.ndarray]:
-    """Logistic loss with ridge, and its gradient by the weights and, last, by the constant."""
-    shared = rows.sparkSession.sparkContext.broadcast((weights * ratio).astype(np.float32))
+    """Logistic loss with ridge, and its gradient by the weights and, last, by the constant; summed by tasks."""
+    shared = rows.sparkSession.sparkContext.broadcast((weights * ratio, constant))
 
-    def add(own, label, buckets):
-        z = float(shared.value[buckets].sum(dtype=np.float64)) + constant
-        miss = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - label
-        own[0][buckets] += miss
-        own[1][0] += np.logaddexp(0, z) - label * z
-        own[1][1] += miss
-
-    by_bucket, (loss, by_constant) = _summed(rows, lambda: (np.zeros(BUCKETS, np.float32), np.zeros(2)), add)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors, start = shared.value
+        total, loss, by_constant = np.zeros(len(factors)), 0.0, 0.0
+        for batch in batches:
+            for label, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                at = unpack(found)
+                z = float(factors[at].sum()) + start
+                miss = float(1 / (1 + np.exp(-np.clip(z, -40, 40)))) - label
+                total[at] += miss
+                loss += float(np.logaddexp(0, z)) - label * z
+                by_constant += miss
+        yield pa.RecordBatch.from_pydict({"loss": [loss], "by_constant": [by_constant], "total": pa.array([total.tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(work, "loss double, by_constant double, total binary").collect()  # one row per task
     shared.destroy()
-    gradient = np.append(by_bucket * ratio + RIDGE * weights, by_constant)
-    return loss + RIDGE / 2 * float(weights @ weights), gradient
+    by_bucket = sum((np.frombuffer(p.total) for p in parts), np.zeros(len(ratio)))
+    gradient = np.append(by_bucket * ratio + RIDGE * weights, sum(p.by_constant for p in parts))
+    return sum(p.loss for p in parts) + RIDGE / 2 * float(weights @ weights), gradient
 
 
 def _minimise(rows: DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, float]:

@@ -103,23 +103,28 @@ def test_toxicity_counts_ratios_gradient_and_weights(spark):
     sample = spark.createDataFrame(texts, "label int, text string")
     rows = toxicity.sample_features(sample).cache()
     sets = [(label, set(Features().distinct(t).tolist())) for label, t in texts]
-    p, q = toxicity.feature_counts(rows)
-    for counts, wanted in ((p, 1), (q, 0)):
-        assert {b: counts[b] for b in np.flatnonzero(counts)} == {
+    counts = toxicity.feature_counts(rows).toPandas().set_index("bucket")
+    for column, wanted in (("p", 1), ("q", 0)):
+        assert {b: n for b, n in counts[column].items() if n} == {
             b: sum(b in s for x, s in sets if x == wanted) for b in set().union(*(s for x, s in sets if x == wanted))
         }
-    ratio = toxicity.log_count_ratio(p, q, 300, 300)
+    telling = toxicity.telling_features(toxicity.feature_counts(rows), 300, 300).set_index("bucket")["ratio"]
     marker = Features().distinct("marker")
-    assert len(marker) >= 14 and (ratio[marker] > 0.3).all()  # a word of 60 and 25 percent keeps all its n-grams
-    assert np.count_nonzero(ratio) < 0.1 * np.count_nonzero(p + q)
-    once = toxicity.log_count_ratio(np.array([1.0, 5.0, 40.0]), np.array([0.0, 5.0, 0.0]), 300, 300)
-    assert once[0] == once[1] == 0 and once[2] > 2
+    assert len(marker) >= 14 and (telling[marker] > 0.3).all()  # a word of 60 and 25 percent keeps all its n-grams
+    assert len(telling) < 0.1 * len(counts)
+    for b, (p, q) in counts.iterrows():
+        share = (p + q) / 600
+        z = abs(p - q) / 300 / (share * (1 - share) / 150) ** 0.5 if share < 1 else 0
+        want = np.log((p + 1) / (q + 1)) * (1 - 9 / z**2) if z > 3 else 0.0
+        assert telling.get(b, 0.0) == pytest.approx(want, abs=1e-9)
+    buckets, ratio = telling.index.to_numpy(), telling.to_numpy()
+    known = toxicity.known_features(rows, buckets).cache()
     rng = np.random.default_rng(1)
-    weights, constant = rng.normal(size=len(ratio)) * (ratio != 0), 0.3
-    loss, gradient = toxicity.loss_and_gradient(rows, ratio, weights, constant)
+    weights, constant = rng.normal(size=len(ratio)), 0.3
+    loss, gradient = toxicity.loss_and_gradient(known, ratio, weights, constant)
     want, by_bucket, by_constant = toxicity.RIDGE / 2 * weights @ weights, toxicity.RIDGE * weights, 0.0
     for label, found in sets:
-        at = np.array(sorted(found))
+        at = np.flatnonzero(np.isin(buckets, list(found)))
         z = (weights[at] * ratio[at]).sum() + constant
         miss = 1 / (1 + np.exp(-z)) - label
         want += np.logaddexp(0, z) - label * z
@@ -127,7 +132,8 @@ def test_toxicity_counts_ratios_gradient_and_weights(spark):
         by_constant += miss
     assert loss == pytest.approx(want, rel=1e-5)
     assert gradient == pytest.approx(np.append(by_bucket, by_constant), abs=1e-3)
-    best, free = toxicity._minimise(rows, ratio)
-    start, _ = toxicity.loss_and_gradient(rows, ratio, np.zeros(len(ratio)), 0.0)
-    end, left = toxicity.loss_and_gradient(rows, ratio, best, free)
-    assert end < start and np.abs(left).max() < 0.05 * len(texts) and (best[marker] * ratio[marker] > 0).all()
+    best, free = toxicity._minimise(known, ratio)
+    start, _ = toxicity.loss_and_gradient(known, ratio, np.zeros(len(ratio)), 0.0)
+    end, left = toxicity.loss_and_gradient(known, ratio, best, free)
+    assert end < start and np.abs(left).max() < 0.05 * len(texts)
+    assert (best * ratio)[np.searchsorted(buckets, marker)].sum() > 0
