@@ -83,12 +83,14 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _classes(rows: DataFrame) -> DataFrame:
     """(digest, node, low, row_key, of_id, salts): a number per digest, its smallest doc_id, and one of its rows.
 
-    Large classes are reduced in salted parts. The numbers are pinned by writing them.
+    Large classes are reduced in salted parts. Numbers rise with the smallest doc_id, so the centre of a star is the earliest
+    text, of which the others are copies; they are pinned by writing them.
     """
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)))
     row = F.struct("row_key", F.coalesce("doc_id", F.lit(-1).cast("long")).alias("of_id"))
     parts = salted.groupBy("digest", "salt").agg(F.min("doc_id").alias("low"), F.min(row).alias("row"))
     classes = parts.groupBy("digest").agg(F.min("low").alias("low"), F.min("row").alias("row"), F.collect_list("salt").alias("salts"))
+    classes = classes.orderBy(F.asc_nulls_last("low"), "digest")
     return materialize(classes.select("digest", F.monotonically_increasing_id().alias("node"), "low", "row.*", "salts"), "classes")
 
 
