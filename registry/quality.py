@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from layerwell.fixtures import fixture
 from layerwell.functions.columns import day_shift
 from layerwell.operators import clean, profiles, quality
-from layerwell.session import scratch_path
+from layerwell.session import materialize, scratch_path
 from registry.cleaning import EMAIL, dim_customers, dwd_products, usd_orders
 from registry.common import D, oracle, plain
 
@@ -66,7 +66,8 @@ PROFILE_FROM = day_shift(D, -20)
 
 def _profile_range(spark, sf):
     """Stored sketches of all days, merged over three weeks, next to what the rows say exactly."""
-    lines = fixture(spark, sf, "ods_order_info").select(*PROFILED, "dt")
+    # Joined once; the sketches and the exact figures read the few columns they need from it.
+    lines = materialize(fixture(spark, sf, "ods_order_info").select(*PROFILED, "dt"), "profiled")
     path = scratch_path(spark, "profiles")
     profiles.store_profiles(lines, path)
     merged = profiles.profile_range(spark, path, PROFILE_FROM, D)
