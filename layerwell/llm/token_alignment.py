@@ -3,10 +3,11 @@
 Both tokenizers split the bytes of one text. Where tokens of both end at the same byte, a group ends; every pair of a token of A
 and a token of B in a group is a link. A pair's count is the number of documents that hold it linked.
 
-Pass one aligns all documents and emits what a task has counted per distinct pair. The distinct pairs get a minimal perfect
+Every document is aligned once. A task writes two kinds of rows to the shared folder: what it has counted per distinct pair, and one row
+per document with its numbers, its digest and its distinct pairs with their numbers of links. The distinct pairs get a minimal perfect
 hash (``minimal_hash``), built per bucket of about 32,768 pairs. With it the tasks' counts become dense vectors,
-indexed by hash and checked against the stored key, and are summed up a tree with ``FAN`` branches per node. Pass two aligns all documents again
-and looks the counts of their links up.
+indexed by hash and checked against the stored key, and are summed up a tree with ``FAN`` branches per node. A second pass reads the
+documents' rows and looks the counts of their pairs up; texts are not read again.
 
 The table for the lookup (hash, keys, counts) holds at most ``RESIDENT`` pairs of 17 bytes (68 MB), so it may be sent to all
 tasks at any size of the corpus. If there are more distinct pairs, it holds those that most documents hold (all above
@@ -15,6 +16,7 @@ Besides, the driver gets the highest count per id of A: one row per id of the vo
 
 Texts are cut before each run of spaces, and before a line end, that follows another character: neither tokenizer
 has a token across such a cut, so distinct pieces are encoded and aligned once per task (the pair files are checked for that).
+The cuts are found in the bytes of a batch of texts, and its distinct pieces by Arrow's dictionary encoding.
 
 Defined results: null and empty texts, and texts whose tokens do not spell a space and the text, have no tokens (zeros
 and an empty hash); texts of any length are read whole; equal rows count as documents of their own; an empty table
@@ -31,6 +33,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,12 +46,18 @@ RESIDENT = 4_000_000
 FAN = 16
 FLUSHED = 4_000_000
 DOCS_AT_ONCE = 512
+BYTES_AT_ONCE = 8 << 20
+READ_AT_ONCE = 2048
 CACHED_PIECES = 300_000
 JOINED = 64
 LARGE_GROUP = 4096
 _CUT = re.compile(r"(?<=\S)(?= |\n\S)")
-_TWO_BLANKS = re.compile(r"\s\s")
 _NONE = np.empty(0, np.int64)
+_NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+# White space as ``\s`` knows it, in UTF-8: single bytes, and longer ones as numbers.
+_BLANKS = [chr(c).encode() for c in range(0x3001) if chr(c).isspace()]
+_BLANK_BYTE = np.isin(np.arange(256), [b[0] for b in _BLANKS if len(b) == 1])
+_LONG_BLANKS = {size: np.array([int.from_bytes(b) for b in _BLANKS if len(b) == size]) for size in (2, 3)}
 
 
 def _byte_letters() -> dict[str, int]:
@@ -89,21 +98,41 @@ class Aligner:
         named = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(named)]
         self.space = self.b.piece_to_id("▁")
+        self.span = len(self.a_bytes) * len(self.b_bytes)  # keys of pairs are below it
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
         crossing = any(b" " in x.lstrip(b" ") or (b"\n" in x and len(x) > 1) for x in self.b_bytes)
         self.cut = None if crossing else _CUT
         a_names, b_names = map(str, range(len(self.a_bytes))), map(str, range(len(self.b_bytes)))
         # The digest text of an id, by what follows it: of A a comma or a bar, of B a comma or a semicolon.
-        self.written = [end for names, ends in ((list(a_names), ",|"), (list(b_names), ",;")) for e in ends for end in [n + e for n in names]]
+        written = [end for names, ends in ((list(a_names), ",|"), (list(b_names), ",;")) for e in ends for end in [n + e for n in names]]
+        self.written = pa.array(written, pa.large_string())
+        self.a_cells, self.b_cells = (pa.array(table, pa.large_binary()) for table in (self.a_bytes, self.b_bytes))
 
     def pieces(self, text: str) -> list[str]:
         """The space and the text, cut where no token of either kind crosses."""
-        text = " " + text
-        if not self.cut:
-            return [text]
-        if _TWO_BLANKS.search(text):
-            return self.cut.split(text)
-        return [p if p[:1] == "\n" else " " + p for p in text.replace("\n", " \n").split(" ")[1:]]
+        return self.cut.split(" " + text) if self.cut else [" " + text]
+
+    def cut_all(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """``pieces`` of all (not null, not empty) texts in a row, and where those of each text begin."""
+        spaced = pc.binary_join_element_wise(" ", texts.cast(pa.string()), "")
+        ends = np.frombuffer(spaced.buffers()[1], np.int32)[spaced.offset : spaced.offset + len(texts) + 1]
+        data = np.frombuffer(spaced.buffers()[2], np.uint8)[: ends[-1]]
+        starts = np.zeros(len(data), bool)
+        if self.cut:
+            # Whether a character of white space ends, or starts, at a byte; behind the last text it does.
+            ending = _BLANK_BYTE[data]
+            starting = np.append(ending, True)
+            for size, blanks in _LONG_BLANKS.items():
+                leads = np.unique(blanks >> 8 * (size - 1))
+                at = np.flatnonzero((data >= leads[0]) & (data <= leads[-1]))
+                at = at[at + size <= len(data)]
+                at = at[np.isin(sum(data[at + i].astype(np.int64) << 8 * (size - 1 - i) for i in range(size)), blanks)]
+                ending[at + size - 1] = starting[at] = True
+            starts[1:] = ~ending[:-1] & ((data[1:] == 32) | ((data[1:] == 10) & ~starting[2:]))
+        starts[ends[:-1]] = True
+        first = np.flatnonzero(starts)
+        offsets = pa.py_buffer(np.append(first, len(data)).astype(np.int32))
+        return pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(data)).dictionary_encode(), np.searchsorted(first, ends)
 
     def encode_each(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both kinds, piece by piece; a piece starts with a space or a line end."""
@@ -113,73 +142,112 @@ class Aligner:
         b = [[self.space] if p == " " else ids[1:] if p[0] == "\n" else ids for p, ids in zip(pieces, b)]
         return a, b
 
-    def _encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_joined(self, data: memoryview, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces that are encoded some dozens at a time, as one text."""
-        texts = ["".join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        edges = [0, *np.add.reduceat(sizes, np.arange(0, len(sizes), JOINED)).cumsum().tolist()]
+        texts = [str(data[first:last], "utf-8") for first, last in zip(edges, edges[1:])]
         a = [self.fast(t) for t in texts] if self.fast else [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
-        return self._flat(a), self._flat(self.b.encode([t[1:] for t in texts], num_threads=1))
+        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        b = [ids if t[0] == " " else ids[1:] for t, ids in zip(texts, b)]  # as in ``encode_each``
+        return self._flat(a), self._flat(b)
 
     def _flat(self, ids: list[list[int]]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(ids), np.int64)
+        return np.array(list(chain.from_iterable(ids)), np.int64)
 
-    def encode(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, pieces: list[str], data: memoryview, sizes: np.ndarray, joined: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both kinds of all pieces in a row, and which pieces both kinds spell; the others have no ids here.
 
-        Pieces that start with a space and end with a letter may be joined, since they would be cut there again. If tokens do
-        not spell the joined text, or pieces are of another form, they are encoded one by one.
+        ``data`` holds the pieces' bytes in a row. Pieces that end with a letter may be joined, since they would be cut there again.
+        If tokens do not spell the joined text, or pieces are of another form, they are encoded one by one.
         """
         spelled = np.ones(len(pieces), bool)
-        text = "".join(pieces)
-        if self.cut and not any(p[0] != " " or p[-1].isspace() for p in pieces):
-            a, b = self._encode_joined(pieces)
-            ends = np.cumsum(sizes)
-            if self._spells(self.a_bytes, a, text) and self._spells(self.b_bytes, b, text):
-                if all(np.isin(ends, np.cumsum(table[ids])).all() for table, ids in ((self.a_sizes, a), (self.b_sizes, b))):
-                    return a, b, spelled
+        if joined:
+            a, b = self._encode_joined(data, sizes)
+            ends, both = np.cumsum(sizes), ((self.a_cells, self.a_sizes, a), (self.b_cells, self.b_sizes, b))
+            if all(self._spell(cells, ids, data) and np.isin(ends, np.cumsum(table[ids])).all() for cells, table, ids in both):
+                return a, b, spelled
         a, b = self.encode_each(pieces)
         for i, piece in enumerate(pieces):
-            if not (self._spells(self.a_bytes, a[i], piece) and self._spells(self.b_bytes, b[i], piece)):
+            if not all(b"".join([table[x] for x in ids]) == piece.encode() for table, ids in ((self.a_bytes, a[i]), (self.b_bytes, b[i]))):
                 spelled[i], a[i], b[i] = False, [], []
         return self._flat(a), self._flat(b), spelled
 
-    def _spells(self, table: list[bytes], ids, text: str) -> bool:
-        return b"".join([table[i] for i in (ids.tolist() if isinstance(ids, np.ndarray) else ids)]) == text.encode()
+    def _spell(self, cells: pa.Array, ids: np.ndarray, data: memoryview) -> bool:
+        if not len(ids):
+            return False
+        offsets, spelled = cells.take(pa.array(ids)).buffers()[1:]
+        size = int(np.frombuffer(offsets, np.int64)[len(ids)])
+        return size == len(data) and spelled[:size].equals(pa.py_buffer(data))
 
 
 class Pieces:
     """What is known of the pieces that a task has met: numbers, links and the digest's text of each."""
 
-    def __init__(self, aligner: Aligner, look_up=None):
-        self.aligner, self.look_up = aligner, look_up
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.spelled = np.empty(0, bool)
-        self.numbers = np.empty((0, 6), np.int64)
+        self.numbers = np.empty((0, len(_NUMBERS)), np.int64)
         self.first, self.keys, self.times = np.zeros(1, np.int64), _NONE, _NONE
-        self.texts: list[str] = []
+        self.texts = pa.array([], pa.large_string())
 
-    def documents(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """Places of every document's pieces in the tables; None for a document without tokens."""
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Of every text: numbers as in ``_NUMBERS``, digest, where its distinct pairs begin, and all pairs with their numbers of links."""
         if len(self.known) > CACHED_PIECES or len(self.keys) > 8 * CACHED_PIECES:
             self.clear()
-        cut = [self.aligner.pieces(t) if t else None for t in texts]
-        new = list(set().union(*filter(None, cut)) - self.known.keys())
-        apart = [p for p in new if p[0] != " " or p[-1].isspace() or "▁" in p]
-        for part in (list(set(new).difference(apart)), apart):
+        filled = np.flatnonzero(pc.fill_null(pc.greater(pc.binary_length(texts), 0), False).to_numpy(zero_copy_only=False))
+        numbers, digests, cuts = np.zeros((len(texts), len(_NUMBERS)), np.int64), [""] * len(texts), np.zeros(len(texts) + 1, np.int64)
+        if not len(filled):
+            return numbers, digests, cuts, _NONE, _NONE
+        row, begins = self.aligner.cut_all(texts.take(pa.array(filled)))
+        words, codes = row.dictionary.to_numpy(zero_copy_only=False).tolist(), row.indices.to_numpy()
+        self._learn(row.dictionary, words)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        doc = np.repeat(filled, np.diff(begins))
+        wrong = np.zeros(len(texts), bool)
+        wrong[doc[~self.spelled[at][codes]]] = True
+        written = self.texts.take(pa.array(at)).take(row.indices)
+        ends, data = np.frombuffer(written.buffers()[1], np.int64), memoryview(written.buffers()[2] or b"")
+        for i, first, last in zip(filled.tolist(), ends[begins[:-1]].tolist(), ends[begins[1:]].tolist()):
+            if not wrong[i]:
+                digests[i] = hashlib.sha256(data[first : last - 1]).hexdigest()
+        doc, codes = doc[~wrong[doc]], codes[~wrong[doc]]
+        # Each document's distinct pieces and how often it has them, then its distinct pairs.
+        distinct, often = np.unique(doc * len(words) + codes, return_counts=True)
+        doc, word = np.divmod(distinct, len(words))
+        places = at[word]
+        edges = np.searchsorted(doc, np.arange(len(texts) + 1))
+        for i in range(len(_NUMBERS)):
+            numbers[:, i] = np.diff(_running(self.numbers[places, i] * often)[edges])
+        first, found = self.first[places], self.first[places + 1] - self.first[places]
+        links = np.repeat(first - (np.cumsum(found) - found), found) + np.arange(found.sum())
+        span = self.aligner.span
+        pairs = np.repeat(doc, found) * span + self.keys[links]
+        order = np.argsort(pairs)
+        pairs, times = pairs[order], (self.times[links] * np.repeat(often, found))[order]
+        heads = np.flatnonzero(np.diff(pairs, prepend=-1))
+        times = np.diff(_running(times)[np.append(heads, len(times))])
+        doc, keys = np.divmod(pairs[heads], span)
+        return numbers, digests, np.searchsorted(doc, np.arange(len(texts) + 1)), keys, times
+
+    def _learn(self, dictionary: pa.StringArray, words: list[str]) -> None:
+        new = [(i, w[-1].isspace() or "▁" in w or not self.aligner.cut) for i, w in enumerate(words) if w not in self.known]
+        for joined in (True, False):
+            part = [i for i, apart in new if apart != joined]
             if part:
-                self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
-                self._add(part)
-        known = self.known.__getitem__
-        places = [np.fromiter(map(known, pieces), np.int64, len(pieces)) if pieces else None for pieces in cut]
-        return [None if at is None or not self.spelled[at].all() else at for at in places]
+                pieces = [words[i] for i in part]
+                self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(part))))
+                self._add(pieces, dictionary.take(pa.array(part)), joined)
 
-    def _add(self, pieces: list[str]) -> None:
+    def _add(self, pieces: list[str], cells: pa.StringArray, joined: bool) -> None:
         """Align new pieces: groups end where tokens of both kinds do; each token's group gives its links."""
         own = self.aligner
-        sizes = np.array([len(p.encode()) for p in pieces], np.int64)
-        a, b, spelled = own.encode(pieces, sizes)
+        sizes = pc.binary_length(cells).to_numpy().astype(np.int64)
+        data = memoryview(cells.buffers()[2])[: sizes.sum()]
+        a, b, spelled = own.encode(pieces, data, sizes, joined)
         ends_a, ends_b = np.cumsum(own.a_sizes[a]), np.cumsum(own.b_sizes[b])
         piece_ends = np.cumsum(np.where(spelled, sizes, 0))
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
@@ -192,15 +260,9 @@ class Pieces:
         pairs = n_a * n_b
         where, keys, times = self._links(a, b, of_a, of_b, n_a, n_b, first_b, piece)
         found = np.bincount(where, minlength=len(pieces))
-        numbers = np.zeros((len(pieces), 6), np.int64)
-        numbers[:, :4] = np.array([total(n_a), total(n_b), total(np.ones(len(common))), total(pairs)]).T
-        if self.look_up:
-            n, best, missing = self.look_up(keys)
-            numbers[:, 4] = np.bincount(where, weights=times * best, minlength=len(pieces))
-            numbers[:, 5] = np.bincount(where, weights=times * n, minlength=len(pieces))
-            keys, times, where = keys[missing], times[missing], where[missing]
-            found = np.bincount(where, minlength=len(pieces))
-            self.texts += self._written(a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b)
+        numbers = np.array([total(n_a), total(n_b), total(np.ones(len(common))), total(pairs)]).T
+        written = self._written(a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b)
+        self.texts = pa.concat_arrays([self.texts, written])
         self.spelled = np.concatenate([self.spelled, spelled])
         self.numbers = np.concatenate([self.numbers, numbers])
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(found)])
@@ -208,8 +270,7 @@ class Pieces:
 
     def _links(self, a, b, of_a, of_b, n_a, n_b, first_b, piece):
         """Distinct pairs of each piece, in its order: piece, key, number of links."""
-        width = len(self.aligner.b_bytes)
-        span = len(self.aligner.a_bytes) * width
+        width, span = len(self.aligner.b_bytes), self.aligner.span
         small = n_a * n_b <= LARGE_GROUP
         repeats = np.where(small, n_b, 0)[of_a]
         left = np.repeat(np.arange(len(a)), repeats)
@@ -225,7 +286,7 @@ class Pieces:
         times = np.bincount(where, weights=np.concatenate(weights), minlength=len(distinct)).astype(np.int64)
         return distinct // span, distinct % span, times
 
-    def _written(self, a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b) -> list[str]:
+    def _written(self, a, b, of_a, of_b, n_a, n_b, first_a, first_b, piece_ends, ends_a, ends_b) -> pa.Array:
         """The digest's text of every piece, with a semicolon behind each group."""
         count_a, count_b = len(self.aligner.a_bytes), len(self.aligner.b_bytes)
         codes = np.empty(len(a) + len(b), np.int64)
@@ -233,62 +294,103 @@ class Pieces:
         last_b = np.arange(len(b)) == (first_b + n_b - 1)[of_b]
         codes[np.arange(len(a)) + first_b[of_a]] = a + count_a * last_a
         codes[np.arange(len(b)) + (first_a + n_a)[of_b]] = 2 * count_a + b + count_b * last_b
-        table = self.aligner.written
-        parts = [table[c] for c in codes.tolist()]
         ends = np.searchsorted(ends_a, piece_ends, "right") + np.searchsorted(ends_b, piece_ends, "right")
-        return ["".join(parts[first:last]) for first, last in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        if not len(codes):
+            return pa.array([""] * len(ends), pa.large_string())
+        parts = self.aligner.written.take(pa.array(codes))
+        offsets = np.frombuffer(parts.buffers()[1], np.int64)[np.append(0, ends)]
+        return pa.LargeStringArray.from_buffers(len(ends), pa.py_buffer(offsets), parts.buffers()[2])
 
-    def links_of(self, places: np.ndarray) -> np.ndarray:
-        """Places of the links of pieces in ``keys`` and ``times``."""
-        first, found = self.first[places], self.first[places + 1] - self.first[places]
-        return np.repeat(first - (np.cumsum(found) - found), found) + np.arange(found.sum())
 
+def _running(values: np.ndarray) -> np.ndarray:
+    """Sums of the values before each place, and of all."""
+    return np.concatenate([[0], np.cumsum(values)])
 
-def _documents(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[tuple[pa.Array, list[np.ndarray | None]]]:
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Few documents at once; more than ``BYTES_AT_ONCE`` only by the last one of them."""
     for batch in batches:
-        for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-            part = batch.slice(first, DOCS_AT_ONCE)
-            yield part.column(0), pieces.documents(part.column(1).to_pylist())
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        full = np.diff((_running(sizes) // BYTES_AT_ONCE)[:-1], prepend=0) > 0
+        starts = np.flatnonzero(full | (np.arange(len(sizes)) % DOCS_AT_ONCE == 0)).tolist()
+        for first, last in zip(starts, [*starts[1:], len(sizes)]):
+            yield batch.slice(first, last - first)
 
 
-def pair_counts(
+def _cells(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """One cell of bytes per document."""
+    values = values.astype(np.min_scalar_type(values.max(initial=0)))
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _values(cells: pa.Array, counts: pa.Array) -> np.ndarray:
+    """The numbers of all cells in a row."""
+    parts = [np.frombuffer(c, f"u{len(c) // n}") for c, n in zip(cells.to_pylist(), counts.to_pylist()) if n]
+    return np.concatenate([*parts, np.empty(0, np.uint8)]).astype(np.int64)
+
+
+def document_links(
     docs: DataFrame, byte_bpe_path: str, piece_path: str, ranks_path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """What tasks count, pair by pair: task, key, mixed, n (documents of the task that hold the pair)."""
+    """Rows of two kinds, told apart by which columns are null.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    What a task counts, pair by pair: task, key, mixed, n (documents of the task that hold the pair). And one row per document: doc_id,
+    n_a, n_b, n_groups, n_links, groups_sha256, and how many distinct pairs it has (``pairs``), which (``keys``) and with how many links
+    (``times``); the latter are unsigned numbers of as few bytes as hold them.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    pair_columns = {"task": pa.int32(), "key": pa.int64(), "mixed": pa.int64(), "n": pa.int64()}
+    columns = [*pair_columns, "doc_id", *_NUMBERS, "groups_sha256", "pairs", "keys", "times"]
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, task = Pieces(Aligner(byte_bpe_path, piece_path, ranks_path)), TaskContext.get().partitionId()
-        keys, times = _NONE, _NONE
-        held: list[np.ndarray] = []
+        id_type = None
+        held: list[tuple[np.ndarray, np.ndarray]] = [(_NONE, _NONE)]
+        size = 0
 
-        def merged():
-            distinct, where = np.unique(np.concatenate([keys, *held]), return_inverse=True)
-            weights = np.concatenate([times, np.ones(sum(map(len, held)), np.int64)])
-            return distinct, np.bincount(where, weights=weights, minlength=len(distinct)).astype(np.int64)
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = (np.concatenate(x) for x in zip(*held))
+            distinct, where = np.unique(keys, return_inverse=True)
+            return distinct, np.bincount(where, weights=n, minlength=len(distinct)).astype(np.int64)
 
-        def rows():
+        def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for first in range(0, len(keys), 100_000):
                 part = keys[first : first + 100_000]
-                columns = [np.full(len(part), task, np.int32), part, minimal_hash.mix(part), times[first : first + 100_000]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["task", "key", "mixed", "n"])
+                own = [np.full(len(part), task, np.int32), part, minimal_hash.mix(part), n[first : first + 100_000]]
+                empty = [pa.nulls(len(part), t) for t in (id_type, *[pa.int64()] * len(_NUMBERS), pa.string(), pa.int64(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, own), *empty], names=columns)
+
+        for batch in _documents(batches):
+            id_type = batch.column(0).type
+            numbers, digests, cuts, keys, times = pieces.documents(batch.column(1))
+            own = [batch.column(0), *map(pa.array, numbers.T), pa.array(digests), pa.array(np.diff(cuts)), _cells(keys, cuts), _cells(times, cuts)]
+            empty = [pa.nulls(batch.num_rows, t) for t in pair_columns.values()]
+            yield pa.RecordBatch.from_arrays([*empty, *own], names=columns)
+            held.append(np.unique(keys, return_counts=True))
+            size += len(held[-1][0])
+            if size >= FLUSHED:
+                held, size = [merged()], 0
+                if len(held[0][0]) >= FLUSHED:
+                    yield from rows(*held[0])
+                    held = [(_NONE, _NONE)]
+        yield from rows(*merged())
+
+    schema = ", ".join(["task int, key long, mixed long, n long", f"doc_id {kind}", *(f"{c} long" for c in _NUMBERS), "groups_sha256 string"])
+    schema += ", pairs long, keys binary, times binary"
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return materialize(texts.mapInArrow(link, schema), "links")
 
-        size = 0
-        for _, found in _documents(batches, pieces):
-            for places in found:
-                if places is not None:
-                    distinct = np.unique(pieces.keys[pieces.links_of(np.unique(places))])
-                    held.append(distinct)
-                    size += len(distinct)
-                    if size >= FLUSHED:
-                        (keys, times), held, size = merged(), [], 0
-                        if len(keys) >= FLUSHED:
-                            yield from rows()
-                            keys, times = _NONE, _NONE
-        keys, times = merged()
-        yield from rows()
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return materialize(texts.mapInArrow(count, "task int, key long, mixed long, n long"), "pairs")
+def _counted(links: DataFrame) -> DataFrame:
+    return links.where(F.col("key").isNotNull()).select("task", "key", "mixed", "n")
+
+
+def pair_counts(
+    docs: DataFrame, byte_bpe_path: str, piece_path: str, ranks_path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """What tasks count, pair by pair: task, key, mixed, n (documents of the task that hold the pair)."""
+    return _counted(document_links(docs, byte_bpe_path, piece_path, ranks_path, id_col, text_col))
 
 
 _HASH = "bucket long, seed long, sizes binary, bits binary, keys binary"
@@ -381,10 +483,12 @@ def align(
     ``ranks_path`` is the vocabulary of A as ranks; it only makes encoding faster.
     """
     spark = docs.sparkSession
-    table = pair_table(pair_counts(docs, byte_bpe_path, piece_path, ranks_path, id_col, text_col))
+    links = document_links(docs, byte_bpe_path, piece_path, ranks_path, id_col, text_col)
+    table = pair_table(_counted(links))
     head, tail = _resident(table, resident)
     parts = head.orderBy("bucket").collect()  # at most ``resident`` pairs
-    width = F.lit(_pieces_in(piece_path))
+    b_count = _pieces_in(piece_path)
+    width = F.lit(b_count)
     by_a = _rows(table).groupBy(F.floor(F.col("key") / width).alias("a")).agg(F.max("n").alias("most")).collect()  # one row per id of A
     whole = lambda name: np.concatenate([_NONE, *(np.frombuffer(p[name], np.int64) for p in parts)])
     most = np.zeros(max((r.a for r in by_a), default=0) + 1, np.int64)
@@ -392,48 +496,36 @@ def align(
         most[r.a] = r.most
     sizes, bits = ([np.frombuffer(p[name], kind) for p in parts] for name, kind in (("sizes", np.int64), ("bits", np.uint64)))
     sent = spark.sparkContext.broadcast((MinimalHash([p.seed for p in parts], sizes, bits), whole("keys"), whole("counts"), most))
-    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    columns = ["doc_id", *_NUMBERS, "n_best", "count_sum"]
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, (hashed, stored, counts, most) = Aligner(byte_bpe_path, piece_path, ranks_path), sent.value
-
-        def counted_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashed, stored, counts, most = sent.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in (b.slice(i, READ_AT_ONCE) for b in batches for i in range(0, b.num_rows, READ_AT_ONCE)):
+            own, cuts = batch.columns[:-3], _running(batch.column("pairs").to_numpy())
+            links_of, times = (_values(batch.column(c), batch.column("pairs")) for c in ("keys", "times"))
+            keys, where = np.unique(links_of, return_inverse=True)
             at = hashed.index(keys)
             known = at >= 0
             known[known] = stored[at[known]] == keys[known]
             n = np.zeros(len(keys), np.int64)
             n[known] = counts[at[known]]
-            return n, known & (n == most[keys // len(aligner.b_bytes)]), ~known
-
-        pieces = Pieces(aligner, counted_pairs)
-        row = TaskContext.get().partitionId() << 40
-        for ids, found in _documents(batches, pieces):
-            numbers = np.zeros((len(found), 6), np.int64)
-            digests, keys, times, cuts = [""] * len(found), [_NONE], [_NONE], [0]
-            for i, places in enumerate(found):
-                if places is not None:
-                    numbers[i] = pieces.numbers[places].sum(axis=0)
-                    text = "".join([pieces.texts[p] for p in places.tolist()])
-                    digests[i] = hashlib.sha256(text[:-1].encode()).hexdigest()
-                    if len(pieces.keys):
-                        links = pieces.links_of(places)
-                        keys.append(pieces.keys[links])
-                        times.append(pieces.times[links])
-                cuts.append(sum(map(len, keys[-1:])) + cuts[-1] if places is not None and len(pieces.keys) else cuts[-1])
-            lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(x))) for x in (keys, times)]
-            rows = pa.array(np.arange(row, row + len(found)))
-            row += len(found)
-            yield pa.RecordBatch.from_arrays(
-                [ids, *(pa.array(c) for c in numbers.T), pa.array(digests), rows, *lists], names=[*columns, "groups_sha256", "row", "keys", "times"]
-            )
+            best = known & (n == most[keys // b_count])
+            sums = [pa.array(np.diff(_running(times * x[where])[cuts])) for x in (best, n)]
+            missing = ~known[where]
+            cuts = pa.array(_running(missing)[cuts], pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x[missing])) for x in (links_of, times)]
+            rows = pa.array(np.arange(row, row + batch.num_rows))
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*own[:-1], *sums, own[-1], rows, *lists], names=[*columns, "groups_sha256", "row", "keys", "times"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *(f"{c} long" for c in columns[1:]), "groups_sha256 string, row long, keys array<long>, times array<long>"])
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = texts.mapInArrow(look_up, schema)
+    aligned = links.where(F.col("key").isNull()).select("doc_id", *_NUMBERS, "groups_sha256", "pairs", "keys", "times")
+    found = aligned.mapInArrow(look_up, schema)
     if tail is None:
         return found.select(*columns, "groups_sha256")
-    found = materialize(found, "links")
+    found = materialize(found, "rare")
     # ``tail`` holds one row per pair and no pair of many documents, so the join has no hot key.
     asked = found.select("row", F.explode(F.arrays_zip("keys", "times")).alias("link")).select("row", "link.keys", "link.times")
     highest = spark.createDataFrame([(int(r.a), int(r.most)) for r in by_a], "a long, most long")

@@ -3,11 +3,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 from llm_support import docs
 
-from layerwell.llm import minimal_hash
-from layerwell.llm.token_alignment import Aligner, align, pair_counts, pair_links, pair_table
+from layerwell.llm import minimal_hash, token_alignment
+from layerwell.llm.token_alignment import Aligner, Pieces, align, pair_counts, pair_links, pair_table
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -64,6 +65,44 @@ def test_cut_texts_have_the_ids_of_whole_texts():
             assert sum(b, []) == aligner.b.encode(text), repr(text)
 
 
+def test_batches_are_cut_like_single_texts():
+    aligner = Aligner(A, B)
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    around = [f"a{x}b\n{x}c{y}\n d \n{y}" for x in blanks for y in (" ", "\n", "é", "\u2003")]
+    texts = around + odd_texts(3000, 5) + blanks + ["\u2019\u00c2\u2026 \u2014", "x\n", "\ny"]
+    row, begins = aligner.cut_all(pa.array(texts))
+    found = row.to_pylist()
+    for text, first, last in zip(texts, begins, begins[1:]):
+        assert found[first:last] == aligner.pieces(text), repr(text)
+
+
+def test_documents_in_batches_with_forgotten_pieces_equal_brute_force(monkeypatch):
+    monkeypatch.setattr(token_alignment, "CACHED_PIECES", 20)
+    monkeypatch.setattr(token_alignment, "BYTES_AT_ONCE", 600)
+    aligner = Aligner(A, B, RANKS)
+    pieces = Pieces(aligner)
+    rows = cases()
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])
+    at = 0
+    for part in token_alignment._documents([batch]):
+        numbers, digests, cuts, keys, times = pieces.documents(part.column(1))
+        for i, text in enumerate(part.column(1).to_pylist()):
+            groups = whole(aligner, text) if text else None
+            links = Counter(x * len(aligner.b_bytes) + y for a, b in groups or [] for x in a for y in b)
+            assert dict(zip(keys[cuts[i] : cuts[i + 1]].tolist(), times[cuts[i] : cuts[i + 1]].tolist())) == links
+            assert numbers[i].tolist() == [sum(len(g[0]) for g in groups or []), sum(len(g[1]) for g in groups or []), len(groups or []), links.total()]
+            assert bool(digests[i]) == bool(groups)
+        at += part.num_rows
+    assert at == len(rows)
+
+
+def test_texts_are_read_and_aligned_once(spark, tmp_path):
+    path = str(tmp_path / "documents")
+    docs(spark, [(i, t, None, None) for i, t in cases()]).write.parquet(path)
+    found = align(spark.read.parquet(path), A, B)
+    assert found.inputFiles() and not any(path in f for f in found.inputFiles())
+
+
 def cases():
     texts = [None, "", " ", "\n", "▁", "a▁b", "<0x41>", "plain words", "plain words", "z" * 20_000, "日本語" * 2000, "=" * 5000, "x " * 5000]
     return [(i, t) for i, t in enumerate(texts + odd_texts(150, 8))] + [(8, "other plain words"), (None, "plain"), (8, "other plain words")]
