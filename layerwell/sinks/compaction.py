@@ -1,7 +1,8 @@
 """Compaction of a day planned by bytes: small files are packed into bins, large files are neither read nor moved.
 
 Files below the target are sorted by size and put into the fullest bin they fit in (best fit); a bin of one file is left alone.
-Each bin becomes one file, written to the shared folder first. The swap is a short list of renames and deletes that is stored
+Footers do not count, since a merged file has one only and in small files they outweigh the rows; the footer of the smallest file
+stands for all. Each bin becomes one file, written to the shared folder first. The swap is a short list of renames and deletes that is stored
 in the partition before it starts, in a file that readers skip. Whoever compacts the day next, or calls ``finish_compaction``, completes a
 swap that was cut off; every step may be repeated. A reader that lists the folder during the swap may see a row twice or not at
 all, as with any overwrite of a plain folder.
@@ -70,6 +71,16 @@ class _Folder:
         found = {f.getPath().getName(): f.getLen() for f in self.system.listStatus(self.at()) if f.isFile()}
         return {n: s for n, s in found.items() if not n.startswith(("_", "."))}
 
+    def footer_bytes(self, name: str, size: int) -> int:
+        """Bytes of a Parquet file behind its rows; the footer's length is stored before the last four bytes."""
+        stream = self.system.open(self.at(name))
+        try:
+            stream.seek(size - 8)
+            length = int.from_bytes(stream.readInt().to_bytes(4, "big", signed=True), "little")
+        finally:
+            stream.close()
+        return min(size, length + 8)
+
     def write(self, name: str, text: str) -> None:
         stream = self.system.create(self.at(name), True)
         try:
@@ -121,7 +132,9 @@ def compact_planned(spark: SparkSession, spec: TableSpec, dt: str, target: int =
     finish_compaction(spark, spec, dt)
     folder = _folder(spark, spec, dt)
     before = folder.sizes()
-    bins = plan_bins(before, target)
+    smallest = min(before, key=before.get, default=None)
+    footer = folder.footer_bytes(smallest, before[smallest]) if smallest and 8 <= before[smallest] < target else 0
+    bins = plan_bins({name: size - footer for name, size in before.items()}, target - footer)
     read = [name for b in bins for name in b]
     if bins:
         schema = spec.schema.fields

@@ -60,6 +60,17 @@ def test_only_small_files_are_read(spark, table):
     assert again.files_read == 0 and content(spark, table) == before
 
 
+def test_footers_do_not_fill_bins(spark, table):
+    folder = compaction._folder(spark, table, OTHER)
+    before, sizes = content(spark, table), folder.sizes()
+    rows = {name: size - folder.footer_bytes(name, size) for name, size in sizes.items()}
+    target = 2 * min(sizes.values()) - 1
+    assert len(sizes) > 2 and all(0 < n < sizes[name] / 2 for name, n in rows.items()), "mostly footers, no two files fit with theirs"
+    done = compact_planned(spark, table, OTHER, target)
+    assert done.files_after < done.files_before and content(spark, table) == before
+    assert max(folder.sizes().values()) <= target
+
+
 @pytest.mark.parametrize("steps", [0, 1, 3])
 def test_a_swap_that_was_cut_off_is_completed(spark, table, monkeypatch, steps):
     folder = compaction._folder(spark, table, D)
