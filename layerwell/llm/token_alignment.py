@@ -48,6 +48,7 @@ FLUSHED = 4_000_000
 DOCS_AT_ONCE = 512
 BYTES_AT_ONCE = 8 << 20
 READ_AT_ONCE = 2048
+PAIRS_AT_ONCE = 2_000_000
 CACHED_PIECES = 300_000
 JOINED = 64
 LARGE_GROUP = 4096
@@ -307,14 +308,18 @@ def _running(values: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(values)])
 
 
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, rows: int, total: int) -> Iterator[pa.RecordBatch]:
+    """At most ``rows`` rows at once, whose sizes exceed ``total`` only by the last one of them."""
+    full = np.diff((_running(sizes) // total)[:-1], prepend=0) > 0
+    starts = np.flatnonzero(full | (np.arange(len(sizes)) % rows == 0)).tolist()
+    for first, last in zip(starts, [*starts[1:], len(sizes)]):
+        yield batch.slice(first, last - first)
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Few documents at once; more than ``BYTES_AT_ONCE`` only by the last one of them."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        full = np.diff((_running(sizes) // BYTES_AT_ONCE)[:-1], prepend=0) > 0
-        starts = np.flatnonzero(full | (np.arange(len(sizes)) % DOCS_AT_ONCE == 0)).tolist()
-        for first, last in zip(starts, [*starts[1:], len(sizes)]):
-            yield batch.slice(first, last - first)
+        yield from _slices(batch, sizes, DOCS_AT_ONCE, BYTES_AT_ONCE)
 
 
 def _cells(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
@@ -501,7 +506,7 @@ def align(
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, stored, counts, most = sent.value
         row = TaskContext.get().partitionId() << 40
-        for batch in (b.slice(i, READ_AT_ONCE) for b in batches for i in range(0, b.num_rows, READ_AT_ONCE)):
+        for batch in (part for b in batches for part in _slices(b, b.column("pairs").to_numpy(), READ_AT_ONCE, PAIRS_AT_ONCE)):
             own, cuts = batch.columns[:-3], _running(batch.column("pairs").to_numpy())
             links_of, times = (_values(batch.column(c), batch.column("pairs")) for c in ("keys", "times"))
             keys, where = np.unique(links_of, return_inverse=True)

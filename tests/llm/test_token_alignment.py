@@ -103,6 +103,17 @@ def test_texts_are_read_and_aligned_once(spark, tmp_path):
     assert found.inputFiles() and not any(path in f for f in found.inputFiles())
 
 
+def test_slices_hold_all_rows_and_few_bytes():
+    rng = random.Random(4)
+    for total in (1, 50, 10_000):
+        sizes = np.array([rng.choice([0, 1, 30, 200]) for _ in range(300)])
+        batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(sizes)], names=["i", "size"])
+        parts = [p.to_pydict() for p in token_alignment._slices(batch, sizes, 64, total)]
+        assert sum((p["i"] for p in parts), []) == list(range(300))
+        assert all(0 < len(p["i"]) <= 64 and sum(p["size"][:-1]) < total for p in parts)
+    assert list(token_alignment._slices(batch.slice(0, 0), sizes[:0], 64, 50)) == []
+
+
 def cases():
     texts = [None, "", " ", "\n", "▁", "a▁b", "<0x41>", "plain words", "plain words", "z" * 20_000, "日本語" * 2000, "=" * 5000, "x " * 5000]
     return [(i, t) for i, t in enumerate(texts + odd_texts(150, 8))] + [(8, "other plain words"), (None, "plain"), (8, "other plain words")]
