@@ -53,7 +53,8 @@ def release(spark: SparkSession) -> None:
     """Let go of what finished jobs left on the executors' disks.
 
     Shuffle files are dropped when the driver has collected the plans that wrote them. A driver with a large heap may not
-    collect for hours, so steps that leave large shuffles ask for it.
+    collect for hours, so steps that leave large shuffles ask for it. Python lets go of a plan about a second after its last
+    use, so what the job just before left may stay until the next call.
     """
     spark.sparkContext._jvm.java.lang.System.gc()
 

@@ -27,8 +27,8 @@ def test_release_drops_the_shuffle_files_of_finished_jobs(spark):
     spark.range(100_000).repartition(7).write.format("noop").mode("overwrite").save()
     left = shuffled() - before
     assert left
-    release(spark)
     until = time.time() + 30
     while left & shuffled() and time.time() < until:
-        time.sleep(0.2)
+        release(spark)
+        time.sleep(1)
     assert not left & shuffled()
